@@ -141,6 +141,20 @@ def json_scalar(value: Column, dtype: T.DataType) -> Column:
     return F.coalesce(item, F.lit("null"))
 
 
-def round_pct(value: Column) -> Column:
-    """Two decimals, half to even."""
-    return F.bround(value, 2)
+def round_score(value: Column) -> Column:
+    """Two decimals: scale, round half to even, scale back."""
+    return F.rint(value * 100) / 100
+
+
+def round_share(value: Column) -> Column:
+    """Two decimals of the exact binary value, half to even.
+
+    Scaling rounds too. Where it lands on a half, the rounding error, which
+    splitting the factor makes exact, tells on which side the value really is.
+    """
+    scaled = value * 100
+    high = value * 134_217_729.0 - (value * 134_217_729.0 - value)
+    error = (high * 100 - scaled) + (value - high) * 100
+    whole = F.floor(scaled)
+    sided = F.when(error > 0, whole + 1).when(error < 0, whole).otherwise(F.rint(scaled))
+    return F.when(scaled - whole == 0.5, sided).otherwise(F.rint(scaled)) / 100

@@ -7,13 +7,14 @@ the first failing values. Everything reported derives from facts by projection.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.values import named, round_pct
+from ..functions.values import named, round_score, round_share
 from ..model import DIMENSIONS, SCORE_COLUMNS
 from .checks import Check, any_of
 from .uniqueness import flag_duplicates, key_columns, key_counts
@@ -152,17 +153,17 @@ def dimension_score(checks: Sequence[Check], dimension: str) -> Column:
     if any(c.zero_score for c in checks if c.dimension == dimension):
         return F.lit(0.0)
     share = F.col(_any(dimension)) / F.col("rows")
-    return F.when(F.col("rows") > 0, round_pct((1 - share) * 100)).otherwise(F.lit(0.0))
+    return F.when(F.col("rows") > 0, round_score((1 - share) * 100)).otherwise(F.lit(0.0))
 
 
 def overall_score(scores: Mapping[str, Column], weights: Mapping[str, float] | None = None) -> Column:
     """Mean of the rounded dimension scores, weighted if weights are given."""
     if not weights:
         total = sum((scores[d] for d in DIMENSIONS[1:]), scores[DIMENSIONS[0]])
-        return round_pct(total / 4.0)
+        return round_score(total / 4.0)
     used = [d for d in DIMENSIONS if weights.get(d)]
     total = sum((scores[d] * weights[d] for d in used[1:]), scores[used[0]] * weights[used[0]])
-    return round_pct(total / sum(weights[d] for d in used))
+    return round_score(total / math.fsum(weights[d] for d in used))
 
 
 def with_scores(
@@ -175,7 +176,7 @@ def with_scores(
 
 
 def failed_pct(failed: Column, rows: Column) -> Column:
-    return F.when(rows > 0, round_pct(failed / rows * 100)).otherwise(F.lit(0.0))
+    return F.when(rows > 0, round_share(failed / rows * 100)).otherwise(F.lit(0.0))
 
 
 def _sample_json(i: int, check: Check) -> Column:

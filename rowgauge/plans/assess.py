@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +21,6 @@ from ..operators.slices import score_by_slice
 from ..session import prepare
 
 
-@dataclass(frozen=True)
 class Assessment:
     """The results of an assessment, all lazy.
 
@@ -27,10 +28,29 @@ class Assessment:
     repeated rows stay clean. ``summary`` and ``issues`` have the history layouts.
     """
 
-    clean: DataFrame
-    rejects: DataFrame
-    summary: DataFrame
-    issues: DataFrame
+    def __init__(
+        self, table: DataFrame, checks: list[Check], profile: Profile, facts: Callable[[bool], DataFrame]
+    ) -> None:
+        self._table = table
+        self._checks = checks
+        self._profile = profile
+        self._facts = facts
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        return kept_rows(self._table, self._checks, self._profile)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return rejected_rows(self._table, self._checks, self._profile)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return summary_rows(self._facts(False), self._checks, self._profile.version)
+
+    @cached_property
+    def issues(self) -> DataFrame:
+        return history_issues(self._facts(True), self._checks)
 
 
 @dataclass(frozen=True)
@@ -51,7 +71,7 @@ def run_time(run_ts: datetime | str) -> Column:
     return F.lit(whole.isoformat()).cast("timestamp")
 
 
-def _identity(run_ts: Column, label: Column) -> dict[str, Column]:
+def run_identity(run_ts: Column, label: Column) -> dict[str, Column]:
     return {"run_label": label, "run_id": run_id_text(run_ts), "run_ts_utc": run_ts_text(run_ts)}
 
 
@@ -67,10 +87,19 @@ def summary_rows(facts: DataFrame, checks: list[Check], version: str) -> DataFra
     return with_scores(facts, checks).withColumns(counts).select(*SUMMARY_SCHEMA.names)
 
 
-def split(df: DataFrame, checks: list[Check], profile: Profile) -> tuple[DataFrame, DataFrame]:
-    """Rows with and without everything required, under canonical names."""
-    missing = checks[0].failed
-    return tuple(canonical_names(df.where(kept), profile) for kept in (~missing, missing))
+def history_issues(facts: DataFrame, checks: list[Check]) -> DataFrame:
+    """Facts with a run identity and samples as issue rows."""
+    return issue_rows(facts, checks, ["run_label", "run_id"]).select(*ISSUES_SCHEMA.names)
+
+
+def kept_rows(df: DataFrame, checks: list[Check], profile: Profile) -> DataFrame:
+    """Rows with everything required, under canonical names."""
+    return canonical_names(df.where(~checks[0].failed), profile)
+
+
+def rejected_rows(df: DataFrame, checks: list[Check], profile: Profile) -> DataFrame:
+    """Rows lacking something required, under canonical names."""
+    return canonical_names(df.where(checks[0].failed), profile)
 
 
 def assess(
@@ -87,16 +116,12 @@ def assess(
     table = normalize(df, profile, resolve_aliases)
     keyed, order = with_row_id(table, row_id)
     checks = standard_checks(table, profile)
-    identity = _identity(run_time(run_ts), F.lit(run_label))
-    clean, rejects = split(table, checks, profile)
-    summary = measure(keyed, checks, order, samples=False).withColumns(identity)
-    issues = measure(keyed, checks, order).withColumns(identity)
-    return Assessment(
-        clean=clean,
-        rejects=rejects,
-        summary=summary_rows(summary, checks, profile.version),
-        issues=issue_rows(issues, checks, ["run_label", "run_id"]).select(*ISSUES_SCHEMA.names),
-    )
+    identity = run_identity(run_time(run_ts), F.lit(run_label))
+
+    def facts(samples: bool) -> DataFrame:
+        return measure(keyed, checks, order, samples=samples).withColumns(identity)
+
+    return Assessment(table, checks, profile, facts)
 
 
 def assess_runs(
@@ -115,26 +140,20 @@ def assess_runs(
     prepare(df.sparkSession)
     table = normalize(df, profile, resolve_aliases)
     checks = standard_checks(table, profile)
-    clean, rejects = split(table, checks, profile)
     at = F.date_trunc("second", to_utc(named(run_ts), type_of(df, run_ts)))
     keyed, order = with_row_id(table.withColumn("_run", at), row_id)
-    known = keyed.select("_run").distinct().withColumns(_identity(F.col("_run"), F.lit(None).cast("string")))
+    known = keyed.select("_run").distinct().withColumns(run_identity(F.col("_run"), F.lit(None).cast("string")))
     label = F.concat(F.lit("Run "), (F.col("run_no") + (first_run - 1)).cast("string"))
-    labels = sequence_runs(known).select("_run", label.alias("run_label"), "run_id", "run_ts_utc")
-    labels = labels.withColumnRenamed("_run", "_labelled")
-
-    def labelled(facts: DataFrame) -> DataFrame:
-        return facts.join(labels, F.col("_run").eqNullSafe(F.col("_labelled")), "left")
-
-    summary = labelled(measure(keyed, checks, order, by=["_run"], samples=False))
-    issues = labelled(measure(keyed, checks, order, by=["_run"]))
-    return Assessment(
-        clean=clean,
-        rejects=rejects,
-        summary=summary_rows(summary, checks, profile.version),
-        issues=issue_rows(issues, checks, ["run_label", "run_id"]).select(*ISSUES_SCHEMA.names),
+    labels = sequence_runs(known).select(
+        F.col("_run").alias("_labelled"), label.alias("run_label"), "run_id", "run_ts_utc"
     )
 
+    def facts(samples: bool) -> DataFrame:
+        measured = measure(keyed, checks, order, by=["_run"], samples=samples)
+        return measured.join(labels, F.col("_run").eqNullSafe(F.col("_labelled")), "left")
+
+    return Assessment(table, checks, profile, facts)
+
 
 def evaluate(df: DataFrame, rules: RuleSet, *, row_id: str | None = None, samples: bool = True) -> RuleReport:
     """Evaluate declared rules on a table as it is."""

@@ -8,18 +8,18 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import ISSUES_SCHEMA, RAW_SCHEMA, Profile
+from ..model import RAW_SCHEMA, Profile
 from ..operators.checks import standard_checks
 from ..operators.history import backfill_labels, next_run_label
 from ..operators.normalize import normalize, with_row_id
-from ..operators.scoring import issue_rows, measure
+from ..operators.scoring import measure
 from ..operators.views import run_cards
 from ..session import path_exists, prepare, scratch_path
 from ..sources import synth
 from ..sources.history import append_issues, append_summary, read_issues, read_summary
 from ..sources.manifest import exit_code, manifest
 from ..sources.tables import records, scan, staged_path, write_json_object, write_table
-from .assess import _identity, run_time, split, summary_rows
+from .assess import history_issues, kept_rows, run_identity, run_time, summary_rows
 
 
 @dataclass(frozen=True)
@@ -118,15 +118,14 @@ def run_assessment(
     if path_exists(spark, layout.summary):
         label = next_run_label(scan(spark, layout.summary)).first()["run_label"]
 
-    clean, _ = split(table, checks, profile)
-    write_table(clean, layout.clean, layout.fmt)
+    write_table(kept_rows(table, checks, profile), layout.clean, layout.fmt)
 
     kept = scratch_path(spark, "facts")
     measure(keyed, checks, order).write.parquet(kept)
-    facts = spark.read.parquet(kept).withColumns(_identity(run_time(run_ts), F.lit(label)))
+    facts = spark.read.parquet(kept).withColumns(run_identity(run_time(run_ts), F.lit(label)))
     summary = summary_rows(facts, checks, profile.version)
     append_summary(summary, layout.summary)
-    append_issues(issue_rows(facts, checks, ["run_label", "run_id"]).select(*ISSUES_SCHEMA.names), layout.issues)
+    append_issues(history_issues(facts, checks), layout.issues)
     write_json_object(summary.select("run_label", "run_id", "run_ts_utc"), layout.last_run)
     write_json_object(summary, layout.last_metrics)
     return label

@@ -41,7 +41,7 @@ def _between(row: Column, seed: int, field: int, bounds: tuple[int, int]) -> Col
 
 
 def _plus_minutes(stamp: Column, minutes: Column) -> Column:
-    return F.timestamp_micros(F.unix_micros(stamp) + minutes * 60_000_000)
+    return F.timestamp_micros(F.unix_micros(stamp) + minutes.cast("bigint") * 60_000_000)
 
 
 def clean_orders(rows: DataFrame, now: datetime | str, seed: int = DEFAULT_SEED) -> DataFrame:
