@@ -97,6 +97,8 @@ def stored_history(
     """The run history as written to and read from its tables."""
     prepare(spark)
     found = runs(spark, sf_dir)
+    if summary and issues:
+        found = found.settle()
     out: list[DataFrame | None] = [None, None]
     if summary:
         path = scratch_path(spark, "summary")

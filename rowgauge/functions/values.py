@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,14 +55,11 @@ def to_number(value: Column, dtype: T.DataType) -> Column:
     A cast alone would accept Java's ``1d``, ``1f`` and hexadecimal notation.
     """
     if isinstance(dtype, T.StringType):
-        text = F.lower(F.trim(value, F.lit(WHITE_SPACE)))
-        java_only = (
-            text.contains("x")
-            | text.endswith("d")
-            | (text.endswith("f") & ~text.endswith("inf"))
-        )
-        number = F.when(~java_only, text.try_cast("double"))
-        return F.when(~F.isnan(number), number)
+        java_only = [value.contains(letter) for letter in ("d", "D", "x", "X")]
+        single = value.contains("f") | value.contains("F")
+        infinite = value.contains("n") | value.contains("N")
+        plain = ~reduce(or_, java_only, single & ~infinite)
+        return F.when(plain, F.nanvl(value.try_cast("double"), F.lit(None).cast("double")))
     if isinstance(dtype, _FRACTIONAL):
         return nan_to_null(value.cast("double"), T.DoubleType())
     if isinstance(dtype, (*_INTEGRAL, T.DecimalType, T.BooleanType)):
@@ -105,10 +105,11 @@ def is_missing(df: DataFrame, name: str) -> Column:
     if name not in df.columns:
         return F.lit(True)
     value, dtype = named(name), type_of(df, name)
+    # one reference to the value: a filter repeats whatever computes it
     if isinstance(dtype, T.StringType):
-        return value.isNull() | (value == "")
+        return F.coalesce(value, F.lit("")) == ""
     if isinstance(dtype, _FRACTIONAL):
-        return value.isNull() | F.isnan(value)
+        return F.isnan(F.coalesce(value, F.lit(float("nan"))))
     return value.isNull()
 
 
@@ -124,21 +125,30 @@ def iso_text(stamp: Column) -> Column:
     return F.when(F.pmod(F.unix_micros(stamp), F.lit(1_000_000)) == 0, whole).otherwise(fraction)
 
 
-def json_scalar(value: Column, dtype: T.DataType) -> Column:
-    """The value as one JSON item: numbers and booleans bare, the rest quoted, missing null."""
+def sample_value(value: Column, dtype: T.DataType) -> Column:
+    """What a sample of this column needs, cheaply: its text, its time, and whether JSON quotes it.
+
+    Sampling looks at many more rows than it keeps, so ``json_scalar`` formats
+    the kept ones only.
+    """
+    timed = isinstance(dtype, (T.TimestampType, T.TimestampNTZType))
+    bare = isinstance(dtype, (*_INTEGRAL, *_FRACTIONAL, T.DecimalType, T.BooleanType))
+    text = value
     if isinstance(dtype, _FRACTIONAL):
-        finite = ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
-        item = F.when(finite, value.cast("string"))
-    elif isinstance(dtype, (*_INTEGRAL, T.DecimalType, T.BooleanType)):
-        item = value.cast("string")
-    else:
-        if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            text = iso_text(value.cast("timestamp"))
-        else:
-            text = value.cast("string")
-        boxed = F.to_json(F.array(text))
-        item = F.when(text.isNotNull(), boxed.substr(F.lit(2), F.length(boxed) - 2))
-    return F.coalesce(item, F.lit("null"))
+        text = F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+    return F.struct(
+        F.lit(None).cast("string").alias("text") if timed else text.cast("string").alias("text"),
+        value.cast("timestamp").alias("time") if timed else F.lit(None).cast("timestamp").alias("time"),
+        F.lit(bare).alias("bare"),
+    )
+
+
+def json_scalar(sample: Column) -> Column:
+    """A ``sample_value`` as one JSON item: numbers and booleans bare, the rest quoted, missing null."""
+    text = F.coalesce(sample["text"], iso_text(sample["time"]))
+    boxed = F.to_json(F.array(text))
+    quoted = boxed.substr(F.lit(2), F.length(boxed) - 2)
+    return F.when(text.isNull(), "null").when(sample["bare"], text).otherwise(quoted)
 
 
 def round_score(value: Column) -> Column:

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.values import (
     delay_minutes,
     is_missing,
-    json_scalar,
     matches,
     named,
+    sample_value,
     to_number,
     to_utc,
     type_of,
@@ -29,8 +29,8 @@ class Check:
     """One check of a table.
 
     ``failed`` is a non-null boolean Column; ``keys`` is set instead for a
-    uniqueness check, which no single row can decide. ``sample`` gives the
-    reported column as a JSON item, or None if the table lacks it.
+    uniqueness check, which no single row can decide. ``sample`` is the
+    ``sample_value`` of the reported column, or None if the table lacks it.
     ``zero_score`` marks a check whose inputs are absent and whose dimension
     therefore scores 0.
     """
@@ -76,7 +76,7 @@ def bad_delay(df: DataFrame, event: str, arrival: str, max_minutes: float) -> Co
 
 
 def _sample(df: DataFrame, name: str) -> Column | None:
-    return json_scalar(named(name), type_of(df, name)) if name in df.columns else None
+    return sample_value(named(name), type_of(df, name)) if name in df.columns else None
 
 
 def standard_checks(df: DataFrame, profile: Profile) -> list[Check]:

@@ -10,6 +10,9 @@ from ..functions.values import named, strip, to_utc, type_of
 from ..model import Profile
 
 
+GENERATED_ROW_ID = "_row_id"
+
+
 def event_name(df: DataFrame, profile: Profile) -> str:
     """The event time column: the canonical name, else its alias."""
     return profile.event_column if profile.event_column in df.columns else profile.event_alias
@@ -61,4 +64,4 @@ def with_row_id(df: DataFrame, row_id: str | None) -> tuple[DataFrame, str]:
     """
     if row_id is not None:
         return df, row_id
-    return df.withColumn("_row_id", F.monotonically_increasing_id()), "_row_id"
+    return df.withColumn(GENERATED_ROW_ID, F.monotonically_increasing_id()), GENERATED_ROW_ID

@@ -14,7 +14,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.values import named, round_score, round_share
+from ..functions.values import json_scalar, named, round_score, round_share
 from ..model import DIMENSIONS, SCORE_COLUMNS
 from .checks import Check, any_of
 from .uniqueness import flag_duplicates, key_columns, key_counts
@@ -64,20 +64,16 @@ def first_failures(
     """
     carried = [named(b) for b in by]
     entries = [
-        F.struct(F.lit(i).alias("check"), c.failed.alias("hit"), c.sample.alias("item"))
+        F.when(c.failed, F.struct(F.lit(i).alias("check"), c.sample.alias("value")))
         for i, c in enumerate(checks)
         if c.failed is not None and c.sample is not None
     ]
-    shape = [*by, "_row", "check", "item"]
+    shape = [*by, "_row", "check", "value"]
     parts = []
     if entries:
-        failing = df.where(any_of([c.failed for c in checks if c.failed is not None and c.sample is not None]))
-        parts.append(
-            failing.select(*carried, named(row_id).alias("_row"), F.explode(F.array(*entries)).alias("e"))
-            .select(*by, "_row", "e.*")
-            .where("hit")
-            .select(*shape)
-        )
+        # no filter ahead of the explode: it would evaluate every predicate twice
+        exploded = df.select(*carried, named(row_id).alias("_row"), F.explode(F.array(*entries)).alias("e"))
+        parts.append(exploded.where(F.col("e").isNotNull()).select(*by, "_row", "e.*"))
     for i, check in enumerate(checks):
         if not check.keys:
             continue
@@ -93,7 +89,7 @@ def first_failures(
             leading = F.broadcast(repeated.orderBy("_first").limit(SAMPLES_PER_CHECK))
         leading = leading.select(*[F.col(n).alias(f"_l{n}") for n in (*by, *names)])
         rows = df.select(
-            *carried, *key_columns(df, check.keys), named(row_id).alias("_row"), check.sample.alias("item")
+            *carried, *key_columns(df, check.keys), named(row_id).alias("_row"), check.sample.alias("value")
         )
         matching = [F.col(n).eqNullSafe(F.col(f"_l{n}")) for n in (*by, *names)]
         parts.append(rows.join(leading, matching, "left_semi").withColumn("check", F.lit(i)).select(*shape))
@@ -101,7 +97,8 @@ def first_failures(
     for part in parts[1:]:
         hits = hits.unionByName(part)
     order = Window.partitionBy(*by, "check").orderBy("_row")
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLES_PER_CHECK)
+    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLES_PER_CHECK)
+    return ranked.withColumn("item", json_scalar(F.col("value")))
 
 
 def measure(

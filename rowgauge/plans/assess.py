@@ -18,7 +18,7 @@ from ..operators.history import sequence_runs
 from ..operators.normalize import canonical_names, normalize, with_row_id
 from ..operators.scoring import check_rows, issue_rows, measure, with_scores
 from ..operators.slices import score_by_slice
-from ..session import prepare
+from ..session import prepare, scratch_path
 
 
 class Assessment:
@@ -52,6 +52,18 @@ class Assessment:
     def issues(self) -> DataFrame:
         return history_issues(self._facts(True), self._checks)
 
+    def settle(self) -> Assessment:
+        """Measure now, once: summary and issues then share the facts, one row per run.
+
+        The facts are a table in the scratch folder, so that losing an executor
+        later costs nothing.
+        """
+        spark = self._table.sparkSession
+        path = scratch_path(spark, "facts")
+        self._facts(True).write.parquet(path)
+        stored = spark.read.parquet(path)
+        return Assessment(self._table, self._checks, self._profile, lambda samples: stored)
+
 
 @dataclass(frozen=True)
 class RuleReport:

@@ -6,20 +6,17 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..model import RAW_SCHEMA, Profile
-from ..operators.checks import standard_checks
 from ..operators.history import backfill_labels, next_run_label
-from ..operators.normalize import normalize, with_row_id
-from ..operators.scoring import measure
+from ..operators.normalize import GENERATED_ROW_ID, with_row_id
 from ..operators.views import run_cards
 from ..session import path_exists, prepare, scratch_path
 from ..sources import synth
 from ..sources.history import append_issues, append_summary, read_issues, read_summary
 from ..sources.manifest import exit_code, manifest
 from ..sources.tables import records, scan, staged_path, write_json_object, write_table
-from .assess import history_issues, kept_rows, run_identity, run_time, summary_rows
+from .assess import assess
 
 
 @dataclass(frozen=True)
@@ -106,28 +103,26 @@ def run_assessment(
 ) -> str:
     """Assess the raw dataset, write the clean table and append to the history; returns the label.
 
-    The facts, one row, are written first; summary, issues and metrics all
-    read them, so the dataset is scanned for them only once.
+    A text dataset is parsed once, into a table in the scratch folder, as the
+    assessment reads it several times, column by column.
     """
     prepare(spark)
     source = scan(spark, staged_path(spark, layout.raw, layout.staged), layout.fmt, RAW_SCHEMA)
-    table = normalize(source, profile)
-    keyed, order = with_row_id(table, row_id)
-    checks = standard_checks(table, profile)
+    source, row_id = with_row_id(source, row_id)
+    if layout.fmt == "csv":
+        parsed = scratch_path(spark, "parsed")
+        write_table(source, parsed)
+        source = scan(spark, parsed)
     label = "Run 1"
     if path_exists(spark, layout.summary):
         label = next_run_label(scan(spark, layout.summary)).first()["run_label"]
 
-    write_table(kept_rows(table, checks, profile), layout.clean, layout.fmt)
-
-    kept = scratch_path(spark, "facts")
-    measure(keyed, checks, order).write.parquet(kept)
-    facts = spark.read.parquet(kept).withColumns(run_identity(run_time(run_ts), F.lit(label)))
-    summary = summary_rows(facts, checks, profile.version)
-    append_summary(summary, layout.summary)
-    append_issues(history_issues(facts, checks), layout.issues)
-    write_json_object(summary.select("run_label", "run_id", "run_ts_utc"), layout.last_run)
-    write_json_object(summary, layout.last_metrics)
+    found = assess(source, profile, run_ts=run_ts, run_label=label, row_id=row_id).settle()
+    write_table(found.clean.drop(GENERATED_ROW_ID), layout.clean, layout.fmt)
+    append_summary(found.summary, layout.summary)
+    append_issues(found.issues, layout.issues)
+    write_json_object(found.summary.select("run_label", "run_id", "run_ts_utc"), layout.last_run)
+    write_json_object(found.summary, layout.last_metrics)
     return label
 
 

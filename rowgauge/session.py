@@ -10,9 +10,19 @@ from pyspark.sql import SparkSession
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
+# HotSpot never compiles methods longer than this many bytes.
+LONGEST_COMPILED_METHOD = 8000
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the session zone to UTC: timestamps without a zone are UTC throughout."""
+    """Settings that the results and the speed of the checks rest on.
+
+    The session zone is UTC: timestamps without a zone are UTC throughout. And
+    where many rules make one generated method too long to be compiled, the
+    stage runs as separate operators instead, which is faster than interpreting it.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", LONGEST_COMPILED_METHOD)
     return spark
 
 
