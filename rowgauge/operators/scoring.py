@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.values import json_scalar, named, round_score, round_share
 from ..model import DIMENSIONS, SCORE_COLUMNS
 from .checks import Check, any_of
-from .uniqueness import flag_duplicates, key_columns, key_counts
+from .uniqueness import flag_duplicates, is_hot, key_columns, key_counts, mark_keys
 
 # Sample sizes of an issue row.
 SAMPLES_PER_CHECK = 5
@@ -79,20 +79,26 @@ def first_failures(
             continue
         # The first five failing rows belong to the five repeated keys that
         # start first, so only those keys go back to the rows.
-        repeated = key_counts(df, check.keys, by, row_id).where(F.col("_n") > 1)
-        names = [f"_k{j}" for j in range(len(check.keys))]
+        counts = key_counts(df, check.keys, by, row_id)
+        repeated = counts.where(F.col("_n") > 1)
+        names = [*by, *[f"_k{j}" for j in range(len(check.keys))]]
+        rows = df.select(
+            *carried, *key_columns(df, check.keys), named(row_id).alias("_row"), check.sample.alias("value")
+        )
         if by:
             order = Window.partitionBy(*by).orderBy("_first")
             leading = repeated.withColumn("_rank", F.row_number().over(order))
-            leading = leading.where(F.col("_rank") <= SAMPLES_PER_CHECK)
+            leading = leading.where(F.col("_rank") <= SAMPLES_PER_CHECK).select(*names, "_n")
+            marks = repeated.where(is_hot(counts)).select(*names, F.lit(False).alias("_mark"))
+            marks = marks.unionByName(leading.where(is_hot(counts)).select(*names, F.lit(True).alias("_mark")))
+            hot = marks.groupBy(*names).agg(F.max("_mark").alias("_mark"))
+            rows = mark_keys(rows, names, hot, leading.where(~is_hot(counts)), "_row", "_leads").where("_leads")
         else:
-            leading = F.broadcast(repeated.orderBy("_first").limit(SAMPLES_PER_CHECK))
-        leading = leading.select(*[F.col(n).alias(f"_l{n}") for n in (*by, *names)])
-        rows = df.select(
-            *carried, *key_columns(df, check.keys), named(row_id).alias("_row"), check.sample.alias("value")
-        )
-        matching = [F.col(n).eqNullSafe(F.col(f"_l{n}")) for n in (*by, *names)]
-        parts.append(rows.join(leading, matching, "left_semi").withColumn("check", F.lit(i)).select(*shape))
+            leading = repeated.orderBy("_first").limit(SAMPLES_PER_CHECK)
+            leading = F.broadcast(leading.select(*[F.col(n).alias(f"_l{n}") for n in names]))
+            matching = [F.col(n).eqNullSafe(F.col(f"_l{n}")) for n in names]
+            rows = rows.join(leading, matching, "left_semi")
+        parts.append(rows.withColumn("check", F.lit(i)).select(*shape))
     hits = parts[0]
     for part in parts[1:]:
         hits = hits.unionByName(part)

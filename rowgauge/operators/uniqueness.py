@@ -35,37 +35,45 @@ def key_counts(df: DataFrame, keys: Sequence[str], by: Sequence[str], row_id: st
     )
 
 
-def flag_duplicates(df: DataFrame, keys: Sequence[str], row_id: str, flag: str) -> DataFrame:
-    """Add the boolean column ``flag``: the row's key occurs more than once.
+def mark_keys(
+    rows: DataFrame, names: Sequence[str], hot: DataFrame, cold: DataFrame, row_id: str, flag: str
+) -> DataFrame:
+    """Add ``flag``: whether the row's key, in the columns ``names``, is a marked one.
 
-    Null keys equal each other. The rows of hot keys, of which there are fewer
-    than HOT_SHARE, learn their flag from a broadcast and then travel under a
-    slot of their own instead of their key; only keys of bounded size meet in
-    the join. No group is held in memory and no row is read twice.
+    ``hot`` holds all hot keys, fewer than HOT_SHARE, with the boolean ``_mark``;
+    ``cold`` the other marked keys with their row count ``_n``. The rows of hot
+    keys get their flag from a broadcast and then travel under a slot of their
+    own instead of their key, so only keys of bounded size meet in the join. No
+    group is held in memory and no row is read twice. Null equals null.
     """
-    names = [f"_k{i}" for i in range(len(keys))]
-    rows = df.withColumns(dict(zip(names, key_columns(df, keys))))
-    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    is_hot = F.col("_n") * HOT_SHARE > total
-    repeated = counts.where(F.col("_n") > 1)
-
-    hot = repeated.where(is_hot).select(*[F.col(n).alias(f"_h{n}") for n in names], F.lit(True).alias("_hot"))
+    hot = hot.select(*[F.col(n).alias(f"_h{n}") for n in names], F.col("_mark").alias("_hot"))
     on_hot = [F.col(n).eqNullSafe(F.col(f"_h{n}")) for n in names]
     rows = rows.join(F.broadcast(hot), on_hot, "left").drop(*[f"_h{n}" for n in names])
 
-    slot = F.when(F.col("_hot"), F.pmod(F.xxhash64(named(row_id)), F.lit(HOT_SLOTS)) + 1).otherwise(F.lit(0).cast("bigint"))
-    rows = rows.withColumn("_slot", slot)
+    slot = F.pmod(F.xxhash64(named(row_id)), F.lit(HOT_SLOTS)) + 1
+    rows = rows.withColumn("_slot", F.when(F.col("_hot").isNotNull(), slot).otherwise(F.lit(0).cast("bigint")))
     # every cold key has slot 0; written as an expression on the count so that
     # the optimizer keeps the slot among the join keys
-    cold = repeated.where(~is_hot).select(
-        *[F.col(n).alias(f"_c{n}") for n in names],
-        F.least(F.col("_n"), F.lit(0)).alias("_cslot"),
-    )
+    cold = cold.select(*[F.col(n).alias(f"_c{n}") for n in names], F.least("_n", F.lit(0)).alias("_cslot"))
     on_cold = [F.col(n).eqNullSafe(F.col(f"_c{n}")) for n in names]
     on_cold.append(F.col("_slot") == F.col("_cslot"))
     return (
         rows.join(cold, on_cold, "left")
         .withColumn(flag, F.coalesce(F.col("_hot"), F.col("_cslot").isNotNull()))
-        .drop(*names, *[f"_c{n}" for n in names], "_cslot", "_slot", "_hot")
+        .drop(*[f"_c{n}" for n in names], "_cslot", "_slot", "_hot")
     )
+
+
+def is_hot(counts: DataFrame) -> Column:
+    """Whether a key of ``counts`` holds more than its share of all rows."""
+    return F.col("_n") * HOT_SHARE > counts.agg(F.sum("_n")).scalar()
+
+
+def flag_duplicates(df: DataFrame, keys: Sequence[str], row_id: str, flag: str) -> DataFrame:
+    """Add the boolean column ``flag``: the row's key occurs more than once; null keys equal each other."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = df.withColumns(dict(zip(names, key_columns(df, keys))))
+    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = counts.where(F.col("_n") > 1)
+    hot = repeated.where(is_hot(counts)).withColumn("_mark", F.lit(True))
+    return mark_keys(rows, names, hot, repeated.where(~is_hot(counts)), row_id, flag).drop(*names)

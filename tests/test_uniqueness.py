@@ -88,3 +88,20 @@ def test_first_duplicates_come_from_all_keys(spark):
     check = Check("Uniqueness", "k", "key", keys=("key",), sample=sample)
     rows = first_failures(df, [check], "row_id", ()).orderBy("rank").collect()
     assert [r["item"] for r in rows] == ["30", "20", "30", "20", "30"]
+
+
+def test_first_duplicates_per_run_under_hot_keys(spark, monkeypatch):
+    """The same samples whether keys count as hot or not, as brute force finds them."""
+    df = skewed(spark, 3000).withColumn("run", F.pmod("row_id", F.lit(4)))
+    rows = [(r["run"], r["key"], r["row_id"]) for r in df.collect()]
+    sizes = Counter((run, key) for run, key, _ in rows)
+    repeated = sorted(((i, run, key) for run, key, i in rows if sizes[run, key] > 1), key=lambda r: r[0])
+    wanted = {n: [(i, key) for i, run, key in repeated if run == n][:5] for n in range(4)}
+    sample = F.struct(F.col("key").cast("string").alias("text"), F.lit(None).cast("timestamp").alias("time"), F.lit(True).alias("bare"))
+    check = Check("Uniqueness", "k", "key", keys=("key",), sample=sample)
+    for share in (1, 1000, 10**9):
+        monkeypatch.setattr(uniqueness, "HOT_SHARE", share)
+        found = first_failures(df, [check], "row_id", ["run"]).orderBy("run", "rank").collect()
+        for run in range(4):
+            got = [(r["_row"], r["item"]) for r in found if r["run"] == run]
+            assert got == [(i, "null" if k is None else str(k)) for i, k in wanted[run]]
