@@ -22,6 +22,8 @@ WHITE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+ASCII_WHITE_SPACE = "".join(c for c in WHITE_SPACE if c.isascii())
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType)
 
@@ -36,8 +38,15 @@ def type_of(df: DataFrame, name: str) -> T.DataType:
 
 
 def strip(value: Column) -> Column:
-    """Remove white space around a text; null stays null."""
-    return F.trim(value, F.lit(WHITE_SPACE))
+    """Remove white space around a text; null stays null.
+
+    Trimming tries every character of its set, so plain ASCII texts, which have
+    as many bytes as characters, are only tried against ASCII white space.
+    """
+    ascii_only = F.octet_length(value) == F.length(value)
+    return F.when(ascii_only, F.trim(value, F.lit(ASCII_WHITE_SPACE))).otherwise(
+        F.trim(value, F.lit(WHITE_SPACE))
+    )
 
 
 def null_tokens(value: Column) -> Column:

@@ -13,8 +13,9 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.values import json_scalar, named, round_score, round_share
+from ..functions.values import json_scalar, named, round_score, round_share, type_of
 from ..model import DIMENSIONS, SCORE_COLUMNS
 from .checks import Check, any_of
 from .uniqueness import flag_duplicates, is_hot, key_columns, key_counts, mark_keys
@@ -23,6 +24,9 @@ from .uniqueness import flag_duplicates, is_hot, key_columns, key_counts, mark_k
 SAMPLES_PER_CHECK = 5
 BLANKS_WITHOUT_COLUMN = 3
 
+# Rows fall into this many slots to bound where samples can lie.
+REACH_SLOTS = 16
+
 
 def attach_flags(
     df: DataFrame,
@@ -55,24 +59,31 @@ def _any(dimension: str) -> str:
     return f"any_{dimension.lower()}"
 
 
+def _sampled(checks: Sequence[Check]) -> dict[int, Check]:
+    """The row predicates whose failing values are listed."""
+    return {i: c for i, c in enumerate(checks) if c.failed is not None and c.sample is not None}
+
+
 def first_failures(
-    df: DataFrame, checks: Sequence[Check], row_id: str, by: Sequence[str]
+    df: DataFrame, checks: Sequence[Check], row_id: str, by: Sequence[str], reach: Column | None = None
 ) -> DataFrame:
     """The first failing values of each check in row order, as JSON items.
 
     Ranking keeps at most five rows per check in every task before the shuffle.
+    ``reach`` gives, per sampled row predicate, a row that the first five
+    failing ones do not lie beyond, and ends with the largest of them.
     """
     carried = [named(b) for b in by]
-    entries = [
-        F.when(c.failed, F.struct(F.lit(i).alias("check"), c.sample.alias("value")))
-        for i, c in enumerate(checks)
-        if c.failed is not None and c.sample is not None
-    ]
+    entries = []
+    for place, (i, check) in enumerate(_sampled(checks).items()):
+        hit = check.failed if reach is None else (named(row_id) <= F.get(reach, F.lit(place))) & check.failed
+        entries.append(F.when(hit, F.struct(F.lit(i).alias("check"), check.sample.alias("value"))))
     shape = [*by, "_row", "check", "value"]
     parts = []
     if entries:
-        # no filter ahead of the explode: it would evaluate every predicate twice
-        exploded = df.select(*carried, named(row_id).alias("_row"), F.explode(F.array(*entries)).alias("e"))
+        near = df if reach is None else df.where(named(row_id) <= F.get(reach, F.lit(len(entries))))
+        # no filter on the predicates ahead of the explode: it would evaluate them twice
+        exploded = near.select(*carried, named(row_id).alias("_row"), F.explode(F.array(*entries)).alias("e"))
         parts.append(exploded.where(F.col("e").isNotNull()).select(*by, "_row", "e.*"))
     for i, check in enumerate(checks):
         if not check.keys:
@@ -107,6 +118,32 @@ def first_failures(
     return ranked.withColumn("item", json_scalar(F.col("value")))
 
 
+def _slot_tally(df: DataFrame, tallies: list[Column], checks: Sequence[Check], row_id: str) -> DataFrame:
+    """The tallies and each sampled check's first failing row, for every one of REACH_SLOTS row slots.
+
+    They come as one array, so that whoever reads part of it shares the one
+    aggregation with whoever reads the rest.
+    """
+    row = named(row_id).cast("bigint")
+    firsts = [F.min(F.when(check.failed, row)) for check in _sampled(checks).values()]
+    slot = F.pmod(F.xxhash64(row), F.lit(REACH_SLOTS)).alias("_slot")
+    return df.groupBy(slot).agg(F.array(*tallies, *firsts).alias("_tally"))
+
+
+def _reach(slots: DataFrame, offset: int, count: int) -> Column:
+    """How far the first five failing rows of each check can lie, and the farthest of these bounds.
+
+    Five slots with a failing row hold five failing rows, none beyond the fifth
+    smallest of their first ones. With fewer such slots there is no bound.
+    """
+    unbounded = F.lit(2**63 - 1).cast("bigint")
+    bounds = []
+    for n in range(offset, offset + count):
+        firsts = F.array_sort(F.collect_list(F.get("_tally", F.lit(n))))
+        bounds.append(F.coalesce(F.get(firsts, F.lit(SAMPLES_PER_CHECK - 1)), unbounded))
+    return slots.agg(F.array(*bounds, F.array_max(F.array(*bounds)))).scalar()
+
+
 def measure(
     df: DataFrame, checks: Sequence[Check], row_id: str, by: Sequence[str] = (), samples: bool = True
 ) -> DataFrame:
@@ -124,7 +161,13 @@ def measure(
         flags = [c.failed for c in checks if c.dimension == dimension and c.failed is not None]
         local[_any(dimension)] = F.count_if(any_of(flags)) if flags else F.lit(0).cast("bigint")
     columns = ["rows", *[_failed(i) for i in range(len(checks))], *[_any(d) for d in DIMENSIONS]]
-    parts = [df.groupBy(*by).agg(*[value.alias(name) for name, value in local.items()])]
+    reach = None
+    if samples and not by and _sampled(checks) and isinstance(type_of(df, row_id), T.IntegralType):
+        slots = _slot_tally(df, list(local.values()), checks, row_id)
+        parts = [slots.agg(*[F.sum(F.get("_tally", F.lit(n))).alias(name) for n, name in enumerate(local)])]
+        reach = _reach(slots, len(local), len(_sampled(checks)))
+    else:
+        parts = [df.groupBy(*by).agg(*[value.alias(name) for name, value in local.items()])]
 
     for i, check in enumerate(checks):
         if not check.keys:
@@ -138,7 +181,7 @@ def measure(
         counted = key_counts(df, check.keys, by, row_id).groupBy(*by).agg(failed.alias(_failed(i)))
         parts.append(counted.withColumn(_any(check.dimension), F.col(_failed(i))))
     if samples and any(c.sample is not None for c in checks):
-        found = first_failures(df, checks, row_id, by)
+        found = first_failures(df, checks, row_id, by, reach)
         parts.append(found.select(*by, F.struct("check", "rank", "item").alias("sample")))
 
     facts = parts[0]
