@@ -33,6 +33,7 @@ def attach_flags(
     checks: Sequence[Check],
     row_id: str,
     by: Sequence[str] = (),
+    keep: Sequence[str] = (),
     shared_only: bool = False,
 ) -> tuple[DataFrame, list[Check]]:
     """Resolve uniqueness checks into row flags, so that they are row predicates too.
@@ -40,15 +41,38 @@ def attach_flags(
     With ``shared_only`` just those are resolved that share their dimension
     with another check; alone in its dimension a uniqueness check needs counts
     per key and no flags.
+
+    Row predicates are evaluated first: what the flags' joins may have to
+    shuffle is keys, booleans and the columns to ``keep``, not their inputs.
     """
-    resolved = []
-    for i, check in enumerate(checks):
+
+    def to_resolve(check: Check) -> bool:
         alone = sum(c.dimension == check.dimension for c in checks) == 1
-        if check.keys and not (shared_only and alone):
+        return bool(check.keys) and not (shared_only and alone)
+
+    if not any(to_resolve(check) for check in checks):
+        return df, list(checks)
+    columns = dict.fromkeys([*by, row_id, *keep, *[k for check in checks for k in check.keys]])
+    evaluated, plain = [], []
+    for i, check in enumerate(checks):
+        if check.failed is not None:
+            evaluated.append(check.failed.alias(f"_failed{i}"))
+        if check.sample is not None:
+            value = check.sample if check.failed is None else F.when(check.failed, check.sample)
+            evaluated.append(value.alias(f"_sample{i}"))
+        plain.append(
+            replace(
+                check,
+                failed=None if check.failed is None else F.col(f"_failed{i}"),
+                sample=None if check.sample is None else F.col(f"_sample{i}"),
+            )
+        )
+    df = df.select(*[named(c) for c in columns], *evaluated)
+    for i, check in enumerate(checks):
+        if to_resolve(check):
             df = flag_duplicates(df, (*by, *check.keys), row_id, f"_dup{i}")
-            check = replace(check, keys=(), failed=F.col(f"_dup{i}"))
-        resolved.append(check)
-    return df, resolved
+            plain[i] = replace(plain[i], keys=(), failed=F.col(f"_dup{i}"))
+    return df, plain
 
 
 def _failed(i: int) -> str:

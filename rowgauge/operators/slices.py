@@ -29,7 +29,7 @@ def score_by_slice(
     present = [tuple(c for c in s if c in df.columns) for s in slices]
     present = [s for s in dict.fromkeys(present) if s]
     columns = list(dict.fromkeys(c for s in present for c in s))
-    df, checks = attach_flags(df, checks, row_id)
+    df, checks = attach_flags(df, checks, row_id, keep=columns)
     tallies = [F.count(F.lit(1)).alias("rows")]
     for dimension in DIMENSIONS:
         flags = [c.failed for c in checks if c.dimension == dimension]

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 from functools import cached_property
 
@@ -65,12 +64,22 @@ class Assessment:
         return Assessment(self._table, self._checks, self._profile, lambda samples: stored)
 
 
-@dataclass(frozen=True)
 class RuleReport:
-    """Scores (one row) and one row per rule, failing or not."""
+    """Lazy results of declared rules: scores (one row) and one row per rule, failing or not."""
 
-    scores: DataFrame
-    rules: DataFrame
+    def __init__(self, checks: list[Check], weights: Mapping[str, float], facts: Callable[[bool], DataFrame]) -> None:
+        self._checks = checks
+        self._weights = weights
+        self._facts = facts
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        scored = with_scores(self._facts(False), self._checks, self._weights)
+        return scored.select("rows", *SCORE_COLUMNS.values())
+
+    @cached_property
+    def rules(self) -> DataFrame:
+        return check_rows(self._facts(True), self._checks)
 
 
 def run_time(run_ts: datetime | str) -> Column:
@@ -172,11 +181,8 @@ def evaluate(df: DataFrame, rules: RuleSet, *, row_id: str | None = None, sample
     prepare(df.sparkSession)
     keyed, order = with_row_id(df, row_id)
     checks = [rule_check(df, rule) for rule in rules.rules]
-    facts = measure(keyed, checks, order, samples=samples)
-    scores = with_scores(facts, checks, rules.weights)
     return RuleReport(
-        scores=scores.select("rows", *SCORE_COLUMNS.values()),
-        rules=check_rows(facts, checks),
+        checks, rules.weights, lambda wanted: measure(keyed, checks, order, samples=wanted and samples)
     )
 
 

@@ -32,7 +32,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     The folder comes from ``spark.checkpoint.dir``. Only a local-mode session
     without that setting falls back to a folder of this machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
