@@ -75,11 +75,11 @@ def attach_flags(
     return df, plain
 
 
-def _failed(i: int) -> str:
+def failed_name(i: int) -> str:
     return f"failed_{i}"
 
 
-def _any(dimension: str) -> str:
+def any_name(dimension: str) -> str:
     return f"any_{dimension.lower()}"
 
 
@@ -180,11 +180,11 @@ def measure(
     local = {"rows": F.count(F.lit(1))}
     for i, check in enumerate(checks):
         if check.failed is not None:
-            local[_failed(i)] = F.count_if(check.failed)
+            local[failed_name(i)] = F.count_if(check.failed)
     for dimension in DIMENSIONS:
         flags = [c.failed for c in checks if c.dimension == dimension and c.failed is not None]
-        local[_any(dimension)] = F.count_if(any_of(flags)) if flags else F.lit(0).cast("bigint")
-    columns = ["rows", *[_failed(i) for i in range(len(checks))], *[_any(d) for d in DIMENSIONS]]
+        local[any_name(dimension)] = F.count_if(any_of(flags)) if flags else F.lit(0).cast("bigint")
+    columns = ["rows", *[failed_name(i) for i in range(len(checks))], *[any_name(d) for d in DIMENSIONS]]
     reach = None
     if samples and not by and _sampled(checks) and isinstance(type_of(df, row_id), T.IntegralType):
         slots = _slot_tally(df, list(local.values()), checks, row_id)
@@ -202,8 +202,8 @@ def measure(
             # same as the one behind the samples, so Spark runs it once
             repeated = repeated & F.col("_first").isNotNull()
         failed = F.coalesce(F.sum(F.when(repeated, F.col("_n"))), F.lit(0))
-        counted = key_counts(df, check.keys, by, row_id).groupBy(*by).agg(failed.alias(_failed(i)))
-        parts.append(counted.withColumn(_any(check.dimension), F.col(_failed(i))))
+        counted = key_counts(df, check.keys, by, row_id).groupBy(*by).agg(failed.alias(failed_name(i)))
+        parts.append(counted.withColumn(any_name(check.dimension), F.col(failed_name(i))))
     if samples and any(c.sample is not None for c in checks):
         found = first_failures(df, checks, row_id, by, reach)
         parts.append(found.select(*by, F.struct("check", "rank", "item").alias("sample")))
@@ -222,7 +222,7 @@ def dimension_score(checks: Sequence[Check], dimension: str) -> Column:
     """Share of rows passing every check of the dimension, in percent; 0 without rows."""
     if any(c.zero_score for c in checks if c.dimension == dimension):
         return F.lit(0.0)
-    share = F.col(_any(dimension)) / F.col("rows")
+    share = F.col(any_name(dimension)) / F.col("rows")
     return F.when(F.col("rows") > 0, round_score((1 - share) * 100)).otherwise(F.lit(0.0))
 
 
@@ -251,7 +251,7 @@ def failed_pct(failed: Column, rows: Column) -> Column:
 
 def _sample_json(i: int, check: Check) -> Column:
     if check.sample is None:
-        blanks = F.array_repeat(F.lit('""'), F.least(F.col(_failed(i)), F.lit(BLANKS_WITHOUT_COLUMN)).cast("int"))
+        blanks = F.array_repeat(F.lit('""'), F.least(F.col(failed_name(i)), F.lit(BLANKS_WITHOUT_COLUMN)).cast("int"))
         items = blanks
     else:
         mine = F.array_sort(F.filter("samples", lambda s: s["check"] == i))
@@ -270,7 +270,7 @@ def check_rows(facts: DataFrame, checks: Sequence[Check], keep: Sequence[str] =
             F.lit(check.rule).alias("rule"),
             F.lit(check.column).alias("column"),
             F.lit(check.severity).cast("string").alias("severity"),
-            F.col(_failed(i)).alias("failed_count"),
+            F.col(failed_name(i)).alias("failed_count"),
         ]
         if sampled:
             fields.append(_sample_json(i, check).alias("sample_values"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..model import DIMENSIONS
 from .checks import Check, any_of
-from .scoring import _any, attach_flags, with_scores
+from .scoring import any_name, attach_flags, with_scores
 
 
 def score_by_slice(
@@ -33,9 +33,9 @@ def score_by_slice(
     tallies = [F.count(F.lit(1)).alias("rows")]
     for dimension in DIMENSIONS:
         flags = [c.failed for c in checks if c.dimension == dimension]
-        tallies.append(F.count_if(any_of(flags)).alias(_any(dimension)))
+        tallies.append(F.count_if(any_of(flags)).alias(any_name(dimension)))
     finest = df.groupBy(*columns).agg(*tallies)
-    names = ["rows", *[_any(d) for d in DIMENSIONS]]
+    names = ["rows", *[any_name(d) for d in DIMENSIONS]]
     # the position of each slice's columns in the grouping bitmap, first column highest
     masks = {
         sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s): ",".join(s)

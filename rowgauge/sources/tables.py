@@ -33,6 +33,11 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
             return to_utc(value, T.StringType())
         if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
             return to_number(value, T.StringType()).cast(field.dataType)
+        if isinstance(field.dataType, T.IntegralType):
+            # whole numbers may be written as 10.0
+            number = to_number(value, T.StringType())
+            whole = F.when(number == F.floor(number), number.try_cast(field.dataType))
+            return F.coalesce(value.try_cast(field.dataType), whole)
         return value.try_cast(field.dataType)
 
     return df.withColumns({f.name: read(f) for f in schema if f.name in df.columns})

@@ -27,6 +27,12 @@ def test_csv_missing_values_and_quotes(spark, tmp_path):
     assert typed.columns == ["a", "b", "c"]
 
 
+def test_whole_numbers_as_fractions(spark):
+    df = spark.createDataFrame([(t,) for t in ("7", "7.0", "7.5", "1e3", "9223372036854775807", "1e30", "inf", "x", None)], "n string")
+    schema = T.StructType([T.StructField("n", T.LongType())])
+    assert [r.n for r in tables.typed(df, schema).collect()] == [7, 7, None, 1000, 2**63 - 1, None, None, None, None]
+
+
 def test_csv_keeps_blanks(spark, tmp_path):
     df = spark.createDataFrame([(1, "  a ", "x\ty"), (2, "", None)], "i long, s string, t string")
     path = str(tmp_path / "out")
