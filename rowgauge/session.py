@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 
 # HotSpot never compiles methods longer than this many bytes.
 LONGEST_COMPILED_METHOD = 8000
@@ -29,17 +26,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table, visible to every executor.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local-mode session
-    without that setting falls back to a folder of this machine.
+    The folder is the one that ``spark.checkpoint.dir`` names; where that is
+    unset, a folder in the warehouse, which a cluster shares as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL_SCRATCH:
-            _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="rowgauge-")
-        base = _LOCAL_SCRATCH[app]
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
