@@ -9,6 +9,7 @@ from rowgauge.session import scratch_path
 
 from .chat import format_chat, read_turns, text_part, under_loss
 from .linededup import drop_common_lines
+from .pieces import encode_pieces
 from .sharding import shard_documents
 from .storage import settle
 
@@ -59,6 +60,25 @@ def op2_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_model() -> bytes:
+    """The vocabulary file, read once on the driver."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        return file.read()
+
+
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded."""
+    found = encode_pieces(table(spark, sf_dir, "documents"), piece_model(), decoded=True)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that ten or more of them hold."""
     found = drop_common_lines(table(spark, sf_dir, "documents"), min_docs=10)
@@ -70,5 +90,6 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_chat_parts": op2_chat_parts,
+    "op6_pieces": op6_pieces,
     "op8_line_dedup": op8_line_dedup,
 }
