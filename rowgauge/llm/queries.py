@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from rowgauge.session import scratch_path
 
 from .chat import format_chat, read_turns, text_part, under_loss
+from .langid import held_out, identify, train
 from .linededup import drop_common_lines
 from .pieces import encode_pieces
 from .sharding import shard_documents
 from .storage import settle
+from .winnow import beside_next
 
 SHARDS = 24
 PROBE = "\\### Assistant: </turn> ok"
@@ -60,6 +62,18 @@ def op2_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out(F.col("doc_id"))))
+    return identify(docs.select("doc_id", "text"), model).withColumn("held_out", held_out(F.col("doc_id")))
+
+
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return beside_next(table(spark, sf_dir, "documents")).drop("places")
+
+
 def piece_model() -> bytes:
     """The vocabulary file, read once on the driver."""
     import public_tokenizers
@@ -90,6 +104,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_chat_parts": op2_chat_parts,
+    "op3_language": op3_language,
+    "op4_winnowing": op4_winnowing,
     "op6_pieces": op6_pieces,
     "op8_line_dedup": op8_line_dedup,
 }
