@@ -10,6 +10,7 @@ from rowgauge.session import scratch_path
 from .chat import format_chat, read_turns, text_part, under_loss
 from .langid import held_out, identify, train
 from .linededup import drop_common_lines
+from .neighbours import nearest
 from .pieces import encode_pieces
 from .sharding import shard_documents
 from .storage import settle
@@ -101,6 +102,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector, among all vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, F.pmod(F.col("vec_id"), F.lit(20)) == 0, k=20)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_chat_parts": op2_chat_parts,
@@ -108,4 +115,5 @@ QUERIES = {
     "op4_winnowing": op4_winnowing,
     "op6_pieces": op6_pieces,
     "op8_line_dedup": op8_line_dedup,
+    "op10_forest": op10_forest,
 }
