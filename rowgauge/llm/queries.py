@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowgauge.session import scratch_path
 
+from . import pii
 from .chat import format_chat, read_turns, text_part, under_loss
 from .langid import held_out, identify, train
 from .linededup import drop_common_lines
@@ -94,6 +95,31 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.train(docs)).withColumn("every", F.concat("base", "added"))
+    by_kind = F.flatten(
+        F.array(
+            *[
+                F.sort_array(F.filter("every", lambda s, k=kind: s["kind"] == k))
+                for kind in pii.KINDS
+            ]
+        )
+    )
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("every", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined(by_kind).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that ten or more of them hold."""
     found = drop_common_lines(table(spark, sf_dir, "documents"), min_docs=10)
@@ -114,6 +140,7 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_winnowing": op4_winnowing,
     "op6_pieces": op6_pieces,
+    "op7_pii": op7_pii,
     "op8_line_dedup": op8_line_dedup,
     "op10_forest": op10_forest,
 }
