@@ -14,6 +14,7 @@ from .linededup import drop_common_lines
 from .neighbours import nearest
 from .pieces import encode_pieces
 from .sharding import shard_documents
+from .simjoin import similar_documents
 from .storage import settle
 from .winnow import beside_next
 
@@ -76,6 +77,11 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return beside_next(table(spark, sf_dir, "documents")).drop("places")
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies and its number of links."""
+    return similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_of", "n_links")
+
+
 def piece_model() -> bytes:
     """The vocabulary file, read once on the driver."""
     import public_tokenizers
@@ -99,23 +105,18 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find_pii(docs, pii.train(docs)).withColumn("every", F.concat("base", "added"))
-    by_kind = F.flatten(
-        F.array(
-            *[
-                F.sort_array(F.filter("every", lambda s, k=kind: s["kind"] == k))
-                for kind in pii.KINDS
-            ]
-        )
-    )
+
+    def of(kind):
+        return F.sort_array(F.filter("every", lambda s: s["kind"] == kind))
 
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     return found.select(
         "doc_id",
-        *[F.size(F.filter("every", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(joined("base"), 256).alias("base_sha256"),
-        joined(by_kind).alias("spans"),
+        joined(F.flatten(F.array(*[of(kind) for kind in pii.KINDS]))).alias("spans"),
         F.size("added").cast("long").alias("n_added"),
     )
 
@@ -139,6 +140,7 @@ QUERIES = {
     "op2_chat_parts": op2_chat_parts,
     "op3_language": op3_language,
     "op4_winnowing": op4_winnowing,
+    "op5_jaccard": op5_jaccard,
     "op6_pieces": op6_pieces,
     "op7_pii": op7_pii,
     "op8_line_dedup": op8_line_dedup,
