@@ -131,8 +131,15 @@ class Model:
         return best, score, entropy.min(axis=1) > allowed
 
 
-def _smoothed(counts: dict[str, Counter], order: int) -> tuple[list[dict], list[dict], float]:
-    """Interpolated Kneser-Ney of one language: by order, n-gram to log probability and context to back-off."""
+def _discount(counts: Counter) -> float:
+    once, twice = (sum(1 for c in counts.values() if c == k) for k in (1, 2))
+    return once / (once + 2 * twice) if once and twice else 0.5
+
+
+def _smoothed(counts: Counter, order: int, highest: float | None = None) -> tuple[list[dict], list[dict], float]:
+    """Interpolated Kneser-Ney of one language: by order, n-gram to log probability and context to back-off.
+
+    ``highest``: the discount of the highest order, if not to be taken from these counts."""
     levels: list[Counter] = [Counter() for _ in range(order)]
     levels[order - 1] = counts
     for n in range(order - 2, -1, -1):  # lower orders count the distinct characters before
@@ -143,8 +150,7 @@ def _smoothed(counts: dict[str, Counter], order: int) -> tuple[list[dict], list[
     alphabet = len(levels[0]) + 1
     lower: dict[str, float] = {}
     for n in range(order):
-        once, twice = (sum(1 for c in levels[n].values() if c == k) for k in (1, 2))
-        discount = once / (once + 2 * twice) if once and twice else 0.5
+        discount = _discount(levels[n]) if n < order - 1 or highest is None else highest
         total, kinds = Counter(), Counter()
         for gram, c in levels[n].items():
             total[gram[:-1]] += c
@@ -162,9 +168,9 @@ def _smoothed(counts: dict[str, Counter], order: int) -> tuple[list[dict], list[
     return [{g: math.log(p) for g, p in level.items()} for level in prob], back, math.log(rest)
 
 
-def _assemble(counts: dict[str, Counter], order: int) -> Model:
+def _assemble(counts: dict[str, Counter], order: int, highest: dict[str, float] | None = None) -> Model:
     langs = sorted(counts)
-    fitted = {lang: _smoothed(counts[lang], order) for lang in langs}
+    fitted = {lang: _smoothed(counts[lang], order, (highest or {}).get(lang)) for lang in langs}
     none = np.zeros(len(langs))
     model = Model(langs, [], [], [], np.array([fitted[x][2] for x in langs]), none, none)
     values: list[dict[str, np.ndarray]] = []
@@ -217,33 +223,43 @@ def train(docs: DataFrame, id_col: str = "doc_id", lang: str = "lang", text: str
     """Fit and calibrate the models on labelled rows: three parts of the sample to count, one to calibrate.
 
     What reaches the driver is bounded by the sample. A language is learned if
-    a sampled text of it has a letter; without any, the model knows none.
+    a sampled text of it has a letter; without any, the model knows none. An
+    n-gram that one sampled text alone has teaches nothing, unless a language has
+    no others: a text under the wrong label can't vouch for itself.
     """
     sample = sample_labelled(docs, id_col, lang, text)
-    schema = "lang string, fold int, gram string, n long"
+    schema = "lang string, fold int, gram string, n long, docs long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches, 1):
-            grams: Counter = Counter()
+            grams, holders = Counter(), Counter()
             for label, fold, t in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), texts):
+                own: Counter = Counter()
                 for chars in _passages(normal(t)):
                     line = " " * (order - 2) + chars.tobytes().decode("utf-32-le") if len(chars) else ""
-                    grams.update((label, int(fold == 0), line[i : i + order]) for i in range(len(line) - order + 1))
+                    own.update((label, int(fold == 0), line[i : i + order]) for i in range(len(line) - order + 1))
+                grams.update(own)
+                holders.update(own.keys())
             if grams:
                 rows = list(grams)
                 columns = [pa.array([r[i] for r in rows]) for i in range(3)]
                 columns[1] = columns[1].cast(pa.int32())
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(list(grams.values()), pa.int64())], names=["lang", "fold", "gram", "n"])
+                columns += [pa.array([c[r] for r in rows], pa.int64()) for c in (grams, holders)]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "fold", "gram", "n", "docs"])
 
-    counted = sample.mapInArrow(count, schema).groupBy("lang", "fold", "gram").agg(F.sum("n").alias("n"))
+    counted = sample.mapInArrow(count, schema).groupBy("lang", "fold", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     parts: dict[str, list[Counter]] = defaultdict(lambda: [Counter(), Counter()])
-    for r in counted.toLocalIterator():
+    shared: dict[str, list[Counter]] = defaultdict(lambda: [Counter(), Counter()])
+    for r in counted.collect():
         parts[r["lang"]][r["fold"]][r["gram"]] = r["n"]
-    counts = {x: a or b for x, (a, b) in parts.items()}
+        if r["docs"] > 1:
+            shared[r["lang"]][r["fold"]][r["gram"]] = r["n"]
+    every = {x: a or b for x, (a, b) in parts.items()}
+    counts = {x: shared[x][0] or shared[x][1] or c for x, c in every.items()}
     if not counts:
         none = np.zeros(0)
         return Model([], [], [], [], none, none, none)
-    return _calibrated(_assemble(counts, order), sample)
+    return _calibrated(_assemble(counts, order, {x: _discount(c) for x, c in every.items()}), sample)
 
 
 def _calibrated(model: Model, sample: DataFrame) -> Model:
