@@ -11,6 +11,7 @@ from . import pii
 from .chat import format_chat, read_turns, text_part, under_loss
 from .langid import held_out, identify, train
 from .linededup import drop_common_lines
+from .mixing import mix
 from .neighbours import nearest
 from .pieces import encode_pieces
 from .sharding import shard_documents
@@ -129,6 +130,21 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The domains of the labels, and the share of the tokens that each is to have.
+MIX = {"clean": 0.95, "poor": 0.05, "toxic": 0.0}
+
+
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, domain``: toxic, or else of good or poor quality."""
+    named = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "clean")
+    return table(spark, sf_dir, "labels").select("doc_id", named.alias("domain"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate of every document for the wanted mix of domains."""
+    return mix(table(spark, sf_dir, "documents"), domain_labels(spark, sf_dir), MIX).drop("key")
+
+
 def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every twentieth vector, among all vectors."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -144,5 +160,6 @@ QUERIES = {
     "op6_pieces": op6_pieces,
     "op7_pii": op7_pii,
     "op8_line_dedup": op8_line_dedup,
+    "op9_mixing": op9_mixing,
     "op10_forest": op10_forest,
 }
