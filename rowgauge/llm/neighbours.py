@@ -37,7 +37,9 @@ RECALL = 0.96  # aimed at on the sample; 0.9 is asked for
 PROBES = 120  # sampled queries to measure it
 QUERY_BLOCK = 20_000
 SLACK = 8  # kept beyond the number asked for until scores are compared across leaves
-CHUNK = 4_096
+CHUNK = 1_024
+PART_ROWS = 250_000  # of a tree, searched by one task for a block of queries
+HELD = 256
 
 
 @dataclass
@@ -52,14 +54,16 @@ class Forest:
         return vectors @ self.normal.T - self.cut if len(self.cut) else np.zeros((len(vectors), 0))
 
     def leaves(self, vectors: np.ndarray) -> np.ndarray:
-        """The leaf of every vector in every tree."""
-        margins = self.margins(vectors)
+        """The leaf of every vector in every tree; margins of a few vectors are held at a time."""
         out = np.empty((len(vectors), len(self.roots)), np.int64)
-        for t, root in enumerate(self.roots):
-            node = np.full(len(vectors), root)
-            while (inner := np.flatnonzero(node >= 0)).size:
-                node[inner] = self.child[node[inner], (margins[inner, node[inner]] > 0).astype(int)]
-            out[:, t] = -node - 1
+        for first in range(0, len(vectors), HELD):
+            some = slice(first, first + HELD)
+            margins = self.margins(vectors[some])
+            for t, root in enumerate(self.roots):
+                node = np.full(len(margins), root)
+                while (inner := np.flatnonzero(node >= 0)).size:
+                    node[inner] = self.child[node[inner], (margins[inner, node[inner]] > 0).astype(int)]
+                out[some, t] = -node - 1
         return out
 
     def visits(self, margins: np.ndarray, rows: np.ndarray, enough: float) -> list[int]:
@@ -162,6 +166,11 @@ def _batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, CHUNK)
 
 
+def _one_by_one(forest: Forest, vectors: np.ndarray) -> Iterator[np.ndarray]:
+    for first in range(0, len(vectors), HELD):
+        yield from forest.margins(vectors[first : first + HELD])
+
+
 class _Best:
     """The best so far of a block of queries in one part of one tree."""
 
@@ -255,7 +264,7 @@ def nearest(
     for r in placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect():  # a row per leaf
         held[r["leaf"]] = r["count"]
     enough = max(share * total, float(trees * (k + 2)))
-    each = max(1, math.ceil(int(spark.conf.get("spark.sql.shuffle.partitions")) / trees))  # parts of a tree
+    each = max(1, math.ceil(total / PART_ROWS))  # parts of a tree
     part_of = forest.tree_of.astype(np.int64) * each + np.arange(len(forest.tree_of)) % each
     known = spark.sparkContext.broadcast((held, part_of))  # a number per leaf
     asking = good.where("asks").select("id", "v")
@@ -267,7 +276,7 @@ def nearest(
         held, part_of = known.value
         for batch in _batches(batches):
             lines = []
-            for i, margin in enumerate(shared.value.margins(as_query(_matrix(batch.column(1))))):
+            for i, margin in enumerate(_one_by_one(shared.value, as_query(_matrix(batch.column(1))))):
                 by_part: dict[int, list[int]] = {}
                 for leaf in shared.value.visits(margin.tolist(), held, enough):
                     by_part.setdefault(int(part_of[leaf]), []).append(leaf)
