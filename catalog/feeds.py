@@ -6,17 +6,23 @@ the order key, so that every check has something to find at any scale.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowgauge import Assessment, assess_runs, compile_rules
 from rowgauge.model import RuleSet
-from rowgauge.session import prepare, scratch_path
+from rowgauge.session import scratch_path
 from rowgauge.sources.history import append_issues, append_summary, read_issues, read_summary
 
 RUN_TS = "2024-03-01T06:30:00+00:00"
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """The session of the registered queries keeps time in UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -77,9 +83,20 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_orders(spark, sf_dir).select("row_id", *FEED_COLUMNS)
 
 
+def delivered() -> Column:
+    """New Year's morning after the order."""
+    return F.make_timestamp(F.col("run_year") + 1, F.lit(1), F.lit(1), F.lit(6), F.lit(30), F.lit(0))
+
+
+def ruled(spark: SparkSession, sf_dir: str) -> Assessment:
+    """Every order year as a run, under the declared rules."""
+    raw = raw_orders(spark, sf_dir).withColumn("delivered", delivered())
+    return assess_runs(raw, run_ts="delivered", row_id="row_id", rules=order_rules())
+
+
 def yearly(spark: SparkSession, sf_dir: str) -> Assessment:
     """Every order year as a run, delivered on New Year's morning."""
-    at = F.make_timestamp(F.col("run_year") + 1, F.lit(1), F.lit(1), F.lit(6), F.lit(30), F.lit(0))
+    at = delivered()
     raw = raw_orders(spark, sf_dir).select("row_id", *FEED_COLUMNS, at.alias("delivered"))
     return assess_runs(raw, run_ts="delivered", row_id="row_id")
 
@@ -112,7 +129,10 @@ def stored_history(
 
 
 def order_rules() -> RuleSet:
-    """Declared rules for the order feed, one or more of every kind."""
+    """Declared rules for the order feed, one or more of every kind.
+
+    The weights and the slices are fixed values.
+    """
     return compile_rules(
         {
             "version": "1.1.0",

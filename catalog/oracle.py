@@ -53,13 +53,9 @@ def pct(failed: str, rows: str = "n") -> str:
 
 
 def share(failed: str = "failed_count", rows: str = "n") -> str:
-    """Two decimals of the exact binary value."""
+    """Two decimals of the exact binary value, as printed."""
     x = f"(CAST({failed} AS DOUBLE) / CAST({rows} AS DOUBLE) * CAST(100 AS DOUBLE))"
-    p = f"({x} * CAST(100 AS DOUBLE))"
-    high = f"({x} * CAST(134217729 AS DOUBLE) - ({x} * CAST(134217729 AS DOUBLE) - {x}))"
-    error = f"(({high} * CAST(100 AS DOUBLE) - {p}) + ({x} - {high}) * CAST(100 AS DOUBLE))"
-    return f"""(CAST(CASE WHEN {p} - floor({p}) = 0.5 AND {error} > 0 THEN floor({p}) + 1
-      WHEN {p} - floor({p}) = 0.5 AND {error} < 0 THEN floor({p}) ELSE round_even({p}, 0) END AS DOUBLE) / 100)"""
+    return f"CAST(printf('%.2f', {x}) AS DOUBLE)"
 
 
 def text_item(name: str) -> str:
@@ -156,18 +152,24 @@ DELTA = "CASE WHEN {0} IS NULL THEN 'N/A' ELSE printf('%+.2f pp', {0}) END"
 
 # Declared rules
 
-RULES = f"""
-feed AS ({FEED}),
-ruled AS (SELECT *, 1 AS run,
-  count(*) OVER (PARTITION BY order_id) > 1 AS r0,
+def rule_ctes(source: str = FEED, run: str = "1") -> str:
+    return f"""
+feed AS ({source}),
+timed AS (SELECT *, {run} AS run FROM feed),
+ruled AS (SELECT *,
+  count(*) OVER (PARTITION BY run, order_id) > 1 AS r0,
   order_ts_utc IS NULL AS r1, ingest_ts_utc IS NULL AS r2,
   country IS NULL OR country = '' AS r3, email IS NULL OR email = '' AS r4,
   NOT coalesce(channel IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY'), false) AS r5,
   NOT coalesce(regexp_matches(email, '(?i)^\\s*customer\\.\\d+@EXAMPLE\\.com\\s*$'), false) AS r6,
   NOT coalesce(TRY_CAST(amount AS DOUBLE) BETWEEN 0 AND 400000, false) AS r7,
-  coalesce({DELAY} < 0 OR {DELAY} > 720, true) AS r8 FROM feed),
+  coalesce({DELAY} < 0 OR {DELAY} > 720, true) AS r8 FROM timed),
 counted AS (SELECT *, r1 OR r2 OR r3 OR r4 AS bad_c, r5 OR r6 OR r7 AS bad_v FROM ruled)"""
 
+
+RULES = rule_ctes()
+TRIMMED = f"SELECT * REPLACE (trim(email) AS email, trim(country) AS country) FROM ({FEED})"
+
 WEIGHTED = rounded(
     "(completeness_pct * 0.30::DOUBLE + validity_pct * 0.35::DOUBLE + uniqueness_pct * 0.20::DOUBLE"
     " + timeliness_pct * 0.15::DOUBLE) / 1"
@@ -206,48 +208,11 @@ RULE_ROWS = " UNION ALL ".join(
 )
 RULE_SAMPLES = sample_ctes([(i, f"r{i}", item) for i, (*_, item) in enumerate(RULE_LIST)], "counted")
 
-# Synthetic orders
-
-
-def draw(field: int, size: int, row: str = "row_id") -> str:
-    prime = 2147483647
-    start = f"(({row} * 48271 + {(42 * 69621 + field * 40692) % prime}) % {prime})"
-    mixed = f"(({start} * {start} + 16807) % {prime})"
-    return f"((({mixed} * {mixed} + {start}) % {prime}) % {size})"
-
-
-def synth(now: str = ONCE) -> str:
-    return f"""
-SELECT row_id, row_id AS order_id,
-  'user' || CAST({draw(1, 1000000)} AS VARCHAR) || '.' || CAST(row_id AS VARCHAR) || '@example.org' AS email,
-  list_extract(['CA', 'US', 'GB', 'DE', 'FR', 'NL', 'SE', 'TR'], CAST({draw(2, 8)} + 1 AS INTEGER)) AS country,
-  CAST({draw(3, 94501)} + 500 AS DOUBLE) / 100 AS amount,
-  {now} - to_minutes(CAST({draw(4, 36)} * 1440 + {draw(5, 1441)} AS BIGINT)) AS order_ts_utc,
-  {now} - to_minutes(CAST({draw(4, 36)} * 1440 + {draw(5, 1441)} - {draw(6, 241)} AS BIGINT)) AS ingest_ts_utc
-FROM (SELECT o_orderkey + 1 AS row_id FROM orders)"""
-
-
-def defects(now: str = ONCE) -> str:
-    return f"""
-SELECT s.row_id,
-  CASE WHEN r.rep_no IS NOT NULL THEN 10 * r.rep_no ELSE order_id END AS order_id,
-  CASE WHEN b.bad_no = 4 THEN 'invalid-email' ELSE email END AS email,
-  CASE WHEN b.bad_no = 6 THEN '' ELSE country END AS country,
-  CASE WHEN b.bad_no = 5 THEN -(CAST({draw(9, 89001, "s.row_id")} + 1000 AS DOUBLE) / 100) ELSE amount END AS amount,
-  order_ts_utc,
-  CASE WHEN b.bad_no <= 3 THEN NULL WHEN l.late_no IS NOT NULL THEN order_ts_utc + INTERVAL 900 MINUTE
-       ELSE ingest_ts_utc END AS ingest_ts_utc
-FROM ({synth(now)}) s
-LEFT JOIN (SELECT row_id, row_number() OVER (ORDER BY {draw(7, 2147483647)}, row_id) AS bad_no
-           FROM (SELECT o_orderkey + 1 AS row_id FROM orders) QUALIFY bad_no <= 6) b ON b.row_id = s.row_id
-LEFT JOIN (SELECT row_id, row_number() OVER (ORDER BY {draw(8, 2147483647)}, row_id) AS late_no
-           FROM (SELECT o_orderkey + 1 AS row_id FROM orders) QUALIFY late_no <= 3) l ON l.row_id = s.row_id
-LEFT JOIN (SELECT row_id, 4 - row_number() OVER (ORDER BY row_id DESC) AS rep_no
-           FROM (SELECT o_orderkey + 1 AS row_id FROM orders) QUALIFY rep_no >= 1) r ON r.row_id = s.row_id"""
-
-
 SECOND = "TIMESTAMP '2024-03-02 06:30:00'"
-BOTH_RUNS = f"""SELECT *, {ONCE} AS run FROM ({defects(ONCE)}) UNION ALL SELECT *, {SECOND} AS run FROM ({synth(SECOND)})"""
+BOTH_RUNS = f"""SELECT {COLUMNS}, {ONCE} AS run FROM ({FEED})
+  UNION ALL SELECT {COLUMNS.replace("amount", "replace(amount, '-', '') AS amount")}, {SECOND} AS run FROM ({FEED})"""
+
+SAME_SECOND = f"CASE WHEN order_status = 'F' THEN {ONCE} ELSE {ONCE} + INTERVAL 1 SECOND END"
 
 CARDS = f"""
 SELECT s.run_id, s.run_label, {FMT.format("overall_pct")} AS overall,
@@ -264,6 +229,29 @@ JOIN (SELECT run_id, overall_pct - lag(overall_pct) OVER (ORDER BY run_ts_utc) A
 LEFT JOIN (SELECT run_id, count(*) AS issue_groups FROM issues GROUP BY run_id) g ON g.run_id = s.run_id"""
 
 
+# a shared id with another label, a null id, and the time rows of Run 3 found by their id alone
+LEGACY_CARDS = CARDS.replace("FROM summary s", "FROM more s").replace("FROM summary) d ON d.run_id = s.run_id", "FROM more) d ON d.run_label = s.run_label").replace(
+    "SELECT run_id, overall_pct - lag", "SELECT run_label, overall_pct - lag"
+).replace(
+    "(SELECT run_id, count(*) AS issue_groups FROM issues GROUP BY run_id) g ON g.run_id = s.run_id",
+    """(SELECT CASE WHEN dimension = 'Timeliness' AND run_label = 'Run 3' THEN 'Other' ELSE run_label END AS owner,
+       count(*) AS issue_groups FROM issues GROUP BY owner) g ON g.owner = s.run_label""",
+)
+MORE = """more AS (SELECT * FROM summary
+  UNION ALL SELECT * REPLACE ('Other' AS run_label, replace(run_ts_utc, '06:30:00', '06:30:01') AS run_ts_utc)
+    FROM summary WHERE run_label = 'Run 3'
+  UNION ALL SELECT * REPLACE ('Lost' AS run_label, replace(run_ts_utc, '06:30:00', '06:30:02') AS run_ts_utc, NULL AS run_id)
+    FROM summary WHERE run_label = 'Run 3')"""
+
+RULED_ROWS = " UNION ALL ".join(
+    f"""SELECT run, {i} AS chk, '{dimension}' AS dimension, '{rule}' AS rule, '{column}' AS "column", '{severity}' AS severity,
+    count(*) FILTER (WHERE r{i}) AS failed_count, count(*) AS n FROM counted GROUP BY run"""
+    for i, (dimension, rule, column, severity, _) in enumerate(RULE_LIST)
+)
+RULED_RUNS = f"""runs AS (SELECT run, 'Run ' || CAST(row_number() OVER (ORDER BY run) AS VARCHAR) AS run_label,
+  strftime(run, '%Y%m%d_%H%M%S') AS run_id, strftime(run, {ISO}) AS run_ts_utc FROM (SELECT DISTINCT run FROM timed))"""
+
+
 def check(number: int) -> str:
     return over(ONCE, f"SELECT row_id, c{number} AS failed FROM flags")
 
@@ -298,8 +286,17 @@ ORACLE: dict[str, str] = {
         """SELECT 'clean' AS name, true AS "exists", rows_after_hard_clean AS row_count FROM summary
            UNION ALL SELECT 'report', false, NULL""",
     ),
-    "synth_orders": synth(),
-    "synth_defects": defects(),
+    "append_same_second": over(
+        SAME_SECOND,
+        f"""SELECT {SUMMARY.replace("run_id, run_ts_utc", "'20240301_063000' AS run_id, '2024-03-01T06:30:00+00:00' AS run_ts_utc")}
+            FROM summary""",
+    ),
+    "history_mixed": over(
+        YEARLY,
+        f"""SELECT {SUMMARY.replace("run_label", "CASE WHEN run_id >= '1999' THEN 'R-' || run_id ELSE run_label END AS run_label").replace(
+            "rules_version", "CASE WHEN run_id >= '1999' THEN rules_version END AS rules_version")}, format
+            FROM summary, (VALUES ('parquet'), ('csv')) f(format)""",
+    ),
     "normalize_strings": over(ONCE, "SELECT row_id, email, country FROM norm"),
     "coerce_timestamps": """
 SELECT o_orderkey AS row_id,
@@ -327,10 +324,19 @@ SELECT row_id, CASE WHEN row_id % 6 IN (1, 4) THEN NULL WHEN row_id % 6 = 3 THEN
     "check_validity_any": over(ONCE, "SELECT row_id, c1 OR c2 AS failed FROM flags"),
     "rule_unique": """SELECT l_orderkey, l_linenumber, l_partkey,
                       count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS failed FROM lineitem""",
+    "rule_unique_nulls": f"""WITH feed AS ({FEED}),
+        flags AS (SELECT *, 1 AS run, count(*) OVER (PARTITION BY order_id) > 1 AS r0 FROM feed),
+        twice AS (SELECT *, r0 AND order_id IS NOT NULL AS r1 FROM flags),
+        {sample_ctes([(0, "r0", key_item("order_id")), (1, "r1", key_item("order_id"))], "twice")},
+        tally AS (SELECT 0 AS chk, 'nulls_fail' AS rule, count(*) FILTER (WHERE r0) AS failed_count, count(*) AS n FROM twice
+                  UNION ALL SELECT 1, 'nulls_pass', count(*) FILTER (WHERE r1), count(*) FROM twice)
+        SELECT set_no, rule, failed_count, {share()} AS failed_pct, sample_values
+        FROM tally JOIN samples USING (chk) JOIN (VALUES (0, 0), (1, 1), (2, 0), (2, 1)) s(set_no, chk) USING (chk)""",
     "rule_not_null": f"""SELECT row_id, order_ts_utc IS NULL AS order_ts_utc_failed, ingest_ts_utc IS NULL AS ingest_ts_utc_failed,
                          channel IS NULL OR channel = '' AS channel_failed, country IS NULL OR country = '' AS country_failed,
                          email IS NULL OR email = '' AS email_failed FROM ({FEED})""",
-    "rule_in_set": f"""SELECT row_id, channel, NOT coalesce(channel IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY'), false) AS failed
+    "rule_in_set": f"""SELECT row_id, channel, NOT coalesce(channel IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY'), false) AS failed,
+                       NOT coalesce(region IN (0, 2), false) AS region_failed, NOT coalesce(order_status = 'F', false) AS status_failed
                        FROM ({FEED})""",
     "rule_regex": over(
         ONCE,
@@ -359,6 +365,18 @@ SELECT row_id, CASE WHEN row_id % 6 IN (1, 4) THEN NULL WHEN row_id % 6 = 3 THEN
         f"SELECT chk AS check_no, dimension, rule, failed_count, {share()} AS failed_pct FROM failures",
     ),
     "issues": over(ONCE, f"SELECT {ISSUES} FROM issues"),
+    "issues_unkeyed": over(
+        ONCE,
+        """SELECT dimension, rule, failed_count, failed_pct,
+           CAST(least(failed_count, CASE WHEN "column" = '(required)' THEN 3 ELSE 5 END) AS INTEGER) AS n_samples FROM issues""",
+    ),
+    "ruled_summary": f"""WITH {rule_ctes(TRIMMED, YEARLY)}, {RULED_RUNS}, scored AS ({rule_scores("GROUP BY run", "run, count(*) FILTER (WHERE NOT bad_c) AS kept,")})
+        SELECT run_label, run_id, run_ts_utc, "rows" AS rows_raw, "rows" AS rows_after_global_fixes, kept AS rows_after_hard_clean,
+        completeness_pct, validity_pct, uniqueness_pct, timeliness_pct, overall_pct, '1.1.0' AS rules_version
+        FROM scored JOIN runs USING (run)""",
+    "ruled_issues": f"""WITH {rule_ctes(TRIMMED, YEARLY)}, {RULE_SAMPLES}, {RULED_RUNS}, listed AS ({RULED_ROWS})
+        SELECT run_label, run_id, dimension, rule, "column", failed_count, {share()} AS failed_pct, sample_values, severity
+        FROM listed JOIN runs USING (run) JOIN samples USING (run, chk) WHERE failed_count > 0""",
     "issue_samples": over(MONTHLY, 'SELECT run_id, "column", sample_values FROM issues'),
     "yearly_summary": over(YEARLY, f"SELECT {SUMMARY} FROM summary"),
     "yearly_issues": over(YEARLY, f"SELECT {ISSUES} FROM issues"),
@@ -430,8 +448,9 @@ SELECT row_id, CASE WHEN row_id % 6 IN (1, 4) THEN NULL WHEN row_id % 6 = 3 THEN
         + " FROM summary",
     ),
     "run_cards": over(YEARLY, CARDS),
+    "run_cards_legacy": f"WITH {history(run=YEARLY)}, {MORE} {LEGACY_CARDS}",
     "fmt_pct": f"""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 3 THEN 'N/A'
-                   ELSE {FMT.format("l_extendedprice")} END AS text FROM lineitem""",
+                   ELSE {FMT.format("(l_extendedprice * 1.0007::DOUBLE)")} END AS text FROM lineitem""",
     "sample_text": over(
         MONTHLY,
         f"""SELECT run_id, rule, CASE WHEN rule = 'email_format' THEN run_id WHEN "column" = '(required)' THEN 'oops ['
@@ -441,5 +460,10 @@ SELECT row_id, CASE WHEN row_id % 6 IN (1, 4) THEN NULL WHEN row_id % 6 = 3 THEN
         CASE WHEN overall_pct >= 95 THEN 'GOOD' WHEN overall_pct >= 85 THEN 'OK' ELSE 'RISK' END AS status FROM ({SLICES})""",
     "run_identity": f"""SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS run_id, strftime(ts, {ISO}) AS run_ts_utc,
                         strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS generated FROM events""",
-    "end_to_end": f"""WITH {history(BOTH_RUNS, "run", key_item("amount"))} {CARDS}""",
+    "end_to_end": f"""WITH {history(BOTH_RUNS, "run")} {CARDS}""",
+    "run_rerun": over(
+        ONCE,
+        """SELECT run_label, run_id, (SELECT count(*) FROM issues) AS issue_groups, 'Run 1' AS pointer, 'Run 1 Run 1' AS returned
+           FROM summary""",
+    ),
 }

@@ -8,24 +8,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowgauge import Profile, Rule, assess, evaluate, evaluate_slices
+from rowgauge import Profile, Rule, RuleSet, assess, evaluate, evaluate_slices
 from rowgauge.functions import display, values
 from rowgauge.model import RAW_SCHEMA, SCORE_COLUMNS, SUMMARY_SCHEMA
 from rowgauge.operators import checks, history, normalize, scoring, views
 from rowgauge.operators.uniqueness import flag_duplicates
 from rowgauge.plans import run as runs
 from rowgauge.plans.assess import issues_by_severity as by_severity
-from rowgauge.session import prepare, scratch_path
+from rowgauge.session import scratch_path
 from rowgauge.sources import history as history_tables
 from rowgauge.sources import manifest as manifests
-from rowgauge.sources import synth, tables
+from rowgauge.sources import tables
 
 from .feeds import (
+    FEED_COLUMNS,
     RUN_TS,
     monthly,
     order_rules,
     raw_feed,
     raw_orders,
+    ruled,
     stored_history,
     table,
     yearly,
@@ -137,16 +139,32 @@ def manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("path")
 
 
-def _row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("row_id"))
-
-
-def synth_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(synth.clean_orders(_row_numbers(spark, sf_dir), RUN_TS))
+def append_same_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two datasets assessed at one second into one history, the first stored twice."""
+    raw = raw_orders(spark, sf_dir)
+    done = F.coalesce(F.col("order_status") == "F", F.lit(False))
+    path = scratch_path(spark, "same-second")
+    found = [
+        assess(raw.where(part).select("row_id", *FEED_COLUMNS), run_ts=RUN_TS, run_label=label, row_id="row_id").summary
+        for part, label in ((done, "Run 1"), (~done, "Run 2"))
+    ]
+    for rows in (found[0], found[1], found[0]):
+        history_tables.append_summary(rows, path)
+    return history_tables.read_summary(spark, path)
 
 
-def synth_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(synth.inject_defects(synth.clean_orders(_row_numbers(spark, sf_dir), RUN_TS)))
+def history_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files without labels and version, later ones with labels of their own, in either format."""
+    rows = yearly(spark, sf_dir).summary
+    late = F.col("run_id") >= "1999"
+    parts = []
+    for fmt in ("parquet", "csv"):
+        path = scratch_path(spark, f"mixed-{fmt}")
+        tables.write_table(rows.where(~late).drop("run_label", "rules_version"), path, fmt)
+        named = rows.where(late).withColumn("run_label", F.concat(F.lit("R-"), F.col("run_id")))
+        history_tables.append_summary(named, path, fmt)
+        parts.append(history_tables.read_summary(spark, path, fmt).withColumn("format", F.lit(fmt)))
+    return history.union_history(*parts)
 
 
 # Projections and filters
@@ -283,10 +301,28 @@ def rule_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("row_id", *[_rule(raw, c, "not_null", c).alias(f"{c}_failed") for c in tested])
 
 
+def rule_unique_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A unique rule that null keys fail, and one that they pass."""
+    raw = raw_feed(spark, sf_dir)
+    rules = [
+        Rule(f"nulls_{'fail' if fail else 'pass'}", "Uniqueness", "unique", ("order_id",), nulls_fail=fail)
+        for fail in (True, False)
+    ]
+    # one at a time and together: alone a rule is counted by key, else by row
+    every = [RuleSet((rules[0],)), RuleSet((rules[1],)), RuleSet(tuple(rules))]
+    parts = [evaluate(raw, chosen, row_id="row_id").rules.withColumn("set_no", F.lit(i)) for i, chosen in enumerate(every)]
+    found = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return found.select("set_no", "rule", "failed_count", "failed_pct", "sample_values")
+
+
 def rule_in_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_orders(spark, sf_dir)
+    mixed = _rule(raw, "region", "in_set", "region", allowed=[0, "2", "x", 3.5, True])
+    texts = _rule(raw, "status", "in_set", "order_status", allowed=[1, "F"])
     known = _rule(raw, "channel", "in_set", "channel", allowed=["AUTOMOBILE", "BUILDING", "MACHINERY"])
-    return raw.select("row_id", "channel", known.alias("failed"))
+    return raw.select(
+        "row_id", "channel", known.alias("failed"), mixed.alias("region_failed"), texts.alias("status_failed")
+    )
 
 
 def rule_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,6 +408,13 @@ def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assessed(spark, sf_dir).issues
 
 
+def issues_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues of a table dealt out anew, without a row id: counts, and how many samples there are."""
+    found = assess(raw_feed(spark, sf_dir).drop("row_id").repartition(7), run_ts=RUN_TS).issues
+    samples = F.size(F.from_json("sample_values", "array<string>"))
+    return found.select("dimension", "rule", "failed_count", "failed_pct", samples.alias("n_samples"))
+
+
 def issue_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly(spark, sf_dir).issues.select("run_id", "column", "sample_values")
 
@@ -384,6 +427,17 @@ def yearly_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return yearly(spark, sf_dir).issues
 
 
+def ruled_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ruled(spark, sf_dir).summary
+
+
+def ruled_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues of declared rules, with their severity, as the history has them."""
+    path = scratch_path(spark, "ruled-issues")
+    history_tables.append_issues(ruled(spark, sf_dir).issues, path)
+    return history_tables.read_issues(spark, path)
+
+
 # Views of the history
 
 
@@ -455,11 +509,30 @@ def run_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.run_cards(*stored_history(spark, sf_dir))
 
 
+def run_cards_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards of a history with a shared and a null run id, and issues that lack the id or the label."""
+    summary, found = stored_history(spark, sf_dir)
+    third = summary.where(F.col("run_label") == "Run 3")
+
+    def again(label: str, second: str, rid: Column) -> DataFrame:
+        later = F.replace(F.col("run_ts_utc"), F.lit("06:30:00"), F.lit(f"06:30:{second}"))
+        return third.withColumns({"run_label": F.lit(label), "run_ts_utc": later, "run_id": rid})
+
+    summary = summary.union(again("Other", "01", F.col("run_id"))).union(again("Lost", "02", F.lit(None).cast("string")))
+    found = found.withColumns(
+        {
+            "run_id": F.when(F.col("dimension") != "Validity", F.col("run_id")),
+            "run_label": F.when(F.col("dimension") != "Timeliness", F.col("run_label")).otherwise(""),
+        }
+    )
+    return views.run_cards(summary, found)
+
+
 # Scalar functions
 
 
 def fmt_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice"))
+    price = F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice") * 1.0007)
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", display.fmt_pct(price).alias("text"))
 
 
@@ -494,16 +567,32 @@ def run_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generate one order per given order, assess, improve, assess again, and report."""
-    prepare(spark)
+    """Assess the feed, then the feed without minus signs, and report on both."""
     layout = runs.Layout(scratch_path(spark, "run"))
-    rows = _row_numbers(spark, sf_dir)
-    for now in (RUN_TS, "2024-03-02T06:30:00+00:00"):
-        if runs.run_all(spark, layout, now=now, rows=rows) != 0:
+    raw = raw_feed(spark, sf_dir)
+    mended = raw.withColumn("amount", F.replace(F.col("amount"), F.lit("-"), F.lit("")))
+    for now, given in ((RUN_TS, raw), ("2024-03-02T06:30:00+00:00", mended)):
+        if runs.run_all(spark, layout, now=now, raw=given) != 0:
             raise RuntimeError("the run left outputs missing")
     return runs.run_report(spark, layout)
 
 
+def run_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run cut short after its summary, started again, and once more: one run in every table."""
+    layout = runs.Layout(scratch_path(spark, "rerun"))
+    raw = raw_feed(spark, sf_dir)
+    runs.stage(raw, layout)
+    history_tables.append_summary(assess(raw, run_ts=RUN_TS, row_id="row_id").summary, layout.summary)
+    labels = [runs.run_assessment(spark, layout, run_ts=RUN_TS, row_id="row_id") for _ in range(2)]
+    groups = views.issue_group_count(
+        history_tables.read_summary(spark, layout.summary), history_tables.read_issues(spark, layout.issues)
+    )
+    pointer = spark.read.json(layout.last_run).first()["run_label"]
+    return groups.select(
+        "run_label", "run_id", "issue_groups", F.lit(pointer).alias("pointer"), F.lit(" ".join(labels)).alias("returned")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -519,8 +608,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         drilldown_export,
         dataset_shape,
         manifest_check,
-        synth_orders,
-        synth_defects,
+        append_same_second,
+        history_mixed,
         normalize_strings,
         coerce_timestamps,
         coerce_amount,
@@ -539,6 +628,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         check_delay,
         check_validity_any,
         rule_unique,
+        rule_unique_nulls,
         rule_not_null,
         rule_in_set,
         rule_regex,
@@ -554,7 +644,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         row_counts,
         failed_counts,
         issues,
+        issues_unkeyed,
         issue_samples,
+        ruled_summary,
+        ruled_issues,
         yearly_summary,
         yearly_issues,
         issue_group_count,
@@ -569,10 +662,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         trend_series,
         history_table,
         run_cards,
+        run_cards_legacy,
         fmt_pct,
         sample_text,
         run_status,
         run_identity,
         end_to_end,
+        run_rerun,
     )
 }

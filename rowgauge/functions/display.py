@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .values import strip
+from .values import round_up_share, strip
 
 # Status bounds and texts.
 GOOD_FROM = 95
@@ -25,11 +25,11 @@ def number_or(value: Column, fallback: float | None) -> Column:
 
 def fmt_pct(value: Column) -> Column:
     shown = value.isNotNull() & ~F.isnan(value)
-    return F.when(shown, F.format_string("%.2f%%", value)).otherwise("N/A")
+    return F.when(shown, F.format_string("%.2f%%", round_up_share(value))).otherwise("N/A")
 
 
 def fmt_delta(value: Column) -> Column:
-    return F.when(value.isNotNull(), F.format_string("%+.2f pp", value)).otherwise("N/A")
+    return F.when(value.isNotNull(), F.format_string("%+.2f pp", round_up_share(value))).otherwise("N/A")
 
 
 def status(overall: Column) -> Column:

@@ -165,8 +165,8 @@ def round_score(value: Column) -> Column:
     return F.rint(value * 100) / 100
 
 
-def round_share(value: Column) -> Column:
-    """Two decimals of the exact binary value, half to even.
+def _round_exact(value: Column, tie: Column) -> Column:
+    """Two decimals of the exact binary value; ``tie`` is where a true half goes, in hundredths.
 
     Scaling rounds too. Where it lands on a half, the rounding error, which
     splitting the factor makes exact, tells on which side the value really is.
@@ -175,5 +175,19 @@ def round_share(value: Column) -> Column:
     high = value * 134_217_729.0 - (value * 134_217_729.0 - value)
     error = (high * 100 - scaled) + (value - high) * 100
     whole = F.floor(scaled)
-    sided = F.when(error > 0, whole + 1).when(error < 0, whole).otherwise(F.rint(scaled))
+    sided = F.when(error > 0, whole + 1).when(error < 0, whole).otherwise(tie)
     return F.when(scaled - whole == 0.5, sided).otherwise(F.rint(scaled)) / 100
+
+
+def round_share(value: Column) -> Column:
+    """Two decimals of the exact binary value, half to even."""
+    return _round_exact(value, F.rint(value * 100))
+
+
+def round_up_share(value: Column) -> Column:
+    """Two decimals of the exact binary value, half away from zero, as shown texts have it."""
+    number = value.cast("double")
+    # beyond this no double has hundredths
+    small = F.abs(number) < 1e13
+    up = F.when(number < 0, F.floor(number * 100)).otherwise(F.ceil(number * 100))
+    return F.when(small, _round_exact(number, up)).otherwise(number)

@@ -6,8 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from .session import path_exists
+
 # Table layouts.
 RAW_SCHEMA = T.StructType(
     [
@@ -48,6 +51,9 @@ ISSUES_SCHEMA = T.StructType(
     ]
 )
 
+# What tells a run: several runs of one second share an id.
+RUN_KEY = ("run_label", "run_id")
+
 # Dimensions in scoring order, and their score columns.
 DIMENSIONS = ("Completeness", "Validity", "Uniqueness", "Timeliness")
 SCORE_COLUMNS = {
@@ -130,6 +136,18 @@ class RuleSet:
     weights: Mapping[str, float] = field(default_factory=dict)
     slices: tuple[tuple[str, ...], ...] = ()
     version: str = DEFAULT_VERSION
+    primary_key: str | None = None
+    event_column: str | None = None
+    arrival_column: str | None = None
+
+    def profile(self) -> Profile:
+        """How a table under these rules is normalised: its key and time columns are the declared ones."""
+        named = {
+            "primary_key": self.primary_key,
+            "event_column": self.event_column,
+            "arrival_column": self.arrival_column,
+        }
+        return Profile(version=self.version, **{k: v for k, v in named.items() if v})
 
 
 def _columns(entry: Mapping[str, Any]) -> tuple[str, ...]:
@@ -138,14 +156,32 @@ def _columns(entry: Mapping[str, Any]) -> tuple[str, ...]:
 
 
 def compile_rules(config: Mapping[str, Any]) -> RuleSet:
-    """Turn the declared grammar (a mapping, e.g. parsed YAML) into a RuleSet."""
+    """Turn the declared grammar (a mapping, e.g. parsed YAML) into a RuleSet.
+
+    The ``dataset`` block names the primary key and the two time columns, which
+    rules of the kinds ``unique`` and ``max_lag_hours`` need not repeat.
+    """
+    dataset = config.get("dataset") or {}
+    stamps = dataset.get("timestamps") or {}
+    key = dataset.get("primary_key")
+
+    def columns(entry: Mapping[str, Any]) -> tuple[str, ...]:
+        given = _columns(entry)
+        return (str(key),) if not given and key and entry["type"] == "unique" else given
+
+    def params(entry: Mapping[str, Any]) -> dict[str, Any]:
+        given = dict(entry.get("params") or {})
+        if entry["type"] == "max_lag_hours":
+            given = {**{k: stamps[k] for k in ("event_ts", "ingest_ts") if k in stamps}, **given}
+        return given
+
     rules = tuple(
         Rule(
             id=str(entry["id"]),
             dimension=str(entry["dimension"]).capitalize(),
             kind=str(entry["type"]),
-            columns=_columns(entry),
-            params=dict(entry.get("params") or {}),
+            columns=columns(entry),
+            params=params(entry),
             severity=str(entry.get("severity", "medium")),
             nulls_fail=bool(entry.get("nulls_fail", True)),
         )
@@ -158,18 +194,25 @@ def compile_rules(config: Mapping[str, Any]) -> RuleSet:
         weights={str(name).capitalize(): float(weight) for name, weight in weights.items()},
         slices=tuple(tuple(columns) for columns in slices),
         version=str(config.get("version", DEFAULT_VERSION)),
+        primary_key=key,
+        event_column=stamps.get("event_ts"),
+        arrival_column=stamps.get("ingest_ts"),
     )
 
 
-def load_config(path: str) -> Mapping[str, Any]:
-    """Read a YAML rule file on the driver; an absent file means no overrides."""
-    import os
+def load_config(spark: SparkSession, path: str, missing_ok: bool = False) -> Mapping[str, Any]:
+    """Read a YAML rule file from any file system that Spark reads.
 
-    if not os.path.exists(path):
-        return {}
+    An absent file raises; with ``missing_ok`` it means no overrides, which suits a
+    ``Profile`` and never declared rules.
+    """
+    if not path_exists(spark, path):
+        if missing_ok:
+            return {}
+        raise FileNotFoundError(f"Missing rule file: {path}")
     try:
         import yaml
     except ImportError as error:
         raise RuntimeError(f"reading {path} needs PyYAML") from error
-    with open(path, encoding="utf-8") as handle:
-        return yaml.safe_load(handle) or {}
+    text = spark.read.text(path, wholetext=True).first()
+    return (yaml.safe_load(text["value"]) if text else None) or {}

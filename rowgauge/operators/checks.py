@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.values import (
     delay_minutes,
@@ -32,7 +34,7 @@ class Check:
     uniqueness check, which no single row can decide. ``sample`` is the
     ``sample_value`` of the reported column, or None if the table lacks it.
     ``zero_score`` marks a check whose inputs are absent and whose dimension
-    therefore scores 0.
+    therefore scores 0. ``excuse_nulls``: null keys of a uniqueness check pass.
     """
 
     dimension: str
@@ -43,6 +45,7 @@ class Check:
     sample: Column | None = None
     severity: str | None = None
     zero_score: bool = False
+    excuse_nulls: bool = False
 
 
 def any_of(flags: Sequence[Column]) -> Column:
@@ -144,6 +147,27 @@ def _excuse_nulls(rule: Rule, df: DataFrame, name: str, failed: Column) -> Colum
     return failed if rule.nulls_fail else failed & ~is_missing(df, name)
 
 
+def as_type(value: object, kind: T.DataType) -> Column | None:
+    """An allowed value in the column's type; None if it can't be read as such, and so never matches."""
+    if isinstance(kind, T.StringType):
+        return F.lit(str(value).lower() if isinstance(value, bool) else str(value))
+    if isinstance(kind, T.BooleanType):
+        words = {"true": True, "false": False}
+        known = value if isinstance(value, bool) else words.get(str(value).strip().lower())
+        return None if known is None else F.lit(known)
+    if isinstance(kind, T.NumericType):
+        if isinstance(value, bool):
+            return None
+        try:
+            number = Decimal(str(value).strip())
+        except InvalidOperation:
+            return None
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            return F.lit(float(number)).cast(kind)
+        return F.lit(number) if number.is_finite() and len(number.as_tuple().digits) <= 38 else None
+    return F.lit(str(value)).try_cast(kind)
+
+
 def rule_failed(df: DataFrame, rule: Rule) -> Column:
     """The row predicate of a declared rule other than ``unique``."""
     params = rule.params
@@ -162,7 +186,8 @@ def rule_failed(df: DataFrame, rule: Rule) -> Column:
         return F.lit(False)
     value = named(name)
     if rule.kind == "in_set":
-        failed = ~F.coalesce(value.isin(*params["allowed"]), F.lit(False))
+        allowed = [v for v in (as_type(x, type_of(df, name)) for x in params["allowed"]) if v is not None]
+        failed = ~F.coalesce(value.isin(*allowed), F.lit(False)) if allowed else F.lit(True)
     elif rule.kind == "regex":
         failed = bad_pattern(df, name, params["pattern"], "I" in params.get("flags", ""))
     else:
@@ -198,4 +223,5 @@ def rule_check(df: DataFrame, rule: Rule) -> Check:
         sample=_sample(df, column),
         severity=rule.severity,
         zero_score=not timed,
+        excuse_nulls=not rule.nulls_fail,
     )

@@ -42,12 +42,13 @@ def sequence_runs(history: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 
 
 def default_labels(summary: DataFrame) -> DataFrame:
-    """Label the runs of a history that has no labels by their position."""
-    if "run_label" in summary.columns:
-        return summary
+    """Label the runs of a history that have no label by their position among all runs."""
     numbered = sequence_runs(summary)
-    label = F.concat(F.lit("Run "), F.col("run_no").cast("string")).alias("run_label")
-    return numbered.select(label, *summary.columns)
+    label = F.concat(F.lit("Run "), F.col("run_no").cast("string"))
+    if "run_label" in summary.columns:
+        label = F.coalesce("run_label", label)
+    rest = [c for c in summary.columns if c != "run_label"]
+    return numbered.select(label.alias("run_label"), *rest)
 
 
 def next_run_label(summary: DataFrame) -> DataFrame:

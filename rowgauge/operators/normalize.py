@@ -59,8 +59,9 @@ def normalize(df: DataFrame, profile: Profile, resolve_aliases: bool = False) ->
 def with_row_id(df: DataFrame, row_id: str | None) -> tuple[DataFrame, str]:
     """Give rows an order for samples.
 
-    A generated id follows the scan order and is stable only for the same file
-    splits, so a caller with a real row number should name it.
+    A generated id follows the scan order and may differ between two readings
+    of the input, so it orders samples but bounds nothing; a caller with a real
+    row number should name it.
     """
     if row_id is not None:
         return df, row_id

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions.values import json_scalar, named, round_score, round_share, type_of
 from ..model import DIMENSIONS, SCORE_COLUMNS
 from .checks import Check, any_of
+from .normalize import GENERATED_ROW_ID
 from .uniqueness import flag_duplicates, is_hot, key_columns, key_counts, mark_keys
 
 # Sample sizes of an issue row.
@@ -70,7 +71,8 @@ def attach_flags(
     df = df.select(*[named(c) for c in columns], *evaluated)
     for i, check in enumerate(checks):
         if to_resolve(check):
-            df = flag_duplicates(df, (*by, *check.keys), row_id, f"_dup{i}")
+            excused = check.keys if check.excuse_nulls else ()
+            df = flag_duplicates(df, (*by, *check.keys), row_id, f"_dup{i}", excused)
             plain[i] = replace(plain[i], keys=(), failed=F.col(f"_dup{i}"))
     return df, plain
 
@@ -95,17 +97,22 @@ def first_failures(
 
     Ranking keeps at most five rows per check in every task before the shuffle.
     ``reach`` gives, per sampled row predicate, a row that the first five
-    failing ones do not lie beyond, and ends with the largest of them.
+    failing ones do not lie beyond, and ends with the largest of them. Rows
+    without an id come first and lie within every bound.
     """
     carried = [named(b) for b in by]
     entries = []
+
+    def within(place: int) -> Column:
+        return named(row_id).isNull() | (named(row_id) <= F.get(reach, F.lit(place)))
+
     for place, (i, check) in enumerate(_sampled(checks).items()):
-        hit = check.failed if reach is None else (named(row_id) <= F.get(reach, F.lit(place))) & check.failed
+        hit = check.failed if reach is None else within(place) & check.failed
         entries.append(F.when(hit, F.struct(F.lit(i).alias("check"), check.sample.alias("value"))))
     shape = [*by, "_row", "check", "value"]
     parts = []
     if entries:
-        near = df if reach is None else df.where(named(row_id) <= F.get(reach, F.lit(len(entries))))
+        near = df if reach is None else df.where(within(len(entries)))
         # no filter on the predicates ahead of the explode: it would evaluate them twice
         exploded = near.select(*carried, named(row_id).alias("_row"), F.explode(F.array(*entries)).alias("e"))
         parts.append(exploded.where(F.col("e").isNotNull()).select(*by, "_row", "e.*"))
@@ -114,7 +121,7 @@ def first_failures(
             continue
         # The first five failing rows belong to the five repeated keys that
         # start first, so only those keys go back to the rows.
-        counts = key_counts(df, check.keys, by, row_id)
+        counts = key_counts(df, check.keys, by, row_id, check.excuse_nulls)
         repeated = counts.where(F.col("_n") > 1)
         names = [*by, *[f"_k{j}" for j in range(len(check.keys))]]
         rows = df.select(
@@ -175,6 +182,8 @@ def measure(
 
     Row predicates are counted in one scan with partial aggregation. Each lone
     uniqueness check adds one aggregation by key that reads the key column only.
+    Samples are bounded during the count if the row id is the table's own: a
+    generated one can differ between two readings of the input.
     """
     df, checks = attach_flags(df, checks, row_id, by, shared_only=True)
     local = {"rows": F.count(F.lit(1))}
@@ -186,7 +195,8 @@ def measure(
         local[any_name(dimension)] = F.count_if(any_of(flags)) if flags else F.lit(0).cast("bigint")
     columns = ["rows", *[failed_name(i) for i in range(len(checks))], *[any_name(d) for d in DIMENSIONS]]
     reach = None
-    if samples and not by and _sampled(checks) and isinstance(type_of(df, row_id), T.IntegralType):
+    own_id = row_id != GENERATED_ROW_ID and isinstance(type_of(df, row_id), T.IntegralType)
+    if samples and not by and _sampled(checks) and own_id:
         slots = _slot_tally(df, list(local.values()), checks, row_id)
         parts = [slots.agg(*[F.sum(F.get("_tally", F.lit(n))).alias(name) for n, name in enumerate(local)])]
         reach = _reach(slots, len(local), len(_sampled(checks)))
@@ -200,9 +210,9 @@ def measure(
         if samples:
             # always true; reading the first row too makes this aggregation the
             # same as the one behind the samples, so Spark runs it once
-            repeated = repeated & F.col("_first").isNotNull()
+            repeated = repeated & (F.col("_first").isNotNull() | (F.col("_n") > 0))
         failed = F.coalesce(F.sum(F.when(repeated, F.col("_n"))), F.lit(0))
-        counted = key_counts(df, check.keys, by, row_id).groupBy(*by).agg(failed.alias(failed_name(i)))
+        counted = key_counts(df, check.keys, by, row_id, check.excuse_nulls).groupBy(*by).agg(failed.alias(failed_name(i)))
         parts.append(counted.withColumn(any_name(check.dimension), F.col(failed_name(i))))
     if samples and any(c.sample is not None for c in checks):
         found = first_failures(df, checks, row_id, by, reach)

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.display import fmt_delta, fmt_pct, number_or, sample_text, status
-from ..functions.values import strip
 from ..model import DIMENSIONS, SCORE_COLUMNS
-from .history import run_order, sequence_runs
+from .history import backfill_labels, run_order, sequence_runs
 
 # Report columns and limits.
 DRILL_COLUMNS = ("dimension", "rule", "column", "failed_count", "failed_pct", "sample_values")
@@ -25,6 +24,10 @@ HISTORY_COLUMNS = (
 )
 TREND_ORDER = ("Overall", *DIMENSIONS)
 DRILL_ROWS = 50
+LATEST_MARK = " (latest)"
+NO_ISSUES = "No issues detected."
+SOME_ISSUES = "Use drill-down for details."
+RULES_PREFIX = "Rules: "
 
 
 def issues_for_run(issues: DataFrame, label: str | None) -> DataFrame:
@@ -117,55 +120,83 @@ def latest_run(summary: DataFrame) -> DataFrame:
     return marked.select(
         "run_label",
         "run_id",
-        F.when(is_last, F.concat(F.col("run_label"), F.lit(" (latest)"))).otherwise(F.col("run_label")).alias("option"),
+        F.when(is_last, F.concat(F.col("run_label"), F.lit(LATEST_MARK))).otherwise(F.col("run_label")).alias("option"),
         is_last.alias("is_latest"),
     )
 
 
-def lowest_dimension(summary: DataFrame) -> DataFrame:
-    """The dimension with the lowest score of each run; of equal ones the first in scoring order."""
+def _lowest() -> Column:
+    """The lowest score, with its dimension; of equal ones the first in scoring order."""
     scores = [
         F.struct(number_or(F.col(SCORE_COLUMNS[d]), None).alias("score"), F.lit(i).alias("place"), F.lit(d).alias("label"))
         for i, d in enumerate(DIMENSIONS)
     ]
-    usable = F.filter(F.array(*scores), lambda s: s["score"].isNotNull())
-    low = F.array_min(usable)
+    return F.array_min(F.filter(F.array(*scores), lambda s: s["score"].isNotNull()))
+
+
+def _lowest_text(low: Column) -> Column:
+    return F.format_string("%s (%s)", F.coalesce(low["label"], F.lit("N/A")), fmt_pct(low["score"]))
+
+
+def lowest_dimension(summary: DataFrame) -> DataFrame:
+    """The dimension with the lowest score of each run."""
+    low = _lowest()
     return summary.select(
         "run_label",
         "run_id",
         F.coalesce(low["label"], F.lit("N/A")).alias("dimension"),
         low["score"].alias("score"),
-        F.format_string("%s (%s)", F.coalesce(low["label"], F.lit("N/A")), fmt_pct(low["score"])).alias("text"),
+        _lowest_text(low).alias("text"),
+    )
+
+
+def with_issue_groups(summary: DataFrame, issues: DataFrame) -> DataFrame:
+    """``summary`` and ``issue_groups``, how many checks failed in each of its rows.
+
+    An issue belongs to the run of its label, and where it names an id, of that
+    id. One without a label takes that of its id's run. Both sides meet once, on the
+    label; runs that share a label are told apart by id within it.
+    """
+    label, rid = F.coalesce("run_label", F.lit("")), F.coalesce("run_id", F.lit(""))
+    # a run without a label is found by its id
+    key = F.when(label != "", label).otherwise(F.concat(F.lit("\0"), rid))
+    failing = issues_for_run(backfill_labels(summary, issues), None).where((label != "") | (rid != ""))
+    counts = failing.groupBy(key.alias("_run"), rid.alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    own = F.collect_list(F.when(F.col("_id") != "", F.struct("_id", "_n")))
+    groups = counts.groupBy("_run").agg(
+        F.sum(F.when(F.col("_id") == "", F.col("_n"))).alias("_loose"), F.map_from_entries(own).alias("_by_id")
     )
+    joined = summary.withColumn("_of", key).join(groups, F.col("_of") == F.col("_run"), "left")
+    named = F.coalesce(F.try_element_at("_by_id", rid), F.lit(0))
+    total = named + F.coalesce("_loose", F.lit(0))
+    return joined.withColumn("issue_groups", total).drop("_of", "_run", "_loose", "_by_id")
+
+
+def _note() -> Column:
+    return F.when(F.col("issue_groups") == 0, NO_ISSUES).otherwise(SOME_ISSUES).alias("note")
 
 
 def issue_group_count(summary: DataFrame, issues: DataFrame) -> DataFrame:
     """How many checks failed in each run, runs without any included."""
-    groups = issues_for_run(issues, None).groupBy("run_id").agg(F.count(F.lit(1)).alias("_groups"))
-    counted = F.coalesce("_groups", F.lit(0))
-    return summary.join(groups, "run_id", "left").select(
-        "run_label",
-        "run_id",
-        counted.alias("issue_groups"),
-        F.when(counted == 0, "No issues detected.").otherwise("Use drill-down for details.").alias("note"),
-    )
+    return with_issue_groups(summary, issues).select("run_label", "run_id", "issue_groups", _note())
 
 
 def run_cards(summary: DataFrame, issues: DataFrame) -> DataFrame:
-    """The headline figures of every run: score, change, status, weakest dimension, rows, issues."""
-    overall = number_or(F.col("overall_pct"), 0.0)
-    base = summary.select(
+    """The headline figures of every row of the summary: score, change, status, weakest dimension, rows, issues."""
+    counted = with_issue_groups(summary, issues).withColumn("_overall", number_or(F.col("overall_pct"), None))
+    low = _lowest()
+    return sequence_runs(counted, ["_overall"]).select(
         "run_id",
         "run_label",
-        fmt_pct(overall).alias("overall"),
+        fmt_pct(number_or(F.col("overall_pct"), 0.0)).alias("overall"),
         status(F.col("overall_pct")).alias("status"),
         "rows_raw",
-        F.concat(F.lit("Rules: "), F.coalesce(F.col("rules_version").cast("string"), F.lit("N/A"))).alias("rules"),
+        F.concat(F.lit(RULES_PREFIX), F.coalesce(F.col("rules_version").cast("string"), F.lit("N/A"))).alias("rules"),
+        fmt_delta(F.col("_overall") - F.col("prev._overall")).alias("delta"),
+        _lowest_text(low).alias("lowest"),
+        "issue_groups",
+        _note(),
     )
-    delta = run_delta(summary).select("run_id", F.col("overall_pct_delta_text").alias("delta"))
-    lowest = lowest_dimension(summary).select("run_id", F.col("text").alias("lowest"))
-    groups = issue_group_count(summary, issues).select("run_id", "issue_groups", "note")
-    return base.join(delta, "run_id").join(lowest, "run_id").join(groups, "run_id")
 
 
 def score_bars(summary: DataFrame) -> DataFrame:

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from ..functions.display import run_id_text, run_ts_text
 from ..functions.values import named, to_utc, type_of
 from ..model import ISSUES_SCHEMA, SCORE_COLUMNS, SUMMARY_SCHEMA, Profile, RuleSet
-from ..operators.checks import Check, rule_check, standard_checks
+from ..operators.checks import Check, any_of, rule_check, standard_checks
 from ..operators.history import sequence_runs
 from ..operators.normalize import canonical_names, normalize, with_row_id
 from ..operators.scoring import check_rows, issue_rows, measure, with_scores
 from ..operators.slices import score_by_slice
-from ..session import prepare, scratch_path
+from ..session import require_utc, scratch_path
 
 
 class Assessment:
@@ -28,12 +28,18 @@ class Assessment:
     """
 
     def __init__(
-        self, table: DataFrame, checks: list[Check], profile: Profile, facts: Callable[[bool], DataFrame]
+        self,
+        table: DataFrame,
+        checks: list[Check],
+        profile: Profile,
+        facts: Callable[[bool], DataFrame],
+        weights: Mapping[str, float] | None = None,
     ) -> None:
         self._table = table
         self._checks = checks
         self._profile = profile
         self._facts = facts
+        self._weights = weights
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -45,7 +51,7 @@ class Assessment:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return summary_rows(self._facts(False), self._checks, self._profile.version)
+        return summary_rows(self._facts(False), self._checks, self._profile.version, self._weights)
 
     @cached_property
     def issues(self) -> DataFrame:
@@ -60,8 +66,14 @@ class Assessment:
         spark = self._table.sparkSession
         path = scratch_path(spark, "facts")
         self._facts(True).write.parquet(path)
-        stored = spark.read.parquet(path)
-        return Assessment(self._table, self._checks, self._profile, lambda samples: stored)
+        return self._with(spark.read.parquet(path))
+
+    def labelled(self, label: str) -> Assessment:
+        """The same results under another run label; of a settled assessment nothing is measured again."""
+        return self._with(self._facts(True).withColumn("run_label", F.lit(label)))
+
+    def _with(self, facts: DataFrame) -> Assessment:
+        return Assessment(self._table, self._checks, self._profile, lambda samples: facts, self._weights)
 
 
 class RuleReport:
@@ -96,7 +108,9 @@ def run_identity(run_ts: Column, label: Column) -> dict[str, Column]:
     return {"run_label": label, "run_id": run_id_text(run_ts), "run_ts_utc": run_ts_text(run_ts)}
 
 
-def summary_rows(facts: DataFrame, checks: list[Check], version: str) -> DataFrame:
+def summary_rows(
+    facts: DataFrame, checks: list[Check], version: str, weights: Mapping[str, float] | None = None
+) -> DataFrame:
     """Facts with a run identity as summary rows."""
     rows = F.col("rows")
     counts = {
@@ -105,22 +119,45 @@ def summary_rows(facts: DataFrame, checks: list[Check], version: str) -> DataFra
         "rows_after_hard_clean": rows - F.col("any_completeness"),
         "rules_version": F.lit(version),
     }
-    return with_scores(facts, checks).withColumns(counts).select(*SUMMARY_SCHEMA.names)
+    return with_scores(facts, checks, weights).withColumns(counts).select(*SUMMARY_SCHEMA.names)
 
 
 def history_issues(facts: DataFrame, checks: list[Check]) -> DataFrame:
-    """Facts with a run identity and samples as issue rows."""
-    return issue_rows(facts, checks, ["run_label", "run_id"]).select(*ISSUES_SCHEMA.names)
+    """Facts with a run identity and samples as issue rows; those of declared rules have their severity."""
+    ruled = ["severity"] if any(c.severity for c in checks) else []
+    return issue_rows(facts, checks, ["run_label", "run_id"]).select(*ISSUES_SCHEMA.names, *ruled)
 
 
 def kept_rows(df: DataFrame, checks: list[Check], profile: Profile) -> DataFrame:
     """Rows with everything required, under canonical names."""
-    return canonical_names(df.where(~checks[0].failed), profile)
+    return canonical_names(df.where(~incomplete(checks)), profile)
 
 
 def rejected_rows(df: DataFrame, checks: list[Check], profile: Profile) -> DataFrame:
     """Rows lacking something required, under canonical names."""
-    return canonical_names(df.where(checks[0].failed), profile)
+    return canonical_names(df.where(incomplete(checks)), profile)
+
+
+def incomplete(checks: list[Check]) -> Column:
+    """Some row check of completeness fails."""
+    return any_of([c.failed for c in checks if c.dimension == "Completeness" and c.failed is not None])
+
+
+def _prepared(
+    df: DataFrame, profile: Profile, rules: RuleSet | None, resolve_aliases: bool
+) -> tuple[DataFrame, list[Check], Profile, Mapping[str, float] | None]:
+    """The normalised table, its checks, and what scores and names them.
+
+    Declared rules take the place of the profile, with their version, weights
+    and dataset columns.
+    """
+    require_utc(df.sparkSession)
+    if rules is not None:
+        profile = rules.profile()
+    table = normalize(df, profile, resolve_aliases)
+    if rules is None:
+        return table, standard_checks(table, profile), profile, None
+    return table, [rule_check(table, rule) for rule in rules.rules], profile, rules.weights
 
 
 def assess(
@@ -131,18 +168,17 @@ def assess(
     run_label: str = "Run 1",
     row_id: str | None = None,
     resolve_aliases: bool = False,
+    rules: RuleSet | None = None,
 ) -> Assessment:
-    """Assess a table as one run."""
-    prepare(df.sparkSession)
-    table = normalize(df, profile, resolve_aliases)
+    """Assess a table as one run, by the standard checks of a profile or by declared rules."""
+    table, checks, profile, weights = _prepared(df, profile, rules, resolve_aliases)
     keyed, order = with_row_id(table, row_id)
-    checks = standard_checks(table, profile)
     identity = run_identity(run_time(run_ts), F.lit(run_label))
 
     def facts(samples: bool) -> DataFrame:
         return measure(keyed, checks, order, samples=samples).withColumns(identity)
 
-    return Assessment(table, checks, profile, facts)
+    return Assessment(table, checks, profile, facts, weights)
 
 
 def assess_runs(
@@ -153,14 +189,13 @@ def assess_runs(
     row_id: str | None = None,
     resolve_aliases: bool = False,
     first_run: int = 1,
+    rules: RuleSet | None = None,
 ) -> Assessment:
     """Assess a table of many deliveries at once, each value of the column ``run_ts`` as a run of its own.
 
     Runs are labelled in time order, counting from ``first_run``.
     """
-    prepare(df.sparkSession)
-    table = normalize(df, profile, resolve_aliases)
-    checks = standard_checks(table, profile)
+    table, checks, profile, weights = _prepared(df, profile, rules, resolve_aliases)
     at = F.date_trunc("second", to_utc(named(run_ts), type_of(df, run_ts)))
     keyed, order = with_row_id(table.withColumn("_run", at), row_id)
     known = keyed.select("_run").distinct().withColumns(run_identity(F.col("_run"), F.lit(None).cast("string")))
@@ -173,12 +208,12 @@ def assess_runs(
         measured = measure(keyed, checks, order, by=["_run"], samples=samples)
         return measured.join(labels, F.col("_run").eqNullSafe(F.col("_labelled")), "left")
 
-    return Assessment(table, checks, profile, facts)
+    return Assessment(table, checks, profile, facts, weights)
 
 
 def evaluate(df: DataFrame, rules: RuleSet, *, row_id: str | None = None, samples: bool = True) -> RuleReport:
     """Evaluate declared rules on a table as it is."""
-    prepare(df.sparkSession)
+    require_utc(df.sparkSession)
     keyed, order = with_row_id(df, row_id)
     checks = [rule_check(df, rule) for rule in rules.rules]
     return RuleReport(
@@ -188,7 +223,7 @@ def evaluate(df: DataFrame, rules: RuleSet, *, row_id: str | None = None, sample
 
 def evaluate_slices(df: DataFrame, rules: RuleSet, *, row_id: str | None = None) -> DataFrame:
     """Scores of declared rules for every value of the declared slices."""
-    prepare(df.sparkSession)
+    require_utc(df.sparkSession)
     keyed, order = with_row_id(df, row_id)
     checks = [rule_check(df, rule) for rule in rules.rules]
     return score_by_slice(keyed, checks, rules.slices, order, rules.weights)

@@ -6,12 +6,14 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..model import RAW_SCHEMA, Profile
+from ..model import RAW_SCHEMA, SUMMARY_SCHEMA, Profile, RuleSet
 from ..operators.history import backfill_labels, next_run_label
 from ..operators.normalize import GENERATED_ROW_ID, with_row_id
 from ..operators.views import run_cards
-from ..session import path_exists, prepare, scratch_path
+from ..session import path_exists, require_utc, scratch_path
 from ..sources import synth
 from ..sources.history import append_issues, append_summary, read_issues, read_summary
 from ..sources.manifest import exit_code, manifest
@@ -82,7 +84,7 @@ def run_synth(
 
     ``rows`` holds the row numbers to make orders for, by default 522 of them.
     """
-    prepare(spark)
+    require_utc(spark)
     chosen = synth.resolve_scenario(scenario, path_exists(spark, layout.summary))
     if rows is None:
         rows = spark.range(1, synth.DEFAULT_ROWS + 1).withColumnRenamed("id", "row_id")
@@ -100,35 +102,49 @@ def run_assessment(
     run_ts: datetime | str,
     profile: Profile = Profile(),
     row_id: str | None = None,
+    rules: RuleSet | None = None,
+    schema: T.StructType = RAW_SCHEMA,
 ) -> str:
     """Assess the raw dataset, write the clean table and append to the history; returns the label.
 
-    A text dataset is parsed once, into a table in the scratch folder, as the
-    assessment reads it several times, column by column.
+    A text dataset is parsed once, by ``schema``, into a table in the scratch
+    folder, as the assessment reads it several times, column by column. A run
+    that the history holds already, the same in all its figures, keeps its label and is
+    not added again, so that a run cut short can simply be started again.
     """
-    prepare(spark)
-    source = scan(spark, staged_path(spark, layout.raw, layout.staged), layout.fmt, RAW_SCHEMA)
+    require_utc(spark)
+    source = scan(spark, staged_path(spark, layout.raw, layout.staged), layout.fmt, schema)
     source, row_id = with_row_id(source, row_id)
     if layout.fmt == "csv":
         parsed = scratch_path(spark, "parsed")
         write_table(source, parsed)
         source = scan(spark, parsed)
-    label = "Run 1"
-    if path_exists(spark, layout.summary):
-        label = next_run_label(scan(spark, layout.summary)).first()["run_label"]
-
-    found = assess(source, profile, run_ts=run_ts, run_label=label, row_id=row_id).settle()
+    found = assess(source, profile, run_ts=run_ts, row_id=row_id, rules=rules).settle()
+    label = _label(spark, layout, found.summary)
+    found = found.labelled(label)
     write_table(found.clean.drop(GENERATED_ROW_ID), layout.clean, layout.fmt)
     append_summary(found.summary, layout.summary)
     append_issues(found.issues, layout.issues)
-    write_json_object(found.summary.select("run_label", "run_id", "run_ts_utc"), layout.last_run)
-    write_json_object(found.summary, layout.last_metrics)
+    stored = found.summary  # equal to the history's row, or the append would have raised
+    write_json_object(stored.select("run_label", "run_id", "run_ts_utc"), layout.last_run)
+    write_json_object(stored, layout.last_metrics)
     return label
 
 
+def _label(spark: SparkSession, layout: Layout, summary: DataFrame) -> str:
+    """The label under which the history holds this run, or the next one."""
+    if not path_exists(spark, layout.summary):
+        return "Run 1"
+    history = read_summary(spark, layout.summary)
+    same = " AND ".join(f"new.{c} <=> old.{c}" for c in SUMMARY_SCHEMA.names if c != "run_label")
+    known = history.alias("old").join(summary.alias("new"), F.expr(same), "left_semi").select("run_label")
+    stored = known.orderBy("run_label").first()
+    return stored["run_label"] if stored else next_run_label(history).first()["run_label"]
+
+
 def run_report(spark: SparkSession, layout: Layout) -> DataFrame:
     """Export both histories as records and return the headline figures of every run."""
-    prepare(spark)
+    require_utc(spark)
     summary = read_summary(spark, layout.summary)
     issues = backfill_labels(summary, read_issues(spark, layout.issues))
     outputs = layout.outputs()
@@ -137,16 +153,28 @@ def run_report(spark: SparkSession, layout: Layout) -> DataFrame:
     return run_cards(summary, issues)
 
 
+def stage(raw: DataFrame, layout: Layout) -> None:
+    """Write a given table as the staged input and use it as the raw dataset."""
+    write_table(raw, layout.staged, layout.fmt)
+    write_table(scan(raw.sparkSession, layout.staged, layout.fmt), layout.raw, layout.fmt)
+
+
 def run_all(
     spark: SparkSession,
     layout: Layout,
     *,
     now: datetime | str,
+    raw: DataFrame | None = None,
     rows: DataFrame | None = None,
     seed: int = synth.DEFAULT_SEED,
+    row_id: str | None = "row_id",
+    rules: RuleSet | None = None,
 ) -> int:
-    """Generate, assess, report and check the outputs; 0 if all of them exist, else 2."""
-    run_synth(spark, layout, now=now, rows=rows, seed=seed)
-    run_assessment(spark, layout, run_ts=now, row_id="row_id")
+    """Stage a given table, or a generated one, assess, report and check the outputs; 0 if all exist, else 2."""
+    if raw is not None:
+        stage(raw, layout)
+    else:
+        run_synth(spark, layout, now=now, rows=rows, seed=seed)
+    run_assessment(spark, layout, run_ts=now, row_id=row_id, rules=rules)
     run_report(spark, layout)
     return exit_code(manifest(spark, layout.outputs()))

@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
-# HotSpot never compiles methods longer than this many bytes.
-LONGEST_COMPILED_METHOD = 8000
+# Names under which a session's zone is UTC.
+UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "Etc/GMT", "+00:00", "UTC+00:00", "Universal", "Etc/Universal", "Zulu")
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Settings that the results and the speed of the checks rest on.
+def require_utc(spark: SparkSession) -> SparkSession:
+    """Raise unless the session's zone is UTC: timestamps without a zone are UTC throughout.
 
-    The session zone is UTC: timestamps without a zone are UTC throughout. And
-    where many rules make one generated method too long to be compiled, the
-    stage runs as separate operators instead, which is faster than interpreting it.
+    The setting is the caller's; nothing here changes a session.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", LONGEST_COMPILED_METHOD)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
     return spark
 
 
@@ -37,6 +37,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on the file system that serves ``path``."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsc.hadoopConfiguration()
-    return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+    try:
+        spark.read.text(path).schema
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True

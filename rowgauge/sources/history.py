@@ -1,57 +1,98 @@
-"""Run history tables: typed, append-only."""
+"""Run history tables: typed, append-only.
+
+Files of a history may differ in their columns, as those written by earlier
+versions do; they are read by name, and what a file lacks is null.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.values import named
-from ..model import ISSUES_SCHEMA, SUMMARY_SCHEMA
-from ..operators.history import default_labels
+from ..model import ISSUES_SCHEMA, RUN_KEY, SUMMARY_SCHEMA
+from ..operators.history import default_labels, union_history
 from ..session import path_exists
-from .tables import scan, write_table
+from .tables import scan_csv, write_table
+
+
+def _csv_by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV files with headers of their own, united by column name."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("at"),
+        "value",
+        F.monotonically_increasing_id().alias("nth"),
+    )
+    heads = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "nth").alias("head"))
+    groups = heads.groupBy("head").agg(F.collect_list("file").alias("files")).orderBy("head").collect()  # paths alone
+    found = spark.createDataFrame([], schema)
+    for group in groups:
+        found = union_history(found, scan_csv(spark, [unquote(f) for f in group["files"]], schema))
+    return found
+
+
+def scan_history(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
+    """A history table in its layout, then the columns that only some files have."""
+    if fmt == "csv":
+        return _csv_by_header(spark, path, schema)
+    reader = spark.read.format(fmt)
+    known = set(schema.names)
+    more = [f for f in reader.option("mergeSchema", "true").load(path).schema if f.name not in known]
+    return spark.read.format(fmt).schema(T.StructType([*schema.fields, *more])).load(path)
 
 
-def _append(rows: DataFrame, path: str, fmt: str) -> None:
+def _same_run(a: str, b: str) -> Column:
+    return F.expr(" AND ".join(f"{a}.{c} <=> {b}.{c}" for c in RUN_KEY))
+
+
+def _append(rows: DataFrame, path: str, fmt: str, schema: T.StructType, whole: bool) -> None:
+    """Append the runs that the table lacks; ``whole``: a run is one row, and must equal a stored one."""
     spark = rows.sparkSession
+    rows = rows.select(*schema.names, *[c for c in rows.columns if c not in schema.names])
     if path_exists(spark, path):
-        seen = scan(spark, path, fmt).select("run_id").distinct()
-        rows = rows.join(seen, "run_id", "left_anti").select(*rows.columns)
+        stored = scan_history(spark, path, fmt, schema)
+        if whole:
+            differs = F.expr(" OR ".join(f"NOT (new.{c} <=> old.{c})" for c in schema.names))
+            clash = rows.alias("new").join(stored.alias("old"), _same_run("new", "old")).where(differs)
+            if (found := clash.select("new.run_label", "new.run_id").first()) is not None:
+                raise ValueError(f"{path} holds another run {found['run_label']!r} with id {found['run_id']!r}")
+        seen = stored.select(*RUN_KEY).distinct()
+        rows = rows.alias("new").join(seen.alias("old"), _same_run("new", "old"), "left_anti")
     write_table(rows, path, fmt, mode="append")
 
 
 def append_summary(summary: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append summary rows; a run already in the history is not added again."""
-    _append(summary.select(*SUMMARY_SCHEMA.names), path, fmt)
+    """Append summary rows; a run stored before, the same in every column, is not added again.
+
+    A run is told by its label and id: runs of one second have one id. Another
+    run under a stored label and id raises.
+    """
+    _append(summary, path, fmt, SUMMARY_SCHEMA, whole=True)
 
 
 def append_issues(issues: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append issue rows, none at all included; a run already in the history is not added again."""
-    _append(issues.select(*ISSUES_SCHEMA.names), path, fmt)
+    """Append issue rows, none at all included; those of a run stored before are not added again."""
+    _append(issues, path, fmt, ISSUES_SCHEMA, whole=False)
 
 
 def read_summary(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The summary history, labelled by position where it has no labels."""
+    """The summary history; runs without a label are labelled by position."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Missing {path}. Assess a dataset first.")
-    summary = scan(spark, path, fmt, SUMMARY_SCHEMA)
-    if summary.isEmpty():
+    summary = scan_history(spark, path, fmt, SUMMARY_SCHEMA)
+    first = summary.select("run_label").orderBy(F.asc_nulls_first("run_label")).first()
+    if first is None:
         raise ValueError(f"{path} is empty.")
-    return default_labels(summary)
-
-
-def complete_issues(issues: DataFrame) -> DataFrame:
-    """Give an older issues table the label and id columns it lacks, as empty texts."""
-    lacking = [c for c in ("run_label", "run_id") if c not in issues.columns]
-    return issues.withColumns({c: F.lit("") for c in lacking})
+    return default_labels(summary) if first["run_label"] is None else summary
 
 
 def read_issues(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The issues history in its fixed layout; empty if there is none yet."""
-    empty = spark.createDataFrame([], ISSUES_SCHEMA)
+    """The issues history in its layout, labels and ids that a file lacks as empty texts; empty if there is none yet."""
     if not path_exists(spark, path):
-        return empty
-    issues = complete_issues(scan(spark, path, fmt, ISSUES_SCHEMA))
-    return empty.unionByName(issues, allowMissingColumns=True).select(
-        *[named(c) for c in [*ISSUES_SCHEMA.names, *[c for c in issues.columns if c not in ISSUES_SCHEMA.names]]]
-    )
+        return spark.createDataFrame([], ISSUES_SCHEMA)
+    issues = scan_history(spark, path, fmt, ISSUES_SCHEMA)
+    return issues.withColumns({c: F.coalesce(named(c), F.lit("")) for c in RUN_KEY})

@@ -44,7 +44,7 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Read CSV with a header as text, null out the missing-value texts, then apply types.
 

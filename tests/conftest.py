@@ -8,9 +8,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from rowgauge.session import prepare  # noqa: E402
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
@@ -20,9 +17,10 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield prepare(session)
+    yield session
     session.stop()

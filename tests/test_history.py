@@ -169,3 +169,49 @@ def test_trend_and_bars(summary):
     assert [(r.run_no, r.score, r.runs) for r in trend] == [(1, 80.0, 4), (2, 100.0, 4), (3, 90.0, 4), (4, 50.0, 4)]
     bars = views.score_bars(summary).where(F.col("run_id") == "d").collect()
     assert {r.metric: r.score for r in bars}["Completeness"] == 0.0
+
+
+def test_two_runs_of_one_second(spark, tmp_path):
+    path = str(tmp_path / "summary")
+    first = summary_of(spark, [("Run 1", "a", "2024-01-01T00:00:00+00:00", *SCORES)])
+    second = summary_of(spark, [("Run 2", "a", "2024-01-01T00:00:00+00:00", *SCORES)])
+    for rows in (first, second, first, second):
+        tables.append_summary(rows, path)
+    assert sorted(r.run_label for r in tables.read_summary(spark, path).collect()) == ["Run 1", "Run 2"]
+    other = first.withColumn("rows_raw", F.lit(11).cast("long"))
+    with pytest.raises(ValueError, match="another run"):
+        tables.append_summary(other, path)
+    assert tables.read_summary(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_drift_of_a_stored_history(spark, tmp_path, fmt):
+    path, issues = str(tmp_path / "summary"), str(tmp_path / "issues")
+    old = summary_of(spark, RUNS[:2]).drop("run_label", "rules_version").withColumn("note", F.lit("kept"))
+    tables.write_table(old, path, fmt)
+    late = summary_of(spark, [("Run 8", *RUNS[2][1:])])
+    tables.append_summary(late, path, fmt)
+    tables.append_summary(late, path, fmt)
+    rows = tables.read_summary(spark, path, fmt).orderBy("run_id").collect()
+    assert [(r.run_label, r.run_id, r.rows_raw, r.overall_pct, r.rules_version, r.note) for r in rows] == [
+        ("Run 1", "a", 10, 85.0, None, "kept"), ("Run 2", "b", 10, 100.0, None, "kept"), ("Run 8", "c", 10, 95.0, "1.0.0", None),
+    ]
+    tables.write_table(issues_of(spark, [issue("", "a", samples='["x, y"]')]).drop("run_label"), issues, fmt)
+    ruled = issues_of(spark, [issue("Run 8", "c")]).withColumn("severity", F.lit("high"))
+    tables.append_issues(ruled, issues, fmt)
+    found = tables.read_issues(spark, issues, fmt).orderBy("run_id").collect()
+    assert [(r.run_label, r.run_id, r.sample_values, r.severity) for r in found] == [
+        ("", "a", '["x, y"]', None), ("Run 8", "c", '["x"]', "high"),
+    ]
+
+
+def test_cards_of_shared_and_missing_ids(spark):
+    twins = summary_of(spark, [RUNS[0], ("Twin", "a", "2024-01-01T00:00:01+00:00", *SCORES), ("None", None, "2024-01-01T00:00:02+00:00", *SCORES), (None, "q", "2024-01-01T00:00:03+00:00", *SCORES)])
+    found = issues_of(
+        spark,
+        [issue("Run 1", "a"), issue("Twin", "a"), issue("Twin", "a", rule="r2"), issue("Run 1", ""), issue("None", None), issue("", "q"), issue("Run 1", "zz"), issue("", "")],
+    )
+    cards = views.run_cards(twins, found).collect()
+    assert {(r.run_label, r.issue_groups) for r in cards} == {("Run 1", 2), ("Twin", 2), ("None", 1), (None, 1)} and len(cards) == 4
+    groups = views.issue_group_count(twins, found).collect()
+    assert {(r.run_label, r.issue_groups) for r in groups} == {(r.run_label, r.issue_groups) for r in cards}

@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from catalog.oracle import ORACLE
+from catalog.queries import QUERIES
 
 from .compare import connect, differences
 
@@ -25,9 +27,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= contract.queries().items() and ORACLE.items() <= contract.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert differences(spark, con, SF_DIR, contract.queries()[name], contract.oracle_sql()[name]) == []
+    assert differences(spark, con, SF_DIR, QUERIES[name], ORACLE[name]) == []

@@ -137,17 +137,19 @@ def test_profile_overrides():
     assert Profile.from_mapping({"required_columns": ["a"], "dataset": {"primary_key": "x"}}) == Profile(required=("a",))
 
 
-def test_rule_grammar(tmp_path):
+def test_rule_grammar(spark, tmp_path):
     config = tmp_path / "rules.yaml"
     config.write_text(
         'version: "1.1.0"\nscoring: {weights: {validity: 0.35}}\nrules:\n'
         "  - {id: v, dimension: validity, type: in_set, column: c, params: {allowed: [x]}, severity: high}\n"
         "dashboard: {suggested_slices: [[a], [b, c]]}\n"
     )
-    rules = compile_rules(load_config(str(config)))
+    rules = compile_rules(load_config(spark, str(config)))
     assert rules.rules[0].dimension == "Validity" and rules.rules[0].columns == ("c",)
     assert (rules.weights, rules.slices, rules.version) == ({"Validity": 0.35}, (("a",), ("b", "c")), "1.1.0")
-    assert load_config(str(tmp_path / "none.yaml")) == {}
+    assert load_config(spark, str(tmp_path / "none.yaml"), missing_ok=True) == {}
+    with pytest.raises(FileNotFoundError):
+        load_config(spark, str(tmp_path / "none.yaml"))
     with pytest.raises(ValueError, match="unknown type"):
         compile_rules({"rules": [{"id": "x", "dimension": "validity", "type": "sounds_like", "column": "c"}]})
 
@@ -158,3 +160,79 @@ def test_scratch_is_the_shared_folder(spark):
 
 def test_raw_layout():
     assert RAW_SCHEMA.names == ["order_id", "email", "country", "amount", "order_ts_utc", "ingest_ts_utc"]
+
+
+def staged(spark, tmp_path):
+    layout = runs.Layout(str(tmp_path / "hub"))
+    runs.run_synth(spark, layout, now=NOW)
+    return layout
+
+
+def stored(spark, layout):
+    from rowgauge.sources.history import read_issues, read_summary
+
+    summary = read_summary(spark, layout.summary).collect()
+    issues = read_issues(spark, layout.issues).collect()
+    last = spark.read.json(layout.last_run).first()
+    assert last.run_label in {r.run_label for r in summary}
+    return sorted(r.run_label for r in summary), sorted({r.run_label for r in issues}), last.run_label
+
+
+def test_rerun_and_retry(spark, tmp_path, monkeypatch):
+    layout = staged(spark, tmp_path)
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(runs, "append_issues", broken)
+        with pytest.raises(RuntimeError):
+            runs.run_assessment(spark, layout, run_ts=NOW, row_id="row_id")
+    assert [runs.run_assessment(spark, layout, run_ts=NOW, row_id="row_id") for _ in range(2)] == ["Run 1", "Run 1"]
+    assert stored(spark, layout) == (["Run 1"], ["Run 1"], "Run 1")
+    # other figures at the same second are another run
+    tables.write_table(tables.scan(spark, layout.staged).limit(500), layout.raw)
+    assert runs.run_assessment(spark, layout, run_ts=NOW, row_id="row_id") == "Run 2"
+    assert stored(spark, layout) == (["Run 1", "Run 2"], ["Run 1", "Run 2"], "Run 2")
+
+
+def test_declared_rules_as_a_stored_run(spark, tmp_path):
+    layout = staged(spark, tmp_path)
+    rules = compile_rules(
+        {
+            "version": "2.0",
+            "dataset": {"primary_key": "order_id", "timestamps": {"event_ts": "order_ts_utc", "ingest_ts": "ingest_ts_utc"}},
+            "scoring": {"weights": {"uniqueness": 1.0, "timeliness": 3.0}},
+            "rules": [
+                {"id": "key", "dimension": "uniqueness", "type": "unique", "severity": "high"},
+                {"id": "lag", "dimension": "timeliness", "type": "max_lag_hours", "params": {"max_hours": 12}},
+                {"id": "has_email", "dimension": "completeness", "type": "not_null", "column": "email"},
+            ],
+        }
+    )
+    assert rules.rules[0].columns == ("order_id",) and rules.rules[1].params["ingest_ts"] == "ingest_ts_utc"
+    assert runs.run_assessment(spark, layout, run_ts=NOW, row_id="row_id", rules=rules) == "Run 1"
+    from rowgauge.sources.history import read_issues, read_summary
+
+    row = read_summary(spark, layout.summary).first()
+    assert row.rules_version == "2.0"
+    assert row.overall_pct == round((row.uniqueness_pct + 3 * row.timeliness_pct) / 4, 2)
+    found = {r.rule: (r.failed_count, r.severity) for r in read_issues(spark, layout.issues).collect()}
+    assert found["key"] == (6, "high") and found["lag"][1] == "medium"
+
+
+def test_a_session_is_left_alone(spark):
+    from rowgauge.session import require_utc
+
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit")}
+    assess(spark.createDataFrame([], RAW_SCHEMA), run_ts=NOW)
+    assert before == {k: spark.conf.get(k, None) for k in before}
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    with pytest.raises(ValueError, match="UTC"):
+        require_utc(other)
+
+
+def test_rule_files_of_any_file_system(spark, tmp_path):
+    (tmp_path / "r.yaml").write_text("rules: []\nversion: '3'\n")
+    assert load_config(spark, f"file://{tmp_path}/r.yaml")["version"] == "3"

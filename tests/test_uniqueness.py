@@ -39,7 +39,7 @@ def test_without_hot_keys_and_with_shuffle_join(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for share in (1, 1000, 10**9):
-            monkeypatch.setattr(uniqueness, "HOT_SHARE", share)
+            monkeypatch.setattr(uniqueness, "hot_share", lambda df, n=share: n)
             df = skewed(spark, 3000)
             got = {r["row_id"]: r["dup"] for r in flag_duplicates(df, ["key"], "row_id", "dup").collect()}
             assert got == expected(df)
@@ -100,7 +100,7 @@ def test_first_duplicates_per_run_under_hot_keys(spark, monkeypatch):
     sample = F.struct(F.col("key").cast("string").alias("text"), F.lit(None).cast("timestamp").alias("time"), F.lit(True).alias("bare"))
     check = Check("Uniqueness", "k", "key", keys=("key",), sample=sample)
     for share in (1, 1000, 10**9):
-        monkeypatch.setattr(uniqueness, "HOT_SHARE", share)
+        monkeypatch.setattr(uniqueness, "hot_share", lambda df, n=share: n)
         found = first_failures(df, [check], "row_id", ["run"]).orderBy("run", "rank").collect()
         for run in range(4):
             got = [(r["_row"], r["item"]) for r in found if r["run"] == run]

@@ -137,3 +137,13 @@ def test_unknown_types_are_no_numbers(spark):
 def test_missing_text(spark, value, expected):
     df = spark.createDataFrame([(value,)], "s string")
     assert df.select(values.is_missing(df, "s")).first()[0] is expected
+
+
+def test_percent_text_rounds_the_exact_value(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    given = [1.005, 1.015, 2.675, 0.125, 0.375, -0.125, 99.995, 12.345, 1e14, 0.0, 100.0, 33.333333, -1.005, 8.345]
+    rows = spark.createDataFrame([(x,) for x in given], "x double").select("x", display.fmt_pct(F.col("x")).alias("t")).collect()
+    for r in rows:
+        want = Decimal(r.x).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert r.t == f"{want}%"
