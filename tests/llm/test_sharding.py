@@ -1,0 +1,61 @@
+"""Slots, their map, and places in shards."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import pytest
+from rowgauge.llm.sharding import first_map, read_map, rebalance, shard_documents, write_edits
+from rowgauge.llm.storage import settle
+
+
+def shards_of(placed, weight, n):
+    load = [0] * n
+    for slot, shard in placed.items():
+        load[shard] += weight.get(slot, 0)
+    return load
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_rebalancing_evens_out_with_few_moves(seed):
+    rng = random.Random(seed)
+    weight = {slot: int(rng.paretovariate(1.3) * 100) for slot in range(2000)}
+    placed = first_map(24, 2000)
+    edits = rebalance(placed, weight, 24)
+    load = shards_of({**placed, **edits}, weight, 24)
+    best = max(max(weight.values()), sum(weight.values()) / 24)
+    assert max(load) <= 1.01 * best and len(edits) < 1000
+    again = rebalance({**placed, **edits}, weight, 24)
+    assert len(again) == 0
+
+
+def test_odd_weights():
+    assert rebalance(first_map(3, 9), {}, 3) == {}
+    assert rebalance(first_map(1, 9), {0: 5}, 1) == {}
+    one = rebalance(first_map(3, 9), {0: 10, 1: 10, 2: 10}, 3)
+    assert sorted(shards_of({**first_map(3, 9), **one}, {0: 10, 1: 10, 2: 10}, 3)) == [10, 10, 10]
+
+
+def test_map_versions(spark, tmp_path):
+    path = str(tmp_path / "map")
+    write_edits(spark, path, 1, first_map(2, 4))
+    write_edits(spark, path, 2, {0: 1})
+    write_edits(spark, path, 3, {0: 0, 3: 0})
+    at = lambda v: {r.virtual_slot: r.shard for r in read_map(spark, path, v).collect()}
+    assert at(1) == {0: 0, 1: 0, 2: 1, 3: 1} and at(2) == {0: 1, 1: 0, 2: 1, 3: 1}
+    assert at(None) == at(3) == {0: 0, 1: 0, 2: 1, 3: 0}
+
+
+def test_odd_rows(spark, tmp_path):
+    rows = [(i, "é" * (i % 50), "x") for i in range(300)] + [(None, None, "x"), (None, "", "x"), (5, "again", "x"), (5, "again", "x"), (6, "z" * 100_000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string").repartition(3)
+    found = shard_documents(docs, 7, str(tmp_path / "map"), lambda df: settle(df, "s"), slots=64).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.size) for r in found) == sorted((i is None, i, len((t or "").encode()) + 8) for i, t, _ in rows)
+    places, slots = defaultdict(list), defaultdict(set)
+    for r in found:
+        places[r.shard].append(r.slot)
+        slots[r.virtual_slot].add(r.shard)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert all(len(s) == 1 for s in slots.values())
+    assert shard_documents(docs.limit(0), 7, str(tmp_path / "none"), lambda df: settle(df, "s")).count() == 0
