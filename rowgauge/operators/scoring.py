@@ -19,7 +19,7 @@ from ..functions.values import json_scalar, named, round_score, round_share, typ
 from ..model import DIMENSIONS, SCORE_COLUMNS
 from .checks import Check, any_of
 from .normalize import GENERATED_ROW_ID
-from .uniqueness import flag_duplicates, is_hot, key_columns, key_counts, mark_keys
+from .uniqueness import flag_duplicates, is_hot, key_columns, key_counts, key_values, mark_keys
 
 # Sample sizes of an issue row.
 SAMPLES_PER_CHECK = 5
@@ -111,13 +111,22 @@ def first_failures(
         entries.append(F.when(hit, F.struct(F.lit(i).alias("check"), check.sample.alias("value"))))
     shape = [*by, "_row", "check", "value"]
     parts = []
+    bounded = len(entries)
+    leads = []
+    if not by:
+        # rows of the leading keys are met in the same reading of the input
+        for i, check in enumerate(checks):
+            if check.keys:
+                df = _mark_leading(df, check, row_id, f"_lead{i}")
+                leads.append(F.col(f"_lead{i}").isNotNull())
+                entries.append(F.when(leads[-1], F.struct(F.lit(i).alias("check"), check.sample.alias("value"))))
     if entries:
-        near = df if reach is None else df.where(within(len(entries)))
+        near = df if reach is None else df.where(any_of([within(bounded), *leads]))
         # no filter on the predicates ahead of the explode: it would evaluate them twice
         exploded = near.select(*carried, named(row_id).alias("_row"), F.explode(F.array(*entries)).alias("e"))
         parts.append(exploded.where(F.col("e").isNotNull()).select(*by, "_row", "e.*"))
     for i, check in enumerate(checks):
-        if not check.keys:
+        if not check.keys or not by:
             continue
         # The first five failing rows belong to the five repeated keys that
         # start first, so only those keys go back to the rows.
@@ -127,19 +136,13 @@ def first_failures(
         rows = df.select(
             *carried, *key_columns(df, check.keys), named(row_id).alias("_row"), check.sample.alias("value")
         )
-        if by:
-            order = Window.partitionBy(*by).orderBy("_first")
-            leading = repeated.withColumn("_rank", F.row_number().over(order))
-            leading = leading.where(F.col("_rank") <= SAMPLES_PER_CHECK).select(*names, "_n")
-            marks = repeated.where(is_hot(counts)).select(*names, F.lit(False).alias("_mark"))
-            marks = marks.unionByName(leading.where(is_hot(counts)).select(*names, F.lit(True).alias("_mark")))
-            hot = marks.groupBy(*names).agg(F.max("_mark").alias("_mark"))
-            rows = mark_keys(rows, names, hot, leading.where(~is_hot(counts)), "_row", "_leads").where("_leads")
-        else:
-            leading = repeated.orderBy("_first").limit(SAMPLES_PER_CHECK)
-            leading = F.broadcast(leading.select(*[F.col(n).alias(f"_l{n}") for n in names]))
-            matching = [F.col(n).eqNullSafe(F.col(f"_l{n}")) for n in names]
-            rows = rows.join(leading, matching, "left_semi")
+        order = Window.partitionBy(*by).orderBy("_first")
+        leading = repeated.withColumn("_rank", F.row_number().over(order))
+        leading = leading.where(F.col("_rank") <= SAMPLES_PER_CHECK).select(*names, "_n")
+        marks = repeated.where(is_hot(counts)).select(*names, F.lit(False).alias("_mark"))
+        marks = marks.unionByName(leading.where(is_hot(counts)).select(*names, F.lit(True).alias("_mark")))
+        hot = marks.groupBy(*names).agg(F.max("_mark").alias("_mark"))
+        rows = mark_keys(rows, names, hot, leading.where(~is_hot(counts)), "_row", "_leads").where("_leads")
         parts.append(rows.withColumn("check", F.lit(i)).select(*shape))
     hits = parts[0]
     for part in parts[1:]:
@@ -149,6 +152,19 @@ def first_failures(
     return ranked.withColumn("item", json_scalar(F.col("value")))
 
 
+def _mark_leading(df: DataFrame, check: Check, row_id: str, mark: str) -> DataFrame:
+    """Add ``mark``, set where the row's key is one of the five repeated ones that start first.
+
+    The first five failing rows belong to these keys.
+    """
+    repeated = key_counts(df, check.keys, (), row_id, check.excuse_nulls).where(F.col("_n") > 1)
+    names = [f"_k{j}" for j in range(len(check.keys))]
+    leading = repeated.orderBy("_first").limit(SAMPLES_PER_CHECK)
+    leading = leading.select(*[F.col(n).alias(f"{mark}{n}") for n in names], F.lit(True).alias(mark))
+    on = [key.eqNullSafe(F.col(f"{mark}{n}")) for key, n in zip(key_values(df, check.keys), names)]
+    return df.join(F.broadcast(leading), on, "left").drop(*[f"{mark}{n}" for n in names])
+
+
 def _slot_tally(df: DataFrame, tallies: list[Column], checks: Sequence[Check], row_id: str) -> DataFrame:
     """The tallies and each sampled check's first failing row, for every one of REACH_SLOTS row slots.
 

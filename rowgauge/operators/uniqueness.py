@@ -22,9 +22,14 @@ def hot_share(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def key_values(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The key columns; NaN and null are the same missing key."""
+    return [nan_to_null(named(k), type_of(df, k)) for k in keys]
+
+
 def key_columns(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    """The key columns as ``_k0.._kn``; NaN and null are the same missing key."""
-    return [nan_to_null(named(k), type_of(df, k)).alias(f"_k{i}") for i, k in enumerate(keys)]
+    """The key columns as ``_k0.._kn``."""
+    return [value.alias(f"_k{i}") for i, value in enumerate(key_values(df, keys))]
 
 
 def any_null(names: Sequence[str]) -> Column:
