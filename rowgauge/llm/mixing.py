@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .storage import settle
 
 TRAIN_DOCS = 4_000
-MAX_FEATURES = 20_000
+MAX_FEATURES = 1_000
 MIN_DOCS = 5
 #: A feature is kept if a domain has it in this part of its documents: what a few copies say is chance.
 COMMON = 0.02
@@ -38,8 +38,8 @@ CLOSE = 1e-5
 #: A rate this near to a whole number counts as that number when copies are drawn.
 NEAR_WHOLE = 0.2
 
-MARKS = "!#$%&*|=?\"@+"
-ENDS = ".,;:!?\"'()|#$%&*"
+MARKS = "!#$%&*|="
+ENDS = ".,"
 EVERY = "\n"  # the feature that every document has; no word can hold it
 
 
@@ -48,35 +48,42 @@ def row_key(id_col: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws(":", id_col.cast("string"), text)))
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(F.replace(F.lower(text), F.lit("\n"), F.lit(" ")), " "), lambda w: w != "")
+def _words(text: str) -> Column:
+    """Lower-case runs between blanks and line breaks."""
+    return F.array_remove(F.split(F.replace(F.lower(F.col(text)), F.lit("\n"), F.lit(" ")), " "), "")
 
 
-def _shapes(text: Column, said: Column) -> Column:
-    """How thickly marks stand, and how much is said once, in coarse levels."""
-    chars = F.length(text)
+def with_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", known: list[str] | None = None) -> DataFrame:
+    """``key, doc_id, tokens, features`` of every row; of the words, those that are ``known`` if any are given.
 
-    def level(mark: str) -> Column:
-        n = chars - F.length(F.replace(text, F.lit(mark), F.lit("")))
-        return F.concat(F.lit(f"\n{mark}"), F.when(n == 0, -1).otherwise(F.floor(F.log2(1 + 1000 * n / chars))).cast("string"))
-
-    once = F.floor(10 * F.size(F.array_distinct(said)) / F.greatest(F.size(said), F.lit(1)))
-    return F.array(*[level(m) for m in MARKS], F.concat(F.lit("\nonce"), once.cast("string")))
-
-
-def with_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, doc_id, tokens, features`` of every row; a null text counts as empty."""
+    Marks are taken out of the words one kind after the other, which tells how
+    thickly each stands, in coarse levels, as does the share of words said once.
+    A null text counts as empty.
+    """
     rows = docs.select(
         row_key(docs[id_col], docs[text]).alias("key"),
         docs[id_col].alias("doc_id"),
-        F.coalesce(docs[text], F.lit("")).alias("body"),
-    ).withColumn("said", words(F.col("body")))
-    plain = F.array_distinct(F.transform("said", lambda w: F.btrim(w, F.lit(ENDS))))
-    return rows.select(
+        F.coalesce(docs[text], F.lit("")).alias("b0"),
+    )
+    for i, mark in enumerate(MARKS + ENDS):
+        rows = rows.withColumn(f"b{i + 1}", F.replace(F.col(f"b{i}"), F.lit(mark), F.lit("")))
+    size = F.octet_length("b0")
+
+    def level(i: int, mark: str) -> Column:
+        n = F.octet_length(f"b{i}") - F.octet_length(f"b{i + 1}")
+        return F.concat(F.lit(f"\n{mark}"), F.when(n == 0, -1).otherwise(F.floor(F.log2(1 + 1000 * n / size))).cast("string"))
+
+    shapes = [level(i, mark).alias(f"f{i}") for i, mark in enumerate(MARKS)]
+    said = rows.select("key", "doc_id", *shapes, _words(f"b{len(MARKS + ENDS)}").alias("said"))
+    said = said.withColumn("kinds", F.array_distinct("said"))
+    once = F.floor(10 * F.size("kinds") / F.greatest(F.size("said"), F.lit(1)))
+    kept = F.col("kinds") if known is None else F.array_intersect("kinds", F.lit(known).cast("array<string>"))
+    marks = [F.col(f"f{i}") for i in range(len(MARKS))]
+    return said.select(
         "key",
         "doc_id",
         F.size("said").cast("long").alias("tokens"),
-        F.concat(F.array(F.lit(EVERY)), _shapes(F.col("body"), F.col("said")), plain).alias("features"),
+        F.concat(F.array(F.lit(EVERY), *marks, F.concat(F.lit("\nonce"), once.cast("string"))), kept).alias("features"),
     )
 
 
@@ -84,13 +91,15 @@ def with_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
 class Classifier:
     domains: list[str]
     weights: DataFrame  # feature, w0, w1, ...: at most MAX_FEATURES rows, and one for what all documents share
+    known: list[str]  # the words among the features
     prior: list[float]
     softer: float = 1.0
 
 
 def _logits(rows: DataFrame, weights: DataFrame, n: int, *others: str) -> DataFrame:
     """``key``, the columns in ``others``, ``n_rows`` and the domains' scores ``l0, l1, ...``."""
-    met = rows.select("key", *others, F.explode("features").alias("feature")).join(F.broadcast(weights), "feature")
+    # no array is empty; the outer form keeps Spark from testing that, which works the features out twice
+    met = rows.select("key", *others, F.explode_outer("features").alias("feature")).join(F.broadcast(weights), "feature")
     times = F.sum(F.when(F.col("feature") == EVERY, 1).otherwise(0))
     sums = met.groupBy("key").agg(
         *[F.max(c).alias(c) for c in others], times.alias("n_rows"), *[F.sum(f"w{d}").alias(f"s{d}") for d in range(n)]
@@ -126,19 +135,22 @@ def train(
     chosen = known.where(spread < below).distinct()
     fold = F.pmod(F.xxhash64("label_id", F.lit("mixing fold")), F.lit(4)) == 0
     wanted = (
-        docs.join(chosen, docs[id_col] == chosen["label_id"])
+        docs.join(F.broadcast(chosen), docs[id_col] == chosen["label_id"])  # about TRAIN_DOCS rows of each domain
         .select(F.lit(None).cast("long").alias("doc_id"), docs[text].alias("text"), "domain", fold.alias("held"))
-        .dropDuplicates(["text", "domain"])  # copies would make chance words telling
+        .dropDuplicates(["text", "domain"])  # copies, and below near copies, would make chance words telling
     )
     wanted = settle(wanted, "labelled")
     own = wanted.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "domain", "held")
-    seen = settle(with_features(wanted).dropDuplicates(["key"]).join(own, "key"), "features")
+    # near copies agree in the least hashes of their words, most likely
+    least = F.slice(F.array_sort(F.transform("features", lambda f: F.xxhash64(f))), 1, 2)
+    seen = with_features(wanted).dropDuplicates(["key"]).join(own, "key").withColumn("least", least)
+    seen = settle(seen.dropDuplicates(["least", "domain"]).drop("least"), "features")
     fit = seen.where("NOT held")
     sizes = {r["domain"]: r["count"] for r in fit.groupBy("domain").count().collect()}
     size = [sizes.get(d, 0) for d in domains]
     total = max(1, sum(size))
     held = [F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"c{i}") for i, d in enumerate(domains)]
-    counted = fit.select("domain", F.explode("features").alias("feature")).where(F.col("feature") != EVERY).groupBy("feature").agg(*held)
+    counted = fit.select("domain", F.explode_outer("features").alias("feature")).where(F.col("feature") != EVERY).groupBy("feature").agg(*held)
     every = sum((F.col(f"c{i}") for i in range(1, n)), F.col("c0"))
     usual = [F.col("every") * s / total for s in size]
     chi = sum((F.when(u > 0, (F.col(f"c{i}") - u) ** 2 / u).otherwise(0.0) for i, u in enumerate(usual)), F.lit(0.0))
@@ -160,27 +172,31 @@ def train(
     every_row = docs.sparkSession.createDataFrame([(EVERY, *[0.0] * n)], weights.schema)
     weights = settle(weights.union(every_row), "weights")
     prior = [math.log((s + 1) / (sum(size) + n)) for s in size]
+    known = sorted(r["feature"] for r in weights.where(~F.col("feature").startswith("\n")).select("feature").collect())
     scores = settle(_logits(seen.where("held"), weights, n).join(seen.select("key", "domain"), "key"), "held")
-    return Classifier(list(domains), weights, *_calibrated(scores, domains, prior))
+    return Classifier(list(domains), weights, known, *_calibrated(scores, domains, prior, counts))
 
 
-def _calibrated(scores: DataFrame, domains: list[str], prior: list[float]) -> tuple[list[float], float]:
-    """Priors and softness fitted to documents held back: the priors bring mean posteriors to the domains' shares,
-    the softness has the least log loss."""
+def _calibrated(scores: DataFrame, domains: list[str], prior: list[float], counts: dict[str, int]) -> tuple[list[float], float]:
+    """Priors and softness fitted to documents held back: the priors bring mean posteriors to the domains' shares
+    among all labels, the softness has the least log loss. Each document stands for its part of its domain's labels."""
     is_in = [(F.col("domain") == d).cast("double") for d in domains]
-    shares = scores.agg(*[F.avg(x) for x in is_in]).first()
-    if shares[0] is None:
+    here = scores.agg(*[F.sum(x) for x in is_in]).first()
+    if not sum(x or 0 for x in here):
         return prior, 1.0
+    every = sum(counts.get(d, 0) for d, x in zip(domains, here) if x)
+    shares = [counts.get(d, 0) / every if x else 0.0 for d, x in zip(domains, here)]
+    stands = sum((x * (s / n if n else 0.0) for x, s, n in zip(is_in, shares, here)), F.lit(0.0))
     tried = [(list(prior), softer) for softer in SOFTER]
     for _ in range(ROUNDS):
-        mean = iter(scores.agg(*[F.avg(p) for at in tried for p in _posterior(*at)]).first())
+        mean = iter(scores.agg(*[F.sum(p * stands) for at in tried for p in _posterior(*at)]).first())
         for start, _ in tried:
             for d, share in enumerate(shares):
                 start[d] += math.log(max(share, 1e-4) / max(next(mean), 1e-4))
     losses = []
     for at in tried:
         own = sum((p * x for p, x in zip(_posterior(*at), is_in)), F.lit(0.0))
-        losses.append(F.avg(-F.log(F.greatest(own, F.lit(1e-300)))))
+        losses.append(F.sum(-F.log(F.greatest(own, F.lit(1e-300))) * stands))
     loss = scores.agg(*losses).first()
     return tried[min(range(len(tried)), key=lambda i: loss[i])]
 
@@ -188,7 +204,7 @@ def _calibrated(scores: DataFrame, domains: list[str], prior: list[float]) -> tu
 def posteriors(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, doc_id, tokens, n_rows, p0, p1, ...``: a row per document."""
     n = len(classifier.domains)
-    scores = _logits(with_features(docs, id_col, text), classifier.weights, n, "doc_id", "tokens")
+    scores = _logits(with_features(docs, id_col, text, classifier.known), classifier.weights, n, "doc_id", "tokens")
     return scores.select("key", "doc_id", "tokens", "n_rows", *[p.alias(f"p{d}") for d, p in enumerate(_posterior(classifier.prior, classifier.softer))])
 
 
@@ -266,7 +282,7 @@ def mix(
 ) -> DataFrame:
     """``key, doc_id, tokens, n_rows, p_<domain>..., rate, copies``: a row per document.
 
-    Tokens are runs of characters between blanks and line breaks. Rows equal in
+    Tokens are runs of characters, marks aside, between blanks and line breaks. Rows equal in
     id and text are one document that counts ``n_rows`` times. A null or empty
     text has no tokens, moves no total, and has the rate its posterior gives. An
     empty table has no rows; other columns are left behind.
