@@ -38,7 +38,8 @@ def _hash(value: Column) -> Column:
 
 def common_lines(docs: DataFrame, text: str = "text", min_docs: int = 10) -> DataFrame:
     """``line_hash, n_docs`` of the normalised lines, not empty, that at least ``min_docs`` rows hold."""
-    keys = docs.select(F.explode(F.array_distinct(line_keys(docs[text]))).alias("key")).where("key != ''")
+    # no array is empty; the outer form keeps Spark from testing that, which works the keys out twice
+    keys = docs.select(F.explode_outer(F.array_distinct(line_keys(docs[text]))).alias("key")).where("key != ''")
     counts = keys.groupBy(_hash(F.col("key")).alias("line_hash")).agg(F.count("*").alias("n_docs"))
     return counts.where(F.col("n_docs") >= min_docs)
 
@@ -58,7 +59,7 @@ def drop_common_lines(
         _hash(F.concat_ws(":", docs[id_col].cast("string"), docs[text])).alias("row_key"),
     )
     common = common_lines(docs, text, min_docs)
-    at = rows.select("row_key", F.posexplode(line_keys(F.col("body"))).alias("pos", "key")).where("key != ''")
+    at = rows.select("row_key", F.posexplode_outer(line_keys(F.col("body"))).alias("pos", "key")).where("key != ''")
     dropped = (
         at.select("row_key", "pos", _hash(F.col("key")).alias("line_hash"))
         .join(common.select("line_hash"), "line_hash")
