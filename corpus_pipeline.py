@@ -26,8 +26,10 @@ ORACLE_SQL = None
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the models know; those that they reject go."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"])
-    return langid.identify(rows, langid.train(docs), keep=("row",)).where("NOT rejected").select("row.*")
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*[docs[c] for c in others]).alias("row"), "text")
+    kept = langid.identify(rows, langid.train(docs), keep=("row", "text")).where("NOT rejected")
+    return kept.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ spread over the whole text. Scoring reads every text whole.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import text_slices
+from .batches import map_batches, text_slices
 
 ORDER = 4
 TRAIN_DOCS = 2_000
@@ -35,8 +36,9 @@ TRAIN_PASSAGES = 8
 PASSAGE = 1_024
 #: A text is rejected when its cross-entropy lies this part of the way from its language's own texts to
 #: other languages' texts, and so many deviations of a text of its length above that.
-REJECT_WAY, REJECT_DEVIATIONS = 0.6, 4.0
+REJECT_WAY, REJECT_DEVIATIONS = 1.0, 4.0
 UNKNOWN = "und"
+DIGIT = re.compile("[0-9]")
 
 _BASE = pow(0x9E3779B97F4A7C15, 1, 1 << 64)
 _POWERS = [np.uint64(pow(_BASE, n, 1 << 64)) for n in range(16)]
@@ -50,7 +52,18 @@ def _letters() -> np.ndarray:
 
 
 def normal(text: str) -> np.ndarray:
-    """Code points of the lower-case letters, words parted by one blank, a blank at either end; empty without letters."""
+    """Code points of the lower-case letters, words parted by one blank, a blank at either end; empty without letters.
+
+    What holds a digit is no word, unless a text has nothing else with letters.
+    """
+    if DIGIT.search(text):
+        words = [w for w in text.split() if not DIGIT.search(w)]
+        if len(found := _normal(" ".join(words))):
+            return found
+    return _normal(text)
+
+
+def _normal(text: str) -> np.ndarray:
     chars = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
     letter = _letters()[chars]
     if not letter.any():
@@ -247,7 +260,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", lang: str = "lang", text: str
                 columns += [pa.array([c[r] for r in rows], pa.int64()) for c in (grams, holders)]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "fold", "gram", "n", "docs"])
 
-    counted = sample.mapInArrow(count, schema).groupBy("lang", "fold", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counted = map_batches(sample, count, schema).groupBy("lang", "fold", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     parts: dict[str, list[Counter]] = defaultdict(lambda: [Counter(), Counter()])
     shared: dict[str, list[Counter]] = defaultdict(lambda: [Counter(), Counter()])
     for r in counted.collect():
@@ -277,7 +290,7 @@ def _calibrated(model: Model, sample: DataFrame) -> Model:
                     names=["lang", "entropy", "size"],
                 )
 
-    rows = sample.where("fold = 0").mapInArrow(score, "lang string, entropy array<double>, size long").collect()
+    rows = map_batches(sample.where("fold = 0"), score, "lang string, entropy array<double>, size long").collect()
     index = {x: i for i, x in enumerate(model.langs)}
     rows = [r for r in rows if r["lang"] in index]
     model.limit, model.within = np.full(len(index), math.inf), np.ones(len(index))
@@ -312,6 +325,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
     the nearest language. Nothing but the text is read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
+    place = keep.index(text) if text in keep else len(keep)  # a text that is kept goes out and back once
     schema = T.StructType(
         [docs.schema[c] for c in keep]
         + list(T.StructType.fromDDL("lang_pred string, score double, entropy double, rejected boolean"))
@@ -319,7 +333,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
-        for part, texts in text_slices(batches, len(keep), 500_000):
+        for part, texts in text_slices(batches, place, 500_000):
             names, scores, entropies, rejected = ([x] * len(texts) for x in (UNKNOWN, 0.0, None, True))
             read = [(i, c) for i, t in enumerate(texts) if t and len(c := normal(t))] if fitted.langs else []
             if read:
@@ -331,7 +345,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
             columns += [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(entropies, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(*keep, docs[text].alias("_text")).mapInArrow(run, schema)
+    given = docs.select(*keep) if text in keep else docs.select(*keep, docs[text].alias("_text"))
+    return map_batches(given, run, schema)
 
 
 def held_out(id_col: Column) -> Column:

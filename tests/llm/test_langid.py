@@ -18,7 +18,8 @@ def text_of(chars) -> str:
 
 
 def test_normal():
-    assert text_of(normal("  A1b--Ç x ")) == " a b ç x "
+    assert text_of(normal("  A--b--Ç x a1b9 ")) == " a b ç x "
+    assert text_of(normal("a1b9")) == " a b "
     assert len(normal("12 .!")) == 0 and len(normal("")) == 0
 
 
