@@ -5,8 +5,8 @@ start, no merge can join what stands before a marker to the marker. A text then
 falls into chunks, a run of markers and what follows up to the next one, that
 are segmented on their own. A task segments each distinct chunk it meets once,
 keeps the ids in one flat table, and puts a text's ids together by position. The
-texts stay where they are: nothing is shuffled. The table is emptied when it
-holds ``TABLE_CHUNKS`` chunks, which costs repeated work but no result.
+texts stay where they are: nothing is shuffled. The table is emptied when its
+chunks exceed ``TABLE_CHARS`` characters, which costs repeated work but no result.
 """
 
 from __future__ import annotations
@@ -19,12 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .batches import text_slices
+from .batches import map_batches, text_slices
 
 MARK = "▁"
-TABLE_CHUNKS = 400_000
-#: Longer chunks are segmented each time and not kept.
-LONGEST_KEPT = 64
+TABLE_CHARS = 4_000_000
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -41,25 +39,23 @@ def check_vocabulary(processor) -> None:
 class ChunkTable:
     """Chunks to rows, rows to ids."""
 
-    def __init__(self, processor, limit: int = TABLE_CHUNKS):
+    def __init__(self, processor, limit: int = TABLE_CHARS):
         self.processor, self.limit = processor, limit
         self.lone = processor.piece_to_id(MARK)
         self.empty()
 
     def empty(self) -> None:
         self.rows: dict[str, int] = {}
+        self.chars = 0
         self.ends = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.int32)
 
-    def segment(self, chunks: list[str]) -> list[list[int]]:
-        # the library sets the first marker itself, but none before an empty text
-        found = self.processor.encode([c[1:] for c in chunks], num_threads=1)
-        return [ids or [self.lone] for ids in found]
-
     def add(self, chunks: list[str]) -> None:
-        found = self.segment(chunks)
+        # the library sets the first marker itself, but none before an empty text
+        found = [ids or [self.lone] for ids in self.processor.encode([c[1:] for c in chunks], num_threads=1)]
         n = len(self.rows)
         self.rows.update((c, n + i) for i, c in enumerate(chunks))
+        self.chars += sum(map(len, chunks))
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
         self.ids = np.concatenate([self.ids, np.fromiter((x for ids in found for x in ids), np.int32, int(lengths.sum()))])
@@ -67,32 +63,17 @@ class ChunkTable:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and where each text's end."""
         split = [CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.rows) > self.limit:
+        if self.chars > self.limit:
             self.empty()
-        new = {c for chunks in split for c in chunks if c not in self.rows}
-        kept = [c for c in new if len(c) <= LONGEST_KEPT]
-        if kept:
-            self.add(kept)
-        long = {c: ids for c, ids in zip(rest, self.segment(rest))} if (rest := [c for c in new if len(c) > LONGEST_KEPT]) else {}
-        base = len(self.rows)
-        names = {c: base + i for i, c in enumerate(long)}
-        ends, ids = self.ends, self.ids
-        if long:  # behind the table, for these texts only
-            lengths = np.fromiter(map(len, long.values()), np.int64, len(long))
-            ends = np.concatenate([ends, ends[-1] + np.cumsum(lengths)])
-            ids = np.concatenate([ids, np.fromiter((x for v in long.values() for x in v), np.int32, int(lengths.sum()))])
-            row = {**self.rows, **names} if len(self.rows) < 1000 else None
-        else:
-            row = self.rows
-        get = row.__getitem__ if row is not None else (lambda c: names[c] if c in names else self.rows[c])
-        code = np.fromiter((get(c) for chunks in split for c in chunks), np.int64)
-        start, size = ends[code], ends[code + 1] - ends[code]
-        before = np.cumsum(size) - size
-        out = ids[np.repeat(start - before, size) + np.arange(int(size.sum()))]
-        per_text = np.fromiter(map(len, split), np.int64, len(split))
-        last = np.cumsum(per_text)
+        rows = self.rows
+        if new := {c for chunks in split for c in chunks if c not in rows}:
+            self.add(list(new))
+        code = np.fromiter((rows[c] for chunks in split for c in chunks), np.int64)
+        start = self.ends[code]
+        size = self.ends[code + 1] - start
         till = np.concatenate([[0], np.cumsum(size)])
-        return out, till[last]
+        out = self.ids[np.repeat(start - till[:-1], size) + np.arange(till[-1])]
+        return out, till[np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]
 
 
 def _processor(model: bytes):
@@ -133,7 +114,7 @@ def encode_pieces(
                 )
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(*keep, docs[text].alias("_text")).mapInArrow(encode, schema)
+    return map_batches(docs.select(*keep, docs[text].alias("_text")), encode, schema)
 
 
 def decode_pieces(
@@ -150,4 +131,4 @@ def decode_pieces(
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return encoded.select(*keep, encoded[ids].alias("_ids")).mapInArrow(decode, schema)
+    return map_batches(encoded.select(*keep, encoded[ids].alias("_ids")), decode, schema)
