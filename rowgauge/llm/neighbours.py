@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .batches import map_batches
 from .storage import settle
 
 TREES = 12
@@ -259,7 +260,7 @@ def nearest(
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["id", "v", "leaves"])
 
     kind = dict(rows.dtypes)["v"]
-    placed = settle(rows.mapInArrow(place, f"id long, v {kind}, leaves array<int>"), "placed")
+    placed = settle(map_batches(rows, place, f"id long, v {kind}, leaves array<int>"), "placed")
     held = np.zeros(len(forest.tree_of), np.int64)
     for r in placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect():  # a row per leaf
         held[r["leaf"]] = r["count"]
@@ -335,12 +336,12 @@ def nearest(
             yield out
 
     dealt = (
-        asking.mapInArrow(route, layout)
+        map_batches(asking, route, layout)
         .unionByName(members)
         .repartition(trees * each, "part", "block")
         .sortWithinPartitions("part", "block", "member", "leaf", "id")
     )
-    met = dealt.mapInArrow(search, "query_id long, vec_id long, score double")
+    met = map_batches(dealt, search, "query_id long, vec_id long, score double")
     once = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # a pair may meet in several trees
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import text_slices
+from .batches import map_batches, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
@@ -332,7 +332,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Field
                 names=["labels", "features", "chain", "skip"],
             )
 
-    rows = sample.select(docs[text].alias("_text")).mapInArrow(read, schema).collect()
+    rows = map_batches(sample.select(docs[text].alias("_text")), read, schema).collect()
     rows = sorted(rows, key=lambda r: (r["labels"], r["features"], r["chain"], r["skip"]))  # sums in one order
     return fit([Tokens([], r["features"], r["labels"], r["chain"], r["skip"]) for r in rows])
 
@@ -365,4 +365,4 @@ def find_pii(docs: DataFrame, field: Field | None, text: str = "text", keep: tup
                 [*(part.column(i) for i in range(len(keep))), rows(base), rows(added)], names=schema.names
             )
 
-    return docs.select(*keep, docs[text].alias("_text")).mapInArrow(run, schema)
+    return map_batches(docs.select(*keep, docs[text].alias("_text")), run, schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import text_slices
+from .batches import map_batches, text_slices
 from .components import components
 from .storage import settle
 
@@ -165,7 +165,7 @@ def signed(docs: DataFrame, id_col: str, text: str, n: int, depth: int) -> DataF
                 names=schema.names,
             )
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def spanning(ids: list, sizes: np.ndarray, bits: np.ndarray, threshold: float, least: int) -> Iterator[tuple]:
@@ -232,7 +232,7 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
         yield out()
 
     ordered = entries.repartition(parts, "tree", "prefix").sortWithinPartitions("tree", "prefix")
-    return ordered.mapInArrow(run, "a binary, b binary")
+    return map_batches(ordered, run, "a binary, b binary")
 
 
 def _without_lone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,8 +317,7 @@ def verify(members: DataFrame, n: int, threshold: float) -> DataFrame:
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = (
-        members.select("cell", "blocks", "node", "copies", "text")
-        .mapInArrow(pack, schema)
+        map_batches(members.select("cell", "blocks", "node", "copies", "text"), pack, schema)
         .select("cell", "node", "copies", "packed", block.alias("block"), other)
         .select("cell", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "copies", "packed")
         .repartition(parts, "cell", "low", "high")
@@ -348,7 +347,7 @@ def verify(members: DataFrame, n: int, threshold: float) -> DataFrame:
                 names=["a", "b", "links"],
             )
 
-    return dealt.mapInArrow(run, "a binary, b binary, links long")
+    return map_batches(dealt, run, "a binary, b binary, links long")
 
 
 def similar_documents(

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import text_slices
+from .batches import map_batches, text_slices
 
 K = 12
 WINDOW = 32
@@ -121,7 +121,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
             arrays = [pa.array([x[i].astype(np.int64) for x in found], pa.list_(pa.int64())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), *arrays], names=schema.names)
 
-    return docs.select(*keep, docs[text].alias("_text")).mapInArrow(run, schema)
+    return map_batches(docs.select(*keep, docs[text].alias("_text")), run, schema)
 
 
 # ---- neighbours in the order of ids ----
@@ -193,7 +193,7 @@ def _packed(rows: DataFrame) -> DataFrame:
             columns.append(pa.array([squeeze(t.encode()) for t in texts], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(pack, schema)
+    return map_batches(rows, pack, schema)
 
 
 def edited(text: str, following: str) -> str:
@@ -243,4 +243,4 @@ def beside_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k:
             types = [part.schema.field(4).type, pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.string(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=schema.names)
 
-    return in_descending_order(docs, id_col, text).mapInArrow(run, schema)
+    return map_batches(in_descending_order(docs, id_col, text), run, schema)
