@@ -35,6 +35,7 @@ SOFTER = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0)
 ROUNDS = 8
 STEPS = 60
 CLOSE = 1e-5
+WRITE_EVERY = 10
 #: A rate this near to a whole number counts as that number when copies are drawn.
 NEAR_WHOLE = 0.2
 
@@ -218,25 +219,26 @@ def _largest_eigenvalue(m: list[list[float]]) -> float:
     return size
 
 
-def rate(steps: list[list[float]]) -> Column:
-    """The rate that the steps lead to, from 1, for posteriors ``p0, p1, ...``."""
+def rate(steps: list[list[float]], start: Column) -> Column:
+    """The rate that the steps lead to from ``start``, for posteriors ``p0, p1, ...``."""
     if not steps:
-        return F.lit(1.0)
+        return start
     moves = F.lit(steps).cast("array<array<double>>")
 
     def step(r: Column, move: Column) -> Column:
         pull = sum((F.col(f"p{d}") * F.get(move, F.lit(d)) for d in range(len(steps[0]))), F.lit(0.0))
         return F.greatest(r - pull, F.lit(0.0))
 
-    return F.aggregate(moves, F.lit(1.0).cast("double"), step)
+    return F.aggregate(moves, start.cast("double"), step)
 
 
-def fit_rates(scored: DataFrame, targets: list[float], budget: float | None = None) -> tuple[list[list[float]], list[float]]:
-    """The steps of the projected gradient, and the expected totals they lead to.
+def fit_rates(scored: DataFrame, targets: list[float], budget: float | None = None) -> tuple[DataFrame, list[list[float]], list[float]]:
+    """``scored`` with ``rate``, the steps of the projected gradient, and the expected totals they lead to.
 
     ``targets`` are the domains' shares of the tokens wanted. Without a budget of
     tokens it is the largest for which no domain must be repeated as a whole. The
-    distance is weighed by each domain's present total, and a document's step by its tokens.
+    distance is weighed by each domain's present total, and a document's step by its
+    tokens. Rates are written every ``WRITE_EVERY`` steps, so that a step costs the same early and late.
     """
     n = len(targets)
     load = F.col("tokens") * F.col("n_rows")
@@ -250,19 +252,23 @@ def fit_rates(scored: DataFrame, targets: list[float], budget: float | None = No
     goal = [t * budget for t in targets]
     normal = [[gram[a * n + b] / math.sqrt(scale[a] * scale[b]) for b in range(n)] for a in range(n)]
     pace = 1 / max(_largest_eigenvalue(normal), 1e-9)
-    steps: list[list[float]] = []
+    base, steps, recent = scored.withColumn("rate", F.lit(1.0)), [], []
     for _ in range(STEPS):
         off = [(s - g) / c for s, g, c in zip(now, goal, scale)]
         if max(map(abs, off)) < CLOSE or not sum(now):
             break
         steps.append([pace * x for x in off])
-        weighed = scored.withColumn("rate", rate(steps))
-        after = [x or 0.0 for x in weighed.agg(*[F.sum(load * F.col("rate") * F.col(f"p{d}")) for d in range(n)]).first()]
+        recent.append(steps[-1])
+        moved = base.withColumn("rate", rate(recent, F.col("rate")))
+        if len(recent) == WRITE_EVERY:
+            base, recent = settle(moved, "rates"), []
+            moved = base
+        after = [x or 0.0 for x in moved.agg(*[F.sum(load * F.col("rate") * F.col(f"p{d}")) for d in range(n)]).first()]
         still = max(abs(a - b) / c for a, b, c in zip(after, now, scale)) < CLOSE / 10
         now = after
         if still:
             break
-    return steps, now
+    return base.withColumn("rate", rate(recent, F.col("rate"))), steps, now
 
 
 def copies(rate: Column, id_col: Column) -> Column:
@@ -290,8 +296,7 @@ def mix(
     domains = sorted(targets)
     classifier = train(docs, labels, domains, id_col, text)
     scored = settle(posteriors(docs, classifier, id_col, text), "posteriors")
-    steps, _ = fit_rates(scored, [targets[d] for d in domains], budget)
-    rated = scored.withColumn("rate", rate(steps))
+    rated, _, _ = fit_rates(scored, [targets[d] for d in domains], budget)
     names = [F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(domains)]
     return rated.select("key", "doc_id", "tokens", "n_rows", *names, "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from rowgauge.llm import mixing
-from rowgauge.llm.mixing import copies, fit_rates, mix, mixed, rate
+from rowgauge.llm.mixing import copies, fit_rates, mix, mixed
 
 TARGETS = {"clean": 0.9, "rude": 0.0, "torn": 0.1}
 
@@ -59,7 +59,7 @@ def test_rates_are_projected_gradient(spark):
         [(int(t), int(n), *map(float, x)) for t, n, x in zip(tokens, often, p)], "tokens long, n_rows long, p0 double, p1 double, p2 double"
     )
     goal, budget = np.array([0.7, 0.3, 0.0]), 30_000.0
-    steps, totals = fit_rates(df, goal.tolist(), budget)
+    rated, steps, totals = fit_rates(df, goal.tolist(), budget)
     load = tokens * often
     r = np.ones(200)
     scale = load @ p
@@ -68,7 +68,7 @@ def test_rates_are_projected_gradient(spark):
     for _ in steps:
         r = np.maximum(0, r - pace * p @ (((load * r) @ p - goal * budget) / scale))
     assert np.allclose((load * r) @ p, totals, rtol=1e-5)
-    got = [x["rate"] for x in df.withColumn("rate", rate(steps)).collect()]
+    got = [x["rate"] for x in rated.collect()]
     assert np.allclose(sorted(got), sorted(r), rtol=1e-4, atol=1e-5)
     far = lambda x: (((load * x) @ p - goal * budget) ** 2 / scale).sum()
     assert far(r) < 0.05 * far(np.ones(200))
