@@ -14,6 +14,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import settle
+
 #: Stripped at both ends of a line: the blank and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -57,11 +59,13 @@ def drop_common_lines(
         F.coalesce(docs[text], F.lit("")).alias("body"),
         _hash(F.concat_ws(":", docs[id_col].cast("string"), docs[text])).alias("row_key"),
     )
-    common = common_lines(docs, text, min_docs)
+    # as a table of its own it meets the lines in a join that Spark may broadcast by its size, and whose
+    # hot partitions, those of a line that a third of all rows hold, it can split
+    common = settle(common_lines(docs, text, min_docs).select("line_hash"), "common-lines")
     at = rows.select("row_key", F.posexplode(line_keys(F.col("body"))).alias("pos", "key")).where("key != ''")
     dropped = (
         at.select("row_key", "pos", _hash(F.col("key")).alias("line_hash"))
-        .join(common.select("line_hash"), "line_hash")
+        .join(common, "line_hash")
         .groupBy("row_key")
         .agg(F.collect_set("pos").alias("gone"))  # no more than the lines of one text
     )
