@@ -388,7 +388,7 @@ def similar_documents(
     links = found.where("links IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b IS NOT NULL").select("a", "b"))
     first = roots.join(nodes.select("node", "head"), "node").groupBy("root").agg(F.min("head").alias("first"))
-    known = (
+    known = settle(  # as a table of its own, so that the join below can split a node of very many copies
         nodes.select("node", "head", "copies")
         .join(links, "node", "left")
         .join(roots.join(first, "root").select("node", "first"), "node", "left")
@@ -397,7 +397,8 @@ def similar_documents(
             F.col("head.doc_id").alias("copy_of"),
             F.coalesce("first", "head").alias("first"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        )
+        ),
+        "known",
     )
     alone = F.col("node").isNull()
     return rows.select("doc_id", "text_key", "node").join(known, "node", "left").select(
