@@ -36,8 +36,8 @@ ROUNDS = 8
 STEPS = 60
 CLOSE = 1e-5
 WRITE_EVERY = 10
-#: A rate this near to a whole number counts as that number when copies are drawn.
-NEAR_WHOLE = 0.2
+#: A rate this near to a whole number is that number but for rounding.
+NEAR_WHOLE = 1e-6
 
 MARKS = "!#$%&*|="
 ENDS = ".,"
@@ -271,9 +271,9 @@ def fit_rates(scored: DataFrame, targets: list[float], budget: float | None = No
     return base.withColumn("rate", rate(recent, F.col("rate"))), steps, now
 
 
-def copies(rate: Column, id_col: Column) -> Column:
-    """How often a document is taken: the whole part of its rate, and one more by a hash of its id."""
-    chance = F.pmod(F.xxhash64(id_col, F.lit("mixing draw")), F.lit(1 << 30)) / float(1 << 30)
+def copies(rate: Column, key: Column) -> Column:
+    """How often a document is taken: the whole part of its rate, and one more by a hash of its key, as likely as the rest of the rate."""
+    chance = F.pmod(F.xxhash64(key, F.lit("mixing draw")), F.lit(1 << 30)) / float(1 << 30)
     near = F.abs(rate - F.round(rate)) <= NEAR_WHOLE
     return F.when(near, F.round(rate)).otherwise(F.floor(rate + chance)).cast("int")
 
@@ -298,7 +298,7 @@ def mix(
     scored = settle(posteriors(docs, classifier, id_col, text), "posteriors")
     rated, _, _ = fit_rates(scored, [targets[d] for d in domains], budget)
     names = [F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(domains)]
-    return rated.select("key", "doc_id", "tokens", "n_rows", *names, "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+    return rated.select("key", "doc_id", "tokens", "n_rows", *names, "rate", copies(F.col("rate"), F.col("key")).alias("copies"))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float], budget: float | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -120,3 +120,22 @@ def test_given_documents(spark):
     of = lambda d: [r for r in found if r["domain"] == d]
     assert sum(r["copies"] >= 1 for r in of("clean")) >= 0.98 * len(of("clean"))
     assert sum(r["copies"] == 0 for r in of("toxic")) >= 0.85 * len(of("toxic"))
+
+
+def test_drawn_tokens_meet_targets(spark):
+    """Domains that must be thinned to a fifth or less keep their share of the tokens that are drawn."""
+    kinds = ["clean"] * 3200 + ["rude"] * 400 + ["torn"] * 400
+    marks = {"clean": "good", "rude": "idiot", "torn": "###"}
+    rng = random.Random(7)
+    texts = [" ".join([f"word{rng.randrange(300)}" for _ in range(40)] + [marks[k]] * 3) for k in kinds]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(list(enumerate(kinds)), "doc_id long, domain string")
+    targets = {"clean": 0.4, "rude": 0.3, "torn": 0.3}
+    drawn = mixed(docs, labels, targets).join(labels, "doc_id").groupBy("domain").count().collect()
+    got = {r["domain"]: r["count"] for r in drawn}
+    for domain, share in targets.items():
+        assert got.get(domain, 0) / sum(got.values()) == pytest.approx(share, abs=0.04)
+    # a null or repeated id does not share one draw
+    same = spark.createDataFrame([(None if i % 2 else 7, f"good {i} " + t) for i, t in enumerate(texts[:1000])], docs.schema)
+    found = mix(docs.union(same), labels, targets).where("doc_id IS NULL OR doc_id = 7").groupBy("doc_id").agg(F.countDistinct("copies").alias("n")).collect()
+    assert len(found) == 2 and all(r["n"] > 1 for r in found)
