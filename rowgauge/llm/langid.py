@@ -51,21 +51,28 @@ def _letters() -> np.ndarray:
     return _LETTER[0]
 
 
+def _coded(chars: np.ndarray) -> np.ndarray:
+    """Which characters are in a run of a to z and 0 to 9 that holds a digit."""
+    digit = (chars >= 48) & (chars <= 57)
+    inside = digit | ((chars >= 97) & (chars <= 122))
+    run = np.cumsum(inside & ~np.concatenate([[False], inside[:-1]]))
+    held = np.zeros(int(run[-1]) + 1, bool)
+    held[run[digit]] = True
+    return inside & held[run]
+
+
 def normal(text: str) -> np.ndarray:
     """Code points of the lower-case letters, words parted by one blank, a blank at either end; empty without letters.
 
-    What holds a digit is no word, unless a text has nothing else with letters.
+    A to Z beside a digit, as in keys and codes, are no words: such a run of letters and digits is a blank,
+    unless that takes more than half of a text's letters. All other letters are read, whatever stands beside them.
     """
-    if DIGIT.search(text):
-        words = [w for w in text.split() if not DIGIT.search(w)]
-        if len(found := _normal(" ".join(words))):
-            return found
-    return _normal(text)
-
-
-def _normal(text: str) -> np.ndarray:
     chars = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
     letter = _letters()[chars]
+    if DIGIT.search(text):
+        plain = letter & ~_coded(chars)
+        if 2 * np.count_nonzero(plain) >= np.count_nonzero(letter):
+            letter = plain
     if not letter.any():
         return chars[:0]
     chars = np.where(letter, chars, np.uint32(32))

@@ -23,6 +23,20 @@ def test_normal():
     assert len(normal("12 .!")) == 0 and len(normal("")) == 0
 
 
+def test_normal_reads_what_stands_beside_digits():
+    assert text_of(normal("今天是2024年3月1日我们去公园 ok")) == " 今天是 年 月 日我们去公园 ok "
+    assert text_of(normal("12,the,house,3\nhttp://a.b/the-page?id=7 ok")) == " the house http a b the page id ok "
+    assert text_of(normal("le café2 5го Ünï7x")) == " le café го ünï "
+    assert text_of(normal("the1of2and3that4 ok")) == " the of and that ok "  # codes are no more than half
+    assert len(normal("x" * 100_000 + " 1")) == 100_002
+
+
+def test_dated_lines_are_judged_whole(spark, model):
+    page = "\n".join(f"これは日本語の文章です2024年{i}月1日" for i in range(1, 13)) + "\nthe"
+    row = identify(spark.createDataFrame([(1, page)], "doc_id long, text string"), model).first()
+    assert row["rejected"]
+
+
 def plain_p(counts: Counter, gram: str, order: int) -> float:
     """Interpolated Kneser-Ney straight from its definition."""
     def level(n):
