@@ -1,10 +1,12 @@
 """Line dedup: drop lines whose normalised form occurs in many documents.
 
-Lines are exploded, normalised and hashed; documents are counted per hash with
-partial aggregation, so a line that every document has weighs one row per task.
+Lines are exploded, normalised and hashed; distinct pairs of hash and document
+id are dealt by both, then counted per hash with partial aggregation, so a line
+that every document has weighs one row per task in the count.
 Only positions of dropped lines travel back to their documents, which are
-reassembled by position. A row is a document; rows with the same id and text
-are counted one by one and lose the same lines.
+reassembled by position. Rows with one id are one document, counted once; all of
+them lose its common lines. A null id is no document that counts, as in SQL's
+count(DISTINCT doc_id), but its rows lose common lines too.
 """
 
 from __future__ import annotations
@@ -38,10 +40,11 @@ def _hash(value: Column) -> Column:
     return F.unhex(F.md5(value))
 
 
-def common_lines(docs: DataFrame, text: str = "text", min_docs: int = 10) -> DataFrame:
-    """``line_hash, n_docs`` of the normalised lines, not empty, that at least ``min_docs`` rows hold."""
-    keys = docs.select(F.explode(F.array_distinct(line_keys(docs[text]))).alias("key")).where("key != ''")
-    counts = keys.groupBy(_hash(F.col("key")).alias("line_hash")).agg(F.count("*").alias("n_docs"))
+def common_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = 10) -> DataFrame:
+    """``line_hash, n_docs`` of the normalised lines, not empty, that at least ``min_docs`` documents hold: distinct ids, null aside."""
+    told = docs.where(docs[id_col].isNotNull())
+    keys = told.select(told[id_col].alias("id"), F.explode(F.array_distinct(line_keys(told[text]))).alias("key")).where("key != ''")
+    counts = keys.groupBy(_hash(F.col("key")).alias("line_hash")).agg(F.count_distinct("id").alias("n_docs"))
     return counts.where(F.col("n_docs") >= min_docs)
 
 
@@ -61,7 +64,7 @@ def drop_common_lines(
     )
     # as a table of its own it meets the lines in a join that Spark may broadcast by its size, and whose
     # hot partitions, those of a line that a third of all rows hold, it can split
-    common = settle(common_lines(docs, text, min_docs).select("line_hash"), "common-lines")
+    common = settle(common_lines(docs, id_col, text, min_docs).select("line_hash"), "common-lines")
     at = rows.select("row_key", F.posexplode(line_keys(F.col("body"))).alias("pos", "key")).where("key != ''")
     dropped = (
         at.select("row_key", "pos", _hash(F.col("key")).alias("line_hash"))

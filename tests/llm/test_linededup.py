@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from rowgauge.llm.linededup import BLANKS, ascii_lower, drop_common_lines, without_common_lines
+from rowgauge.llm.oracle import OP8
 
 
 def key(line):
@@ -50,3 +52,19 @@ def test_ascii_lower(spark):
     texts = ["ABC", "ÀBÇ", "", "ΣΑΣ A", "I İ ı"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", ascii_lower(F.col("t")).alias("l")).collect()
     assert all(r["l"] == "".join(c.lower() if c.isascii() else c for c in r["t"]) for r in rows)
+
+
+def test_repeated_rows_are_one_document(spark):
+    rows = [(i, "shared\nown %d" % i) for i in range(10)] + [(20, "one page\nalone")] * 10 + [(30 + i, "nine hold it") for i in range(9)] + [(30, "nine hold it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = drop_common_lines(docs, min_docs=10).select("row.doc_id", "kept", "n_lines", "n_dropped").collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = {i: (n, gone) for i, n, gone, _ in con.execute(OP8).fetchall()}
+    got = {i: tuple(sum(r[c] for r in found if r["doc_id"] == i) for c in ("n_lines", "n_dropped")) for i in want}
+    assert len(found) == len(rows) and got == want
+    assert all(r["kept"] == "one page\nalone" for r in found if r["doc_id"] == 20)
+    # nor do rows without an id make a line common
+    none = spark.createDataFrame([(None, f"no id\n{i}") for i in range(12)], docs.schema)
+    assert drop_common_lines(docs.union(none), min_docs=10).where("row.doc_id IS NULL").agg(F.sum("n_dropped")).first()[0] == 0
