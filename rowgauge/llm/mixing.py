@@ -31,6 +31,9 @@ COMMON = 0.02
 #: Features below this chi-square are noise.
 TELLING = 40.0
 PRIOR = 2.0
+#: Training rows are near copies from this likeness of their word sets on; candidates agree in a band of least hashes.
+NEAR_COPY = 0.8
+BANDS, BAND_ROWS = 8, 4
 SOFTER = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0)
 ROUNDS = 8
 STEPS = 60
@@ -88,6 +91,34 @@ def with_features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k
     )
 
 
+def without_near_copies(seen: DataFrame) -> DataFrame:
+    """``seen`` (``key, domain, features``, others) without rows whose words are those, or nearly, of a row with a smaller key.
+
+    Words alone are compared, within a domain. Rows that agree in the least hashes of a band of words, or in
+    all words, are held against the one of them with the smallest key, and go if the
+    sets' likeness is ``NEAR_COPY`` or more: a few links per row, never all pairs.
+    """
+    words = F.slice("features", len(MARKS) + 3, F.size("features"))  # after what every document has, the marks and "once"
+    sets = settle(seen.select("key", "domain", F.transform(words, lambda w: F.xxhash64(w)).alias("words")), "words")
+    place = F.pmod(F.shiftright("h", 16), F.lit(BAND_ROWS))
+    least = [F.min(F.when(place == i, F.col("h"))).alias(f"m{i}") for i in range(BAND_ROWS)]
+    banded = (
+        sets.select("key", "domain", F.explode("words").alias("h"))
+        .groupBy("key", "domain", F.pmod("h", F.lit(BANDS)).alias("band"))
+        .agg(*least)
+        .select("key", "domain", "band", F.xxhash64(*[f"m{i}" for i in range(BAND_ROWS)]).alias("sign"))
+    )
+    whole = sets.where(F.size("words") > 0).select("key", "domain", F.lit(-1).cast("long").alias("band"), F.xxhash64(F.array_sort("words")).alias("sign"))
+    signs = settle(banded.union(whole), "signs")
+    firsts = signs.groupBy("domain", "band", "sign").agg(F.min("key").alias("first"))
+    links = signs.join(firsts, ["domain", "band", "sign"]).where("key != first").select("domain", "key", "first").distinct()
+    other = sets.select("domain", F.col("key").alias("first"), F.col("words").alias("others"))
+    both = F.size(F.array_intersect("words", "others"))
+    like = both / (F.size("words") + F.size("others") - both)
+    gone = links.join(sets, ["domain", "key"]).join(other, ["domain", "first"]).where(like >= NEAR_COPY).select("key", "domain").distinct()
+    return seen.join(gone, ["key", "domain"], "left_anti")
+
+
 @dataclass
 class Classifier:
     domains: list[str]
@@ -137,15 +168,14 @@ def train(
     fold = F.pmod(F.xxhash64("label_id", F.lit("mixing fold")), F.lit(4)) == 0
     wanted = (
         docs.join(F.broadcast(chosen), docs[id_col] == chosen["label_id"])  # about TRAIN_DOCS rows of each domain
-        .select(F.lit(None).cast("long").alias("doc_id"), docs[text].alias("text"), "domain", fold.alias("held"))
-        .dropDuplicates(["text", "domain"])  # copies, and below near copies, would make chance words telling
+        .groupBy(docs[text].alias("text"), "domain")  # copies, and below near copies, would make chance words telling
+        .agg(F.min("label_id").alias("label_id"))
+        .select(F.lit(None).cast("long").alias("doc_id"), "text", "domain", fold.alias("held"))
     )
     wanted = settle(wanted, "labelled")
-    own = wanted.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "domain", "held")
-    # near copies agree in the least hashes of their words, most likely
-    least = F.slice(F.array_sort(F.transform("features", lambda f: F.xxhash64(f))), 1, 2)
-    seen = with_features(wanted).dropDuplicates(["key"]).join(own, "key").withColumn("least", least)
-    seen = settle(seen.dropDuplicates(["least", "domain"]).drop("least"), "features")
+    own = wanted.groupBy(row_key(F.col("doc_id"), F.col("text")).alias("key"), "domain").agg(F.min("held").alias("held"))
+    seen = settle(with_features(wanted).dropDuplicates(["key"]).join(own, "key"), "features")
+    seen = settle(without_near_copies(seen), "unlike")
     fit = seen.where("NOT held")
     sizes = {r["domain"]: r["count"] for r in fit.groupBy("domain").count().collect()}
     size = [sizes.get(d, 0) for d in domains]

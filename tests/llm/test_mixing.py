@@ -139,3 +139,20 @@ def test_drawn_tokens_meet_targets(spark):
     same = spark.createDataFrame([(None if i % 2 else 7, f"good {i} " + t) for i, t in enumerate(texts[:1000])], docs.schema)
     found = mix(docs.union(same), labels, targets).where("doc_id IS NULL OR doc_id = 7").groupBy("doc_id").agg(F.countDistinct("copies").alias("n")).collect()
     assert len(found) == 2 and all(r["n"] > 1 for r in found)
+
+
+def test_training_keeps_unlike_rows(spark):
+    """Only rows whose words are nearly the same go, and the smallest key of them stays."""
+    rng = random.Random(5)
+    words = [f"word{i}" for i in range(3000)]
+    usual = [f"usual{i}" for i in range(40)]
+    unlike = [rng.sample(words, 60) + usual for _ in range(300)]
+    page = rng.sample(words, 200)
+    near = [page[:i] + [f"new{i}"] + page[i + 1 :] for i in range(60)]
+    again = [page[::-1] + page[:i] for i in range(1, 20)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(unlike + near + again)]
+    made = mixing.with_features(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).withColumn("domain", F.lit("clean"))
+    kept = {r["doc_id"]: bytes(r["key"]) for r in mixing.without_near_copies(made).collect()}
+    assert set(range(300)) <= set(kept)
+    left = [k for i, k in kept.items() if i >= 300]
+    assert len(left) <= 3 and min(bytes(r["key"]) for r in made.where("doc_id >= 300").collect()) in left
