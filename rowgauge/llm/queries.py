@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from rowgauge.session import scratch_path
 
 from . import pii
+from .bytepairs import encode_texts
 from .chat import format_chat, read_turns, text_part, under_loss
+from .codes import compress, hex_code
 from .langid import held_out, identify, train
 from .linededup import drop_common_lines
 from .mixing import mix
@@ -17,6 +19,7 @@ from .pieces import encode_pieces
 from .sharding import shard_documents
 from .simjoin import similar_documents
 from .storage import settle
+from .trie import conversation_trie
 from .winnow import beside_next
 
 SHARDS = 24
@@ -151,6 +154,42 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, F.pmod(F.col("vec_id"), F.lit(20)) == 0, k=20)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared and every own prefix of all conversations, rebuilt with shared starts."""
+    return conversation_trie(table(spark, sf_dir, "conversations"), share=True)
+
+
+def byte_ranks() -> tuple[bytes, str]:
+    """The vocabulary file, read once on the driver, and the pattern that splits texts."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        return file.read(), public_tokenizers.PATTERN
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to byte-level tokens and decoded."""
+    found = encode_texts(table(spark, sf_dir, "documents"), *byte_ranks(), decoded=True)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every vector, and what it loses."""
+    coded, books = compress(table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        F.col("id").alias("vec_id"),
+        hex_code(F.col("codes")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books and books.sha256()).cast("string").alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_chat_parts": op2_chat_parts,
@@ -162,4 +201,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_forest": op10_forest,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_vector_codes": op13_vector_codes,
 }
