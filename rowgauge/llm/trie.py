@@ -1,11 +1,11 @@
 """The trie of conversation prefixes, through ROLLUP over positional turn-id columns.
 
-A turn's id is a digest of role and text. The turns of a conversation fall into
-blocks of ``BLOCK`` columns; a block is keyed by the node at which the block
+A turn's id is a digest of its place, role and text, of 128 bits. The turns of a conversation fall
+into blocks of ``BLOCK`` columns; a block is keyed by the node at which the block
 before it ends, and one Spark SQL ROLLUP over the columns aggregates all prefixes
 of all blocks together, ``grouping_id`` telling how many turns a row stands for.
-The key of a block's end is the exclusive or of the digests of the blocks so far: any
-order of folding gives the same key, so long conversations need no rounds.
+A node's key is the exclusive or of the ids on its way: any order of folding
+gives the same key, so long conversations need no rounds.
 
 A node is told by its depth and its smallest member. What a subtree sums is
 summed over members instead: every node counts for its smallest member, and what
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from operator import add
 
 import numpy as np
@@ -100,10 +101,10 @@ def as_they_are(ordered: DataFrame) -> tuple[DataFrame, DataFrame]:
     return turns, ordered.groupBy("conv_id").agg(F.sum("n").alias("length"))
 
 
-def _digests(level: Column, upto: Column | None = None) -> list[Column]:
-    """Two digests of the first ``level`` turns of a block; columns from ``upto`` on are not read."""
-    read = [F.col(t) if upto is None else F.when(upto > i, F.col(t)) for i, t in enumerate(TURNS)]
-    return [F.xxhash64(F.lit(seed), F.col("block"), level.cast("int"), *read) for seed in (1, 2)]
+def _fold(name: str) -> Column:
+    """The exclusive or of a part of the turn ids of a block."""
+    values = [F.coalesce(F.col(t)[name], F.lit(0)) for t in TURNS]
+    return reduce(Column.bitwiseXOR, values)
 
 
 def turn_blocks(turns: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -116,9 +117,11 @@ def turn_blocks(turns: DataFrame, lengths: DataFrame) -> DataFrame:
     first = F.col("start") + F.col("nth") * RUN
     till = F.least(F.col("start") + last, first + RUN - 1)
     each = runs.select("conv_id", "ida", "idb", "size", F.explode(F.sequence(first, till)).alias("at"))
-    none = lengths.where("length = 0").select("conv_id", *[F.lit(None).cast("long").alias(c) for c in ("ida", "idb", "size")], F.lit(0).cast("long").alias("at"))
+    placed = [F.xxhash64(F.lit(seed), "at", "ida", "idb").alias(name) for seed, name in ((1, "a"), (2, "b"))]
+    parts = ("a", "b", "size")
+    none = lengths.where("length = 0").select("conv_id", F.lit(0).cast("long").alias("at"), *[F.lit(None).cast("long").alias(c) for c in parts])
+    each = each.select("conv_id", "at", *placed, "size")
     slot = F.pmod("at", F.lit(BLOCK))
-    parts = ("ida", "idb", "size")
     blocks = (
         each.unionByName(none)
         .groupBy("conv_id", _whole(F.col("at"), BLOCK).alias("block"))
@@ -127,17 +130,16 @@ def turn_blocks(turns: DataFrame, lengths: DataFrame) -> DataFrame:
             "conv_id",
             "block",
             _whole(F.col("block"), RUN).alias("run"),
-            *[F.when(F.col(f"ida{i}").isNotNull(), F.struct(*[F.col(f"{c}{i}").alias(c) for c in parts])).alias(TURNS[i]) for i in range(BLOCK)],
+            *[F.when(F.col(f"a{i}").isNotNull(), F.struct(*[F.col(f"{c}{i}").alias(c) for c in parts])).alias(TURNS[i]) for i in range(BLOCK)],
         )
     )
-    a, b = _digests(F.lit(BLOCK))
-    blocks = settle(blocks.withColumn("a", a).withColumn("b", b), "blocks")
+    blocks = settle(blocks.withColumn("a", _fold("a")).withColumn("b", _fold("b")), "blocks")
     keyed = before(blocks, "conv_id", "run", ["block"], ["a", "b"], F.bit_xor, lambda x, y: x.bitwiseXOR(y))
     return settle(beside(keyed.drop("a", "b"), "conv_id", "run", lengths), "keyed-blocks")
 
 
 def all_prefixes(blocks: DataFrame, **sums: str) -> DataFrame:
-    """``a, b`` (the node's key), ``up_a, up_b`` (its parent's), ``depth, size`` and the aggregates in ``sums``: a row per node."""
+    """``a, b`` (the node's key), ``up_a, up_b`` (its parent's, null for the root), ``depth, size`` and the aggregates in ``sums``: a row per node."""
     listed = ", ".join(TURNS)
     wanted = ", ".join(f"{sql} AS {name}" for name, sql in sums.items())
     level = f"{BLOCK} - bit_count(grouping_id() & {(1 << BLOCK) - 1})"
@@ -148,20 +150,13 @@ def all_prefixes(blocks: DataFrame, **sums: str) -> DataFrame:
         blocks=blocks,
     )
     at = F.col("level")
-    own, up = _digests(at), _digests(at - 1, at - 1)
-    top = at == 0
-
-    def key(digest: Column, so_far: str) -> Column:
-        return F.col(so_far).bitwiseXOR(digest)
-
+    last_turn = F.coalesce(*[F.col(t) for t in reversed(TURNS)])
+    own = {name: F.col(f"{name}_before").bitwiseXOR(_fold(name)) for name in ("a", "b")}
     return rolled.select(
-        *[F.when(top, F.lit(0)).otherwise(key(d, s)).alias(n) for d, s, n in zip(own, ("a_before", "b_before"), ("a", "b"))],
-        *[
-            F.when(top, F.lit(None)).when(at == 1, F.col(s)).otherwise(key(d, s)).alias(n)
-            for d, s, n in zip(up, ("a_before", "b_before"), ("up_a", "up_b"))
-        ],
+        *[key.alias(name) for name, key in own.items()],
+        *[F.when(at > 0, key.bitwiseXOR(last_turn[name])).alias(f"up_{name}") for name, key in own.items()],
         (F.col("block") * BLOCK + at).cast("long").alias("depth"),
-        F.coalesce(F.coalesce(*[F.col(t) for t in reversed(TURNS)])["size"], F.lit(0)).alias("size"),
+        F.coalesce(last_turn["size"], F.lit(0)).alias("size"),
         *sums,
     )
 
@@ -222,22 +217,14 @@ def prefix_trie(turns: DataFrame, lengths: DataFrame) -> DataFrame:
 
     saving = (F.col("n_convs") - 1) * F.col("size")
     own = nodes.groupBy("conv_id").agg(F.sum(saving).alias("saves"), F.sum(F.when(F.col("n_children") == 0, 1).otherwise(0)).alias("ends_alone"))
-    own = settle(own, "own-nodes")
     carried = beside(blocks, "conv_id", "run", own)
     sums = all_prefixes(carried, saved="sum(coalesce(saves, 0))", n_leaves="sum(coalesce(ends_alone, 0))").select("a", "b", "saved", "n_leaves")
 
     shared = nodes.where("n_convs > 1").select("a", "b", "conv_id", "depth", _whole(F.col("depth"), RUN * BLOCK).alias("run"), saving.alias("saving"))
     spent = before(shared, "conv_id", "run", ["depth"], ["saving"], F.sum, add).select("a", "b", "saving_before")
 
-    at = F.col("length") - F.col("block") * BLOCK
-    ending = blocks.where((F.col("block") == _whole(F.greatest(F.col("length") - 1, F.lit(0)), BLOCK)))
-    a, b = _digests(at)
-    empty = F.col("length") == 0
-    ends = ending.select(
-        "conv_id",
-        F.when(empty, F.lit(0)).otherwise(F.col("a_before").bitwiseXOR(a)).alias("a"),
-        F.when(empty, F.lit(0)).otherwise(F.col("b_before").bitwiseXOR(b)).alias("b"),
-    )
+    ending = blocks.where(F.col("block") == _whole(F.greatest(F.col("length") - 1, F.lit(0)), BLOCK))
+    ends = ending.select("conv_id", *[F.col(f"{name}_before").bitwiseXOR(_fold(name)).alias(name) for name in ("a", "b")])
     whole = (
         nodes.join(sums, ["a", "b"])
         .join(spent, ["a", "b"], "left")

@@ -26,23 +26,27 @@ def plain(rows, share):
             h = zlib.crc32(str(c).encode()) % 9
             built[c] = turns.get(c - c % 5, [])[:h] + turns[c][h:]
         turns = built
-    members, kids = defaultdict(list), defaultdict(set)
+    nodes = [{"up": None, "depth": 0, "size": 0, "members": list(turns), "kids": {}, "ends": []}]
     for c in turns:
-        for d in range(len(turns[c]) + 1):
-            members[tuple(turns[c][:d])].append(c)
-    for n in members:
-        if n:
-            kids[n[:-1]].add(n)
-    leaves, saved = defaultdict(int), defaultdict(int)
-    for n in members:
-        for d in range(len(n) + 1):
-            leaves[n[:d]] += not kids[n]
-            saved[n[:d]] += (len(members[n]) - 1) * len(n[-1][1].encode()) if n else 0
-    for n, m in members.items():
-        ends = ",".join(map(str, sorted(c for c in m if len(turns[c]) == len(n))))
-        yield (
-            min(m), len(n), min(members[n[:-1]]) if n else None, len(m), len(kids[n]), leaves[n], saved[n], hashlib.sha256(ends.encode()).hexdigest()
-        )
+        at = 0
+        for role, text in turns[c]:
+            kids = nodes[at]["kids"]
+            if (role, text) not in kids:
+                kids[role, text] = len(nodes)
+                nodes.append({"up": at, "depth": nodes[at]["depth"] + 1, "size": len(text.encode()), "members": [], "kids": {}, "ends": []})
+            at = kids[role, text]
+            nodes[at]["members"].append(c)
+        nodes[at]["ends"].append(c)
+    for n in reversed(nodes):  # children come after their parents
+        n["leaves"] = n.get("leaves", 0) + (not n["kids"])
+        n["saved"] = n.get("saved", 0) + (len(n["members"]) - 1) * n["size"]
+        if n["up"] is not None:
+            for name in ("leaves", "saved"):
+                nodes[n["up"]][name] = nodes[n["up"]].get(name, 0) + n[name]
+    for n in nodes if turns else ():
+        ends = hashlib.sha256(",".join(map(str, sorted(n["ends"]))).encode()).hexdigest()
+        up = None if n["up"] is None else min(nodes[n["up"]]["members"])
+        yield (min(n["members"]), n["depth"], up, len(n["members"]), len(n["kids"]), n["leaves"], n["saved"], ends)
 
 
 SCHEMA = "conv_id long, turn int, role string, text string"
