@@ -16,6 +16,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keys import row_key
 from .storage import settle
 
 #: Stripped at both ends of a line: the blank and U+0009 to U+000D.
@@ -60,7 +61,7 @@ def drop_common_lines(
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.coalesce(docs[text], F.lit("")).alias("body"),
-        _hash(F.concat_ws(":", docs[id_col].cast("string"), docs[text])).alias("row_key"),
+        row_key(docs[id_col], docs[text]).alias("row_key"),
     )
     # as a table of its own it meets the lines in a join that Spark may broadcast by its size, and whose
     # hot partitions, those of a line that a third of all rows hold, it can split

@@ -68,3 +68,16 @@ def test_repeated_rows_are_one_document(spark):
     # nor do rows without an id make a line common
     none = spark.createDataFrame([(None, f"no id\n{i}") for i in range(12)], docs.schema)
     assert drop_common_lines(docs.union(none), min_docs=10).where("row.doc_id IS NULL").agg(F.sum("n_dropped")).first()[0] == 0
+
+
+def test_a_null_id_beside_a_clashing_text(spark):
+    """The row without an id, whose text is another row's id and text, keeps the line that it alone has."""
+    rows = [(i, f"foo\nbar{i}") for i in range(1, 12)] + [(None, "1:foo\nbar1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r for r in drop_common_lines(docs, min_docs=10).select("row.doc_id", "kept", "n_dropped").collect()}
+    assert found[None]["kept"] == "1:foo\nbar1" and found[None]["n_dropped"] == 0
+    assert found[1]["kept"] == "bar1"
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    want = {r[0]: (r[1], r[2]) for r in con.execute(f"SELECT doc_id, n_lines, n_dropped FROM ({OP8})").fetchall()}
+    assert want[None] == (2, 0) and want[1] == (2, 1)
