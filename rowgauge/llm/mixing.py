@@ -3,7 +3,8 @@
 A classifier fitted to a table of labelled documents gives every document a
 posterior over domains. Rates, one per document and none negative, start at 1
 and follow the projected gradient of the squared distance between the tokens
-expected in each domain and their targets. A step needs the domains' expected
+expected in each domain and their targets, with momentum, until they rest; what
+a rate changes weighs a little too (``KEEP``). A step needs the domains' expected
 totals alone, one aggregation of a narrow table; a rate is a function of the
 posterior and of the steps so far. All of it is built-in expressions.
 
@@ -21,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keys import row_key
 from .storage import settle
 
 TRAIN_DOCS = 4_000
@@ -36,9 +38,16 @@ NEAR_COPY = 0.8
 BANDS, BAND_ROWS = 8, 4
 SOFTER = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0)
 ROUNDS = 8
+#: Steps of the plain form, which weighs no change of rates.
 STEPS = 60
 CLOSE = 1e-5
 WRITE_EVERY = 10
+#: What a change of rates weighs beside the distance to the targets. Targets out of reach, as of a domain that every
+#: posterior grants a little, would else be neared by dropping all but the purest documents and repeating these.
+KEEP = 0.02
+#: The steps end once rates, in the mean square over tokens, move by no more than this.
+TOLERANCE = 1e-4
+MOST_STEPS = 2_000
 #: A rate this near to a whole number is that number but for rounding.
 NEAR_WHOLE = 1e-6
 
@@ -47,11 +56,6 @@ ENDS = ".,"
 EVERY = "\n"  # the feature that every document has; no word can hold it
 
 
-def row_key(id_col: Column, text: Column) -> Column:
-    """Rows equal in id and text are one document, met as often as there are rows."""
-    return F.unhex(F.md5(F.concat_ws(":", id_col.cast("string"), text)))
-
-
 def _words(text: str) -> Column:
     """Lower-case runs between blanks and line breaks."""
     return F.array_remove(F.split(F.replace(F.lower(F.col(text)), F.lit("\n"), F.lit(" ")), " "), "")
@@ -249,56 +253,88 @@ def _largest_eigenvalue(m: list[list[float]]) -> float:
     return size
 
 
-def rate(steps: list[list[float]], start: Column) -> Column:
-    """The rate that the steps lead to from ``start``, for posteriors ``p0, p1, ...``."""
+@dataclass(frozen=True)
+class Step:
+    """One step of all rates: along the posteriors by ``move``, back towards 1 by the part ``pull``, then on by ``drive`` times the way just made."""
+
+    move: list[float]
+    pull: float = 0.0
+    drive: float = 0.0
+
+
+def after_steps(steps: list[Step], rate: Column, ahead: Column) -> Column:
+    """``rate`` and ``ahead`` (where the next step sets out from) after the steps, a struct, for posteriors ``p0, p1, ...``."""
+    start = F.struct(rate.cast("double").alias("rate"), ahead.cast("double").alias("ahead"))
     if not steps:
         return start
-    moves = F.lit(steps).cast("array<array<double>>")
+    n = len(steps[0].move)
+    moves = F.lit([[*s.move, s.pull, s.drive] for s in steps]).cast("array<array<double>>")
 
-    def step(r: Column, move: Column) -> Column:
-        pull = sum((F.col(f"p{d}") * F.get(move, F.lit(d)) for d in range(len(steps[0]))), F.lit(0.0))
-        return F.greatest(r - pull, F.lit(0.0))
+    def step(at: Column, s: Column) -> Column:
+        along = sum((F.col(f"p{d}") * F.get(s, F.lit(d)) for d in range(n)), F.lit(0.0))
+        new = F.greatest(at["ahead"] - F.get(s, F.lit(n)) * (at["ahead"] - 1) - along, F.lit(0.0))
+        return F.struct(new.alias("rate"), (new + F.get(s, F.lit(n + 1)) * (new - at["rate"])).alias("ahead"))
 
-    return F.aggregate(moves, start.cast("double"), step)
+    return F.aggregate(moves, start, step)
 
 
-def fit_rates(scored: DataFrame, targets: list[float], budget: float | None = None) -> tuple[DataFrame, list[list[float]], list[float]]:
+def fit_rates(
+    scored: DataFrame, targets: list[float], budget: float | None = None, keep: float = 0.0
+) -> tuple[DataFrame, list[Step], list[float]]:
     """``scored`` with ``rate``, the steps of the projected gradient, and the expected totals they lead to.
 
     ``targets`` are the domains' shares of the tokens wanted. Without a budget of
     tokens it is the largest for which no domain must be repeated as a whole. The
     distance is weighed by each domain's present total, and a document's step by its
-    tokens. Rates are written every ``WRITE_EVERY`` steps, so that a step costs the same early and late.
+    tokens. With ``keep`` half of it times the square of a rate's change from 1 is added per token: one set of rates is
+    then the best, accelerated steps near it to ``TOLERANCE``, and it raises if ``MOST_STEPS`` don't suffice. Without
+    it ``STEPS`` plain steps are made. Rates are written every ``WRITE_EVERY`` steps, so that a step costs the same early and late.
     """
     n = len(targets)
     load = F.col("tokens") * F.col("n_rows")
     sums = [F.sum(load * F.col(f"p{d}")) for d in range(n)]
     pairs = [F.sum(load * F.col(f"p{a}") * F.col(f"p{b}")) for a in range(n) for b in range(n)]
-    got = [x or 0.0 for x in scored.agg(*sums, *pairs).first()]
-    now, gram = got[:n], got[n:]
+    got = [x or 0.0 for x in scored.agg(*sums, *pairs, F.sum(load)).first()]
+    now, gram, tokens = got[:n], got[n:-1], got[-1]
     scale = [max(x, 1e-12) for x in now]
     if budget is None:
         budget = min((s / t for s, t in zip(now, targets) if t > 0), default=0.0)
     goal = [t * budget for t in targets]
     normal = [[gram[a * n + b] / math.sqrt(scale[a] * scale[b]) for b in range(n)] for a in range(n)]
-    pace = 1 / max(_largest_eigenvalue(normal), 1e-9)
-    base, steps, recent = scored.withColumn("rate", F.lit(1.0)), [], []
-    for _ in range(STEPS):
-        off = [(s - g) / c for s, g, c in zip(now, goal, scale)]
-        if max(map(abs, off)) < CLOSE or not sum(now):
+    steep = max(_largest_eigenvalue(normal), 1e-9) + keep
+    drive = (math.sqrt(steep) - math.sqrt(keep)) / (math.sqrt(steep) + math.sqrt(keep)) if keep else 0.0
+    base, steps, recent = scored.withColumns({"rate": F.lit(1.0), "_ahead": F.lit(1.0)}), [], []
+    ahead = now  # the totals of where the next step sets out from
+    for _ in range(MOST_STEPS if keep else STEPS):
+        off = [(s - g) / c for s, g, c in zip(ahead, goal, scale)]
+        if not tokens or (not keep and max(map(abs, off)) < CLOSE):
             break
-        steps.append([pace * x for x in off])
-        recent.append(steps[-1])
-        moved = base.withColumn("rate", rate(recent, F.col("rate")))
+        step = Step([x / steep for x in off], keep / steep, drive)
+        steps.append(step)
+        recent.append(step)
+        # where the last step set out from, and what it led to
+        begun = base.withColumn("_at", after_steps(recent[:-1], F.col("rate"), F.col("_ahead")))
+        moved = begun.withColumn("_new", after_steps(recent[-1:], F.col("_at.rate"), F.col("_at.ahead")))
+        way = F.col("_new.rate") - F.col("_at.ahead")
+        found = moved.agg(*[F.sum(load * F.col("_new.rate") * F.col(f"p{d}")) for d in range(n)], F.sum(load * way * way)).first()
+        after = [x or 0.0 for x in found[:n]]
         if len(recent) == WRITE_EVERY:
-            base, recent = settle(moved, "rates"), []
-            moved = base
-        after = [x or 0.0 for x in moved.agg(*[F.sum(load * F.col("rate") * F.col(f"p{d}")) for d in range(n)]).first()]
-        still = max(abs(a - b) / c for a, b, c in zip(after, now, scale)) < CLOSE / 10
+            kept = [c for c in base.columns if c not in ("rate", "_ahead")]
+            base = settle(moved.select(*kept, F.col("_new.rate").alias("rate"), F.col("_new.ahead").alias("_ahead")), "rates")
+            recent = []
+        if keep:
+            still = math.sqrt((found[n] or 0.0) / tokens) <= TOLERANCE
+        else:
+            still = max(abs(a - b) / c for a, b, c in zip(after, now, scale)) < CLOSE / 10
+        ahead = [a + drive * (a - b) for a, b in zip(after, now)]
         now = after
         if still:
             break
-    return base.withColumn("rate", rate(recent, F.col("rate"))), steps, now
+    else:
+        if keep:
+            raise RuntimeError(f"rates still move by more than {TOLERANCE} after {MOST_STEPS} steps")
+    rated = base.withColumn("rate", after_steps(recent, F.col("rate"), F.col("_ahead"))["rate"])
+    return rated.drop("_ahead"), steps, now
 
 
 def copies(rate: Column, key: Column) -> Column:
@@ -326,11 +362,27 @@ def mix(
     domains = sorted(targets)
     classifier = train(docs, labels, domains, id_col, text)
     scored = settle(posteriors(docs, classifier, id_col, text), "posteriors")
-    rated, _, _ = fit_rates(scored, [targets[d] for d in domains], budget)
+    rated, _, _ = fit_rates(scored, [targets[d] for d in domains], budget, KEEP)
     names = [F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(domains)]
     return rated.select("key", "doc_id", "tokens", "n_rows", *names, "rate", copies(F.col("rate"), F.col("key")).alias("copies"))
 
 
+def token_shares(found: DataFrame, targets: dict[str, float]) -> DataFrame:
+    """``domain, target, present, expected, drawn`` of the result of ``mix``: shares of the tokens that are there, that
+    the rates lead to and that the copies hold, all by posteriors."""
+    load = F.col("tokens") * F.col("n_rows")
+    takes = {"present": F.lit(1.0), "expected": F.col("rate"), "drawn": F.col("copies").cast("double")}
+    domains = sorted(targets)
+    sums = found.agg(*[F.sum(load * take * F.col(f"p_{d}")).alias(f"{name}{i}") for name, take in takes.items() for i, d in enumerate(domains)])
+
+    def share(name: str, i: int) -> Column:
+        total = sum((F.col(f"{name}{j}") for j in range(1, len(domains))), F.col(f"{name}0"))
+        return (F.col(f"{name}{i}") / F.nullif(total, F.lit(0.0))).alias(name)
+
+    rows = [F.struct(F.lit(d).alias("domain"), F.lit(float(targets[d])).alias("target"), *[share(name, i) for name in takes]) for i, d in enumerate(domains)]
+    return sums.select(F.inline(F.array(*rows)))
+
+
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float], budget: float | None = None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, each as often as its copies say."""
     chosen = mix(docs, labels, targets, budget, id_col, text).where("copies > 0").select("key", "copies")

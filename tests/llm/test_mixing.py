@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from rowgauge.llm import mixing
-from rowgauge.llm.mixing import copies, fit_rates, mix, mixed
+from rowgauge.llm.keys import row_key
+from rowgauge.llm.mixing import KEEP, copies, fit_rates, mix, mixed, token_shares
 
 TARGETS = {"clean": 0.9, "rude": 0.0, "torn": 0.1}
 
@@ -74,6 +75,65 @@ def test_rates_are_projected_gradient(spark):
     assert far(r) < 0.05 * far(np.ones(200))
 
 
+def best_rates(p, load, goal, keep):
+    """The rates by plain steps until nothing moves."""
+    scale = load @ p
+    steep = np.linalg.eigvalsh(p.T @ (load[:, None] * p) / np.sqrt(np.outer(scale, scale))).max() + keep
+    r = np.ones(len(load))
+    for _ in range(200_000):
+        new = np.maximum(0, r - (p @ (((load * r) @ p - goal) / scale) + keep * (r - 1)) / steep)
+        if np.abs(new - r).max() < 1e-12:
+            break
+        r = new
+    return r
+
+
+@pytest.mark.parametrize("goal", [[0.7, 0.3, 0.0], [0.1, 0.1, 0.8], [1.0, 0.0, 0.0]])
+def test_rates_come_to_rest_at_the_best(spark, goal):
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 200)
+    load = rng.integers(0, 500, 200)
+    df = spark.createDataFrame([(int(t), 1, *map(float, x)) for t, x in zip(load, p)], "tokens long, n_rows long, p0 double, p1 double, p2 double")
+    rated, steps, totals = fit_rates(df.coalesce(1), goal, 30_000.0, KEEP)
+    got = np.array([x["rate"] for x in rated.collect()])
+    want = best_rates(p, load, np.array(goal) * 30_000, KEEP)
+    assert len(steps) < 200 and rated.columns == [*df.columns, "rate"]
+    assert np.sqrt((load * (got - want) ** 2).sum() / load.sum()) < 0.005
+    assert np.allclose((load * got) @ p, totals, rtol=1e-6)
+
+
+def test_unreachable_rest_raises(spark, monkeypatch):
+    df = spark.createDataFrame([(10, 1, 0.9, 0.1), (10, 1, 0.2, 0.8)], "tokens long, n_rows long, p0 double, p1 double")
+    monkeypatch.setattr(mixing, "MOST_STEPS", 2)
+    with pytest.raises(RuntimeError, match="still move"):
+        fit_rates(df, [1.0, 0.0], 10.0, KEEP)
+
+
+def test_query_against_plain_rates(spark):
+    """The registered query's rates are the best for its own posteriors."""
+    from rowgauge.llm.queries import MIX, QUERIES
+
+    found = QUERIES["op9_mixing"](spark, "/root/testdata/sf0.01")
+    rows = found.collect()
+    p = np.array([[r[f"p_{d}"] for d in sorted(MIX)] for r in rows])
+    load = np.array([r["tokens"] * r["n_rows"] for r in rows], float)
+    share = np.array([MIX[d] for d in sorted(MIX)])
+    goal = share * min(s / t for s, t in zip(load @ p, share) if t > 0)
+    want = best_rates(p, load, goal, KEEP)
+    assert np.sqrt((load * (np.array([r["rate"] for r in rows]) - want) ** 2).sum() / load.sum()) < 0.005
+    told = {r["domain"]: r for r in token_shares(found, MIX).collect()}
+    totals = (load * want) @ p
+    for d, x in zip(sorted(MIX), totals / totals.sum()):
+        assert told[d]["expected"] == pytest.approx(x, abs=0.002) and told[d]["target"] == MIX[d]
+        assert told[d]["drawn"] == pytest.approx(x, abs=0.03)
+
+
+def test_keys_tell_nulls(spark):
+    rows = [(None, "1:x"), (1, "x"), (1, None), (1, ""), (None, None), (None, ""), (11, "x"), (1, "1:x")]
+    keys = spark.createDataFrame(rows, "i long, t string").select(row_key(F.col("i"), F.col("t")).alias("k")).distinct()
+    assert keys.count() == len(rows)
+
+
 def test_copies(spark):
     df = spark.range(20_000).select("id", F.lit(2.4).alias("r"))
     got = [r[0] for r in df.select(copies(F.col("r"), F.col("id"))).collect()]
