@@ -262,20 +262,16 @@ class Step:
     drive: float = 0.0
 
 
-def after_steps(steps: list[Step], rate: Column, ahead: Column) -> Column:
-    """``rate`` and ``ahead`` (where the next step sets out from) after the steps, a struct, for posteriors ``p0, p1, ...``."""
-    start = F.struct(rate.cast("double").alias("rate"), ahead.cast("double").alias("ahead"))
-    if not steps:
-        return start
-    n = len(steps[0].move)
-    moves = F.lit([[*s.move, s.pull, s.drive] for s in steps]).cast("array<array<double>>")
+def _moved(rows: DataFrame, step: Step) -> DataFrame:
+    """``rows`` with ``_new``, the rate after a step from ``_ahead``, for posteriors ``p0, p1, ...``."""
+    along = sum((F.col(f"p{d}") * x for d, x in enumerate(step.move)), F.lit(0.0))
+    return rows.withColumn("_new", F.greatest(F.col("_ahead") * (1 - step.pull) + step.pull - along, F.lit(0.0)))
 
-    def step(at: Column, s: Column) -> Column:
-        along = sum((F.col(f"p{d}") * F.get(s, F.lit(d)) for d in range(n)), F.lit(0.0))
-        new = F.greatest(at["ahead"] - F.get(s, F.lit(n)) * (at["ahead"] - 1) - along, F.lit(0.0))
-        return F.struct(new.alias("rate"), (new + F.get(s, F.lit(n + 1)) * (new - at["rate"])).alias("ahead"))
 
-    return F.aggregate(moves, start, step)
+def _arrived(moved: DataFrame, step: Step) -> DataFrame:
+    """``rate`` and ``_ahead``, where the next step sets out from, after a step."""
+    on = F.col("_new") + (F.col("_new") - F.col("rate")) * step.drive
+    return moved.withColumns({"rate": F.col("_new"), "_ahead": on}).drop("_new")
 
 
 def fit_rates(
@@ -303,25 +299,22 @@ def fit_rates(
     normal = [[gram[a * n + b] / math.sqrt(scale[a] * scale[b]) for b in range(n)] for a in range(n)]
     steep = max(_largest_eigenvalue(normal), 1e-9) + keep
     drive = (math.sqrt(steep) - math.sqrt(keep)) / (math.sqrt(steep) + math.sqrt(keep)) if keep else 0.0
-    base, steps, recent = scored.withColumns({"rate": F.lit(1.0), "_ahead": F.lit(1.0)}), [], []
+    at, steps = scored.withColumns({"rate": F.lit(1.0), "_ahead": F.lit(1.0)}), []
     ahead = now  # the totals of where the next step sets out from
-    for _ in range(MOST_STEPS if keep else STEPS):
+    for nth in range(1, (MOST_STEPS if keep else STEPS) + 1):
         off = [(s - g) / c for s, g, c in zip(ahead, goal, scale)]
         if not tokens or (not keep and max(map(abs, off)) < CLOSE):
             break
         step = Step([x / steep for x in off], keep / steep, drive)
         steps.append(step)
-        recent.append(step)
-        # where the last step set out from, and what it led to
-        begun = base.withColumn("_at", after_steps(recent[:-1], F.col("rate"), F.col("_ahead")))
-        moved = begun.withColumn("_new", after_steps(recent[-1:], F.col("_at.rate"), F.col("_at.ahead")))
-        way = F.col("_new.rate") - F.col("_at.ahead")
-        found = moved.agg(*[F.sum(load * F.col("_new.rate") * F.col(f"p{d}")) for d in range(n)], F.sum(load * way * way)).first()
+        # a projection per step since the last written rates, all in one pass
+        moved = _moved(at, step)
+        way = F.col("_new") - F.col("_ahead")
+        found = moved.agg(*[F.sum(load * F.col("_new") * F.col(f"p{d}")) for d in range(n)], F.sum(load * way * way)).first()
         after = [x or 0.0 for x in found[:n]]
-        if len(recent) == WRITE_EVERY:
-            kept = [c for c in base.columns if c not in ("rate", "_ahead")]
-            base = settle(moved.select(*kept, F.col("_new.rate").alias("rate"), F.col("_new.ahead").alias("_ahead")), "rates")
-            recent = []
+        at = _arrived(moved, step)
+        if nth % WRITE_EVERY == 0:
+            at = settle(at, "rates")
         if keep:
             still = math.sqrt((found[n] or 0.0) / tokens) <= TOLERANCE
         else:
@@ -333,8 +326,7 @@ def fit_rates(
     else:
         if keep:
             raise RuntimeError(f"rates still move by more than {TOLERANCE} after {MOST_STEPS} steps")
-    rated = base.withColumn("rate", after_steps(recent, F.col("rate"), F.col("_ahead"))["rate"])
-    return rated.drop("_ahead"), steps, now
+    return at.drop("_ahead"), steps, now
 
 
 def copies(rate: Column, key: Column) -> Column:
