@@ -157,3 +157,28 @@ def order_rules() -> RuleSet:
             "dashboard": {"suggested_slices": [["channel"], ["country", "region"], ["order_status"], ["shipping_method"]]},
         }
     )
+
+
+#: Columns and rules of the wide table.
+WIDE = 300
+
+
+def wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a table of 300 number columns; some numbers are missing."""
+    seed = F.col("o_orderkey") * 31 + F.col("o_custkey") * 7
+    cells = [F.when(F.pmod(seed, F.lit(211 + i)) != 0, F.pmod(seed * (i + 3), F.lit(90 + i))).alias(f"c{i}") for i in range(WIDE)]
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), *cells)
+
+
+def wide_rules() -> RuleSet:
+    """A rule for every column of the wide table: a range, a set, presence, and a pattern, in turn."""
+    rules = []
+    for i in range(WIDE):
+        kind, dimension, params = (
+            ("range", "validity", {"min": 2, "max": 60 + i}),
+            ("in_set", "validity", {"allowed": list(range(80 + i % 7))}),
+            ("not_null", "completeness", {}),
+            ("regex", "timeliness", {"pattern": r"^\d{1,2}$"}),
+        )[i % 4]
+        rules.append({"id": f"wide_{i}", "dimension": dimension, "type": kind, "column": f"c{i}", "params": params})
+    return compile_rules({"rules": rules})

@@ -208,6 +208,34 @@ RULE_ROWS = " UNION ALL ".join(
 )
 RULE_SAMPLES = sample_ctes([(i, f"r{i}", item) for i, (*_, item) in enumerate(RULE_LIST)], "counted")
 
+WIDE = 300
+WIDE_CELLS = ", ".join(
+    f"CASE WHEN seed % {211 + i} <> 0 THEN (seed * {i + 3}) % {90 + i} END AS c{i}" for i in range(WIDE)
+)
+WIDE_FAILED = [
+    (
+        f"coalesce(c{i} < 2 OR c{i} > {60 + i}, true)",
+        f"coalesce(c{i} >= {80 + i % 7}, true)",
+        f"c{i} IS NULL",
+        f"coalesce(c{i} > 99, true)",
+    )[i % 4]
+    for i in range(WIDE)
+]
+WIDE_DIMENSIONS = ("Validity", "Validity", "Completeness", "Timeliness")
+WIDE_TABLE = f"wide AS (SELECT o_orderkey AS row_id, {WIDE_CELLS} FROM (SELECT *, o_orderkey * 31 + o_custkey * 7 AS seed FROM orders))"
+WIDE_ROWS = ", ".join(
+    f"""{{'check_no': {i}, 'dimension': '{WIDE_DIMENSIONS[i % 4]}', 'rule': 'wide_{i}', 'column': 'c{i}',
+    'failed_count': count(*) FILTER (WHERE {failed}),
+    'items': arg_min(coalesce(c{i}::VARCHAR, 'null'), row_id, 5) FILTER (WHERE {failed})}}"""
+    for i, failed in enumerate(WIDE_FAILED)
+)
+
+
+def wide_pct(dimension: str) -> str:
+    failed = " OR ".join(f for i, f in enumerate(WIDE_FAILED) if WIDE_DIMENSIONS[i % 4] == dimension)
+    return pct(f"count(*) FILTER (WHERE {failed})", "count(*)")
+
+
 SECOND = "TIMESTAMP '2024-03-02 06:30:00'"
 BOTH_RUNS = f"""SELECT {COLUMNS}, {ONCE} AS run FROM ({FEED})
   UNION ALL SELECT {COLUMNS.replace("amount", "replace(amount, '-', '') AS amount")}, {SECOND} AS run FROM ({FEED})"""
@@ -352,6 +380,13 @@ SELECT row_id, CASE WHEN row_id % 6 IN (1, 4) THEN NULL WHEN row_id % 6 = 3 THEN
         SELECT severity, count(*) AS failing_rules, CAST(sum(failed_count) AS BIGINT) AS failed_count
         FROM listed WHERE failed_count > 0 GROUP BY severity""",
     "score_by_slice": f"WITH {RULES} {SLICES}",
+    "rule_set_many": f"""WITH {WIDE_TABLE}, tally AS (SELECT count(*) AS n, [{WIDE_ROWS}] AS listed FROM wide)
+        SELECT r.check_no, r.dimension, r.rule, r."column", 'medium' AS severity, r.failed_count,
+          '[' || coalesce(array_to_string(r.items, ', '), '') || ']' AS sample_values, {share("r.failed_count")} AS failed_pct
+        FROM (SELECT n, unnest(listed) AS r FROM tally)""",
+    "rule_set_many_scores": f"""WITH {WIDE_TABLE}, scored AS (SELECT count(*) AS "rows", {wide_pct("Completeness")} AS completeness_pct,
+          {wide_pct("Validity")} AS validity_pct, 100::DOUBLE AS uniqueness_pct, {wide_pct("Timeliness")} AS timeliness_pct FROM wide)
+        SELECT *, {rounded("(completeness_pct + validity_pct + uniqueness_pct + timeliness_pct) / 4")} AS overall_pct FROM scored""",
     "rule_set_eval": f"""WITH {RULES}, {RULE_SAMPLES}, listed AS ({RULE_ROWS})
         SELECT l.chk AS check_no, dimension, rule, "column", severity, failed_count, coalesce(sample_values, '[]') AS sample_values,
         {share()} AS failed_pct

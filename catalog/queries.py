@@ -28,6 +28,8 @@ from .feeds import (
     raw_feed,
     raw_orders,
     ruled,
+    wide_orders,
+    wide_rules,
     stored_history,
     table,
     yearly,
@@ -378,6 +380,15 @@ def rule_set_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _evaluated(spark, sf_dir, samples=False).scores
 
 
+def rule_set_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hundred declared rules on a table of three hundred columns."""
+    return evaluate(wide_orders(spark, sf_dir), wide_rules(), row_id="row_id").rules
+
+
+def rule_set_many_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate(wide_orders(spark, sf_dir), wide_rules(), row_id="row_id", samples=False).scores
+
+
 # Aggregations
 
 
@@ -639,6 +650,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         score_by_slice,
         rule_set_eval,
         rule_set_scores,
+        rule_set_many,
+        rule_set_many_scores,
         dimension_scores,
         overall_score,
         row_counts,

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal, InvalidOperation
-from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -48,8 +47,16 @@ class Check:
     excuse_nulls: bool = False
 
 
+def balanced(values: Sequence[Column], join: Callable[[Column, Column], Column]) -> Column:
+    """All values joined as a tree of little depth, which planning walks often."""
+    level = list(values)
+    while len(level) > 1:
+        level = [join(*level[i : i + 2]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
+    return level[0]
+
+
 def any_of(flags: Sequence[Column]) -> Column:
-    return reduce(or_, flags) if flags else F.lit(False)
+    return balanced(flags, or_) if flags else F.lit(False)
 
 
 def missing_required(df: DataFrame, required: Sequence[str]) -> Column:

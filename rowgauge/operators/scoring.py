@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.values import json_scalar, named, round_score, round_share, type_of
 from ..model import DIMENSIONS, SCORE_COLUMNS
-from .checks import Check, any_of
+from .checks import Check, any_of, balanced
 from .normalize import GENERATED_ROW_ID
 from .uniqueness import flag_duplicates, is_hot, key_columns, key_counts, key_values, mark_keys
 
@@ -25,9 +25,17 @@ from .uniqueness import flag_duplicates, is_hot, key_columns, key_counts, key_va
 SAMPLES_PER_CHECK = 5
 BLANKS_WITHOUT_COLUMN = 3
 
+# Beyond every row.
+UNBOUNDED = 2**63 - 1
+
 # Rows fall into this many slots to bound where samples can lie.
 REACH_SLOTS = 16
 
+# So many checks share one pattern of flags: at most 2 to this power patterns a chunk, whatever the rows.
+CHUNK = 12
+# The chunk number of the pattern that tells which dimensions fail.
+BY_DIMENSION = -1
+
 
 def attach_flags(
     df: DataFrame,
@@ -77,10 +85,6 @@ def attach_flags(
     return df, plain
 
 
-def failed_name(i: int) -> str:
-    return f"failed_{i}"
-
-
 def any_name(dimension: str) -> str:
     return f"any_{dimension.lower()}"
 
@@ -96,22 +100,22 @@ def first_failures(
     """The first failing values of each check in row order, as JSON items.
 
     Ranking keeps at most five rows per check in every task before the shuffle.
-    ``reach`` gives, per sampled row predicate, a row that the first five
-    failing ones do not lie beyond, and ends with the largest of them. Rows
-    without an id come first and lie within every bound.
+    ``reach`` gives, per check, a row that the first five failing ones do not lie
+    beyond (``bounds``; none: any row may be among them), and the largest of these (``most``).
+    Rows without an id come first and lie within every bound.
     """
     carried = [named(b) for b in by]
     entries = []
+    if reach is not None:
+        df = df.withColumn("_reach", reach)
 
-    def within(place: int) -> Column:
-        return named(row_id).isNull() | (named(row_id) <= F.get(reach, F.lit(place)))
+    def within(bound: Column) -> Column:
+        return named(row_id).isNull() | (named(row_id) <= bound)
 
-    for place, (i, check) in enumerate(_sampled(checks).items()):
-        hit = check.failed if reach is None else within(place) & check.failed
-        entries.append(F.when(hit, F.struct(F.lit(i).alias("check"), check.sample.alias("value"))))
+    for i, check in _sampled(checks).items():
+        entries.append(F.when(check.failed, F.struct(F.lit(i).alias("check"), check.sample.alias("value"))))
     shape = [*by, "_row", "check", "value"]
     parts = []
-    bounded = len(entries)
     leads = []
     if not by:
         # rows of the leading keys are met in the same reading of the input
@@ -121,10 +125,18 @@ def first_failures(
                 leads.append(F.col(f"_lead{i}").isNotNull())
                 entries.append(F.when(leads[-1], F.struct(F.lit(i).alias("check"), check.sample.alias("value"))))
     if entries:
-        near = df if reach is None else df.where(any_of([within(bounded), *leads]))
+        near = df if reach is None else df.where(any_of([within(F.col("_reach.most")), *leads]))
         # no filter on the predicates ahead of the explode: it would evaluate them twice
-        exploded = near.select(*carried, named(row_id).alias("_row"), F.explode(F.array(*entries)).alias("e"))
-        parts.append(exploded.where(F.col("e").isNotNull()).select(*by, "_row", "e.*"))
+        def listed(e: Column) -> Column:
+            if reach is None:
+                return e.isNotNull()
+            # leading keys are listed wherever they lie: they have no bound
+            bound = F.coalesce(F.try_element_at("_reach.bounds", e["check"]), F.lit(UNBOUNDED))
+            return e.isNotNull() & within(bound)
+
+        failing = F.filter(F.array(*entries), listed)
+        exploded = near.select(*carried, named(row_id).alias("_row"), F.explode(failing).alias("e"))
+        parts.append(exploded.select(*by, "_row", "e.*"))
     for i, check in enumerate(checks):
         if not check.keys or not by:
             continue
@@ -165,30 +177,92 @@ def _mark_leading(df: DataFrame, check: Check, row_id: str, mark: str) -> DataFr
     return df.join(F.broadcast(leading), on, "left").drop(*[f"{mark}{n}" for n in names])
 
 
-def _slot_tally(df: DataFrame, tallies: list[Column], checks: Sequence[Check], row_id: str) -> DataFrame:
-    """The tallies and each sampled check's first failing row, for every one of REACH_SLOTS row slots.
+def packed(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, list[Check]]:
+    """Evaluate every row predicate once, into bits of ``_pack0, _pack1, ...``, and let the checks read their bit.
+
+    Bit ``i % CHUNK`` of pack ``i // CHUNK`` is that of check ``i``.
+    """
+    packs = {}
+    for k in range(0, max(1, len(checks)), CHUNK):
+        bits = [F.when(c.failed, F.lit(1 << j)).otherwise(F.lit(0)) for j, c in enumerate(checks[k : k + CHUNK]) if c.failed is not None]
+        packs[f"_pack{k // CHUNK}"] = balanced(bits, Column.bitwiseOR) if bits else F.lit(0)
+
+    def read(i: int, check: Check) -> Check:
+        if check.failed is None:
+            return check
+        return replace(check, failed=F.col(f"_pack{i // CHUNK}").bitwiseAND(1 << i % CHUNK) != 0)
+
+    return df.withColumns(packs), [read(i, c) for i, c in enumerate(checks)]
 
-    They come as one array, so that whoever reads part of it shares the one
-    aggregation with whoever reads the rest.
+
+def _dimension_bits(checks: Sequence[Check], packs: Sequence[Column]) -> Column:
+    """Bit ``d``: a row predicate of dimension ``d`` fails."""
+    bits = []
+    for d, dimension in enumerate(DIMENSIONS):
+        masks = [0] * len(packs)
+        for i, check in enumerate(checks):
+            if check.dimension == dimension and check.failed is not None:
+                masks[i // CHUNK] |= 1 << i % CHUNK
+        hits = [pack.bitwiseAND(mask) != 0 for pack, mask in zip(packs, masks) if mask]
+        if hits:
+            bits.append(F.when(any_of(hits), F.lit(1 << d)).otherwise(F.lit(0)))
+    return balanced(bits, Column.bitwiseOR) if bits else F.lit(0)
+
+
+def _patterns(df: DataFrame, checks: Sequence[Check], by: Sequence[str], row_id: str, firsts: bool) -> DataFrame:
+    """How many rows have each pattern of flags, chunk by chunk: ``_chunk, _pattern, _tally``.
+
+    One aggregate with partial aggregation, whose groups are bounded by ``CHUNK``
+    and not by the number of checks. The chunk ``BY_DIMENSION`` covers all rows, the others those that fail
+    in them. With ``firsts`` groups are told apart by ``REACH_SLOTS`` row slots, and ``_tally`` also holds the first
+    row; it is one array, so that whoever reads part of it shares the aggregation with whoever reads the rest.
     """
+    packs = [F.col(f"_pack{k}") for k in range(math.ceil(max(1, len(checks)) / CHUNK))]
     row = named(row_id).cast("bigint")
-    firsts = [F.min(F.when(check.failed, row)) for check in _sampled(checks).values()]
-    slot = F.pmod(F.xxhash64(row), F.lit(REACH_SLOTS)).alias("_slot")
-    return df.groupBy(slot).agg(F.array(*tallies, *firsts).alias("_tally"))
+    slot = [F.pmod(F.xxhash64(row), F.lit(REACH_SLOTS)).alias("_slot")] if firsts else []
+    carried = [*[named(b) for b in by], *slot, *([row.alias("_row")] if firsts else [])]
+    chunks = [F.struct(F.lit(BY_DIMENSION).alias("_chunk"), _dimension_bits(checks, packs).alias("_pattern"))]
+    chunks += [F.struct(F.lit(k).alias("_chunk"), pack.alias("_pattern")) for k, pack in enumerate(packs)]
+    if len(packs) == 1:  # the one pattern tells the dimensions too
+        counted = df.select(*carried, F.lit(0).alias("_chunk"), packs[0].alias("_pattern"))
+    else:
+        worth = F.filter(F.array(*chunks), lambda c: (c["_chunk"] == BY_DIMENSION) | (c["_pattern"] != 0))
+        counted = df.select(*carried, F.inline(worth))
+    tally = [F.count(F.lit(1)), *([F.min("_row")] if firsts else [])]
+    names = [*by, "_chunk", "_pattern", *(["_slot"] if firsts else [])]
+    return counted.groupBy(*names).agg(F.array(*tally).alias("_tally"))
+
+
+def _run_tally(patterns: DataFrame, checks: Sequence[Check], by: Sequence[str]) -> DataFrame:
+    """The rows of each run, and those that fail in each dimension."""
+    single = len(checks) <= CHUNK
+    bits = _dimension_bits(checks, [F.col("_pattern")]) if single else F.col("_pattern")
+    n = F.get("_tally", F.lit(0))
+    failing = [F.sum(F.when(bits.bitwiseAND(1 << d) != 0, n)).alias(any_name(x)) for d, x in enumerate(DIMENSIONS)]
+    runs = patterns.where(F.col("_chunk") == (0 if single else BY_DIMENSION))
+    return runs.groupBy(*by).agg(F.sum(n).alias("rows"), *failing)
 
 
-def _reach(slots: DataFrame, offset: int, count: int) -> Column:
+def _by_check(patterns: DataFrame) -> DataFrame:
+    """The patterns once for each check that fails in them, named ``_check``."""
+    at = F.filter(F.sequence(F.lit(0), F.lit(CHUNK - 1)), lambda j: F.getbit("_pattern", j) == 1)
+    found = patterns.where((F.col("_chunk") != BY_DIMENSION) & (F.col("_pattern") != 0))
+    return found.withColumn("_bit", F.explode(at)).withColumn("_check", F.col("_chunk") * CHUNK + F.col("_bit"))
+
+
+def _reach(patterns: DataFrame, checks: Sequence[Check]) -> Column:
     """How far the first five failing rows of each check can lie, and the farthest of these bounds.
 
-    Five slots with a failing row hold five failing rows, none beyond the fifth
-    smallest of their first ones. With fewer such slots there is no bound.
+    The first rows of five groups of patterns and slots are five failing rows, none beyond the fifth
+    smallest. With fewer such groups there is no bound.
     """
-    unbounded = F.lit(2**63 - 1).cast("bigint")
-    bounds = []
-    for n in range(offset, offset + count):
-        firsts = F.array_sort(F.collect_list(F.get("_tally", F.lit(n))))
-        bounds.append(F.coalesce(F.get(firsts, F.lit(SAMPLES_PER_CHECK - 1)), unbounded))
-    return slots.agg(F.array(*bounds, F.array_max(F.array(*bounds)))).scalar()
+    first = F.get("_tally", F.lit(1))
+    listed = _by_check(patterns).where(first.isNotNull() & F.col("_check").isin(*_sampled(checks)))
+    firsts = listed.groupBy("_check").agg(F.array_sort(F.collect_list(first)).alias("_firsts"))
+    bound = F.coalesce(F.get("_firsts", F.lit(SAMPLES_PER_CHECK - 1)), F.lit(UNBOUNDED))
+    bounds = firsts.select("_check", bound.alias("_bound"))
+    listing = F.map_from_entries(F.collect_list(F.struct("_check", "_bound")))
+    return bounds.agg(F.struct(listing.alias("bounds"), F.max("_bound").alias("most"))).scalar()
 
 
 def measure(
@@ -196,28 +270,20 @@ def measure(
 ) -> DataFrame:
     """Facts per run, where ``by`` names the columns that tell runs apart.
 
-    Row predicates are counted in one scan with partial aggregation. Each lone
-    uniqueness check adds one aggregation by key that reads the key column only.
-    Samples are bounded during the count if the row id is the table's own: a
-    generated one can differ between two readings of the input.
+    Every row predicate is evaluated once, into packs of flags; the rows are counted by
+    pattern of flags in one scan, with partial aggregation, and all further figures come from these
+    counts. Plans therefore grow in proportion to the number of checks. Each lone uniqueness check adds one
+    aggregation by key that reads the key column only. Samples are bounded during the count if the row id is the table's
+    own: a generated one can differ between two readings of the input.
     """
     df, checks = attach_flags(df, checks, row_id, by, shared_only=True)
-    local = {"rows": F.count(F.lit(1))}
-    for i, check in enumerate(checks):
-        if check.failed is not None:
-            local[failed_name(i)] = F.count_if(check.failed)
-    for dimension in DIMENSIONS:
-        flags = [c.failed for c in checks if c.dimension == dimension and c.failed is not None]
-        local[any_name(dimension)] = F.count_if(any_of(flags)) if flags else F.lit(0).cast("bigint")
-    columns = ["rows", *[failed_name(i) for i in range(len(checks))], *[any_name(d) for d in DIMENSIONS]]
-    reach = None
+    df, checks = packed(df, checks)
     own_id = row_id != GENERATED_ROW_ID and isinstance(type_of(df, row_id), T.IntegralType)
-    if samples and not by and _sampled(checks) and own_id:
-        slots = _slot_tally(df, list(local.values()), checks, row_id)
-        parts = [slots.agg(*[F.sum(F.get("_tally", F.lit(n))).alias(name) for n, name in enumerate(local)])]
-        reach = _reach(slots, len(local), len(_sampled(checks)))
-    else:
-        parts = [df.groupBy(*by).agg(*[value.alias(name) for name, value in local.items()])]
+    bounded = bool(samples and not by and _sampled(checks) and own_id)
+    patterns = _patterns(df, checks, by, row_id, bounded)
+    counts = _by_check(patterns).groupBy(*by, "_check").agg(F.sum(F.get("_tally", F.lit(0))).alias("_n"))
+    parts = [_run_tally(patterns, checks, by), counts.select(*by, F.struct("_check", "_n").alias("count"))]
+    reach = _reach(patterns, checks) if bounded else None
 
     for i, check in enumerate(checks):
         if not check.keys:
@@ -228,8 +294,8 @@ def measure(
             # same as the one behind the samples, so Spark runs it once
             repeated = repeated & (F.col("_first").isNotNull() | (F.col("_n") > 0))
         failed = F.coalesce(F.sum(F.when(repeated, F.col("_n"))), F.lit(0))
-        counted = key_counts(df, check.keys, by, row_id, check.excuse_nulls).groupBy(*by).agg(failed.alias(failed_name(i)))
-        parts.append(counted.withColumn(any_name(check.dimension), F.col(failed_name(i))))
+        counted = key_counts(df, check.keys, by, row_id, check.excuse_nulls).groupBy(*by).agg(failed.alias("_n"))
+        parts.append(counted.select(*by, F.struct(F.lit(i).alias("_check"), "_n").alias("count"), F.col("_n").alias(any_name(check.dimension))))
     if samples and any(c.sample is not None for c in checks):
         found = first_failures(df, checks, row_id, by, reach)
         parts.append(found.select(*by, F.struct("check", "rank", "item").alias("sample")))
@@ -237,9 +303,10 @@ def measure(
     facts = parts[0]
     for part in parts[1:]:
         facts = facts.unionByName(part, allowMissingColumns=True)
-    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in columns]
+    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ["rows", *map(any_name, DIMENSIONS)]]
+    # a count for each check and at most five samples
+    totals.append(F.map_from_entries(F.collect_list("count")).alias("failed"))
     if "sample" in facts.columns:
-        # at most five samples for each check
         totals.append(F.collect_list("sample").alias("samples"))
     return facts.groupBy(*by).agg(*totals)
 
@@ -275,33 +342,35 @@ def failed_pct(failed: Column, rows: Column) -> Column:
     return F.when(rows > 0, round_share(failed / rows * 100)).otherwise(F.lit(0.0))
 
 
-def _sample_json(i: int, check: Check) -> Column:
-    if check.sample is None:
-        blanks = F.array_repeat(F.lit('""'), F.least(F.col(failed_name(i)), F.lit(BLANKS_WITHOUT_COLUMN)).cast("int"))
-        items = blanks
-    else:
-        mine = F.array_sort(F.filter("samples", lambda s: s["check"] == i))
-        items = F.transform(mine, lambda s: s["item"])
-    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
-
-
 def check_rows(facts: DataFrame, checks: Sequence[Check], keep: Sequence[str] = ()) -> DataFrame:
     """One row per run and check, with its failed count, share and samples if measured."""
     sampled = "samples" in facts.columns
-    entries = []
-    for i, check in enumerate(checks):
+
+    def told(value, kind: str) -> Column:
+        return F.lit([value(c) for c in checks]).cast(f"array<{kind}>")
+
+    def samples(i: Column, failed: Column) -> Column:
+        blanks = F.array_repeat(F.lit('""'), F.least(failed, F.lit(BLANKS_WITHOUT_COLUMN)).cast("int"))
+        mine = F.array_sort(F.filter("samples", lambda s: s["check"] == i))
+        listed = F.transform(mine, lambda s: s["item"])
+        items = F.when(F.get(told(lambda c: c.sample is None, "boolean"), i), blanks).otherwise(listed)
+        return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+
+    def row(i: Column) -> Column:
+        failed = F.coalesce(F.try_element_at("failed", i), F.lit(0).cast("bigint"))
         fields = [
-            F.lit(i).alias("check_no"),
-            F.lit(check.dimension).alias("dimension"),
-            F.lit(check.rule).alias("rule"),
-            F.lit(check.column).alias("column"),
-            F.lit(check.severity).cast("string").alias("severity"),
-            F.col(failed_name(i)).alias("failed_count"),
+            i.alias("check_no"),
+            F.get(told(lambda c: c.dimension, "string"), i).alias("dimension"),
+            F.get(told(lambda c: c.rule, "string"), i).alias("rule"),
+            F.get(told(lambda c: c.column, "string"), i).alias("column"),
+            F.get(told(lambda c: c.severity or "", "string"), i).alias("severity"),
+            failed.alias("failed_count"),
         ]
-        if sampled:
-            fields.append(_sample_json(i, check).alias("sample_values"))
-        entries.append(F.struct(*fields))
-    rows = facts.select(*keep, "rows", F.inline(F.array(*entries)))
+        return F.struct(*fields, *([samples(i, failed).alias("sample_values")] if sampled else []))
+
+    numbers = F.lit(list(range(len(checks)))).cast("array<int>")
+    rows = facts.select(*keep, "rows", F.inline(F.transform(numbers, row)))
+    rows = rows.withColumn("severity", F.nullif("severity", F.lit("")))
     return rows.withColumn("failed_pct", failed_pct(F.col("failed_count"), F.col("rows"))).drop("rows")
 
 
