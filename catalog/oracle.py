@@ -501,4 +501,26 @@ SELECT row_id, CASE WHEN row_id % 6 IN (1, 4) THEN NULL WHEN row_id % 6 = 3 THEN
         """SELECT run_label, run_id, (SELECT count(*) FROM issues) AS issue_groups, 'Run 1' AS pointer, 'Run 1 Run 1' AS returned
            FROM summary""",
     ),
+    "csv_folder": f"""SELECT row_id, order_id, email, CASE WHEN row_id % 3 <> 2 THEN nullif(country, '') END AS country, amount,
+          order_ts_utc, ingest_ts_utc, NULL::VARCHAR AS line FROM ({FEED})
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, o_orderkey::VARCHAR || ',x@y.z,more' FROM orders WHERE o_orderkey % 50 = 0""",
+    "half_written": """SELECT 'clean' AS name, true AS "exists", count(*) AS row_count, true AS from_staged, 2 AS code FROM orders
+        UNION ALL SELECT 'begun', false, NULL, true, 2""",
+    "run_keys": over(
+        ONCE,
+        f"""SELECT {SUMMARY.replace("run_label, ", "")}, label AS run_label, key AS run_key
+            FROM summary, (VALUES ('Run 1', 'north/2024-03-01'), ('Run 2', 'south/2024-03-01')) k(label, key)""",
+    ),
+    "issues_of_key": over(
+        YEARLY, f"SELECT {ISSUES}, 'orders/' || run_id AS run_key FROM issues WHERE run_id = '19970101_063000'"
+    ),
+    "run_unpublished": over(
+        ONCE,
+        """SELECT run_label, 'first' AS run_key, rows_after_hard_clean, rows_after_hard_clean AS clean_rows,
+             'first' AS pointer, 'a run key can''t be empty' AS raised FROM summary""",
+    ),
+    "rows_kept": f"""
+        WITH counted AS (SELECT trim(coalesce(email, '')) = '' AS lacks, count(*) OVER (PARTITION BY order_id) > 1 AS again FROM ({FEED}))
+        SELECT count(*) FILTER (WHERE NOT lacks) AS rows_after_hard_clean, {pct("count(*) FILTER (WHERE lacks OR again)", "count(*)")} AS completeness_pct,
+          count(*) FILTER (WHERE NOT lacks) AS clean_rows FROM counted""",
 }

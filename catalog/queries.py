@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowgauge import Profile, Rule, RuleSet, assess, evaluate, evaluate_slices
+from rowgauge import Profile, Rule, RuleSet, assess, compile_rules, evaluate, evaluate_slices
 from rowgauge.functions import display, values
-from rowgauge.model import RAW_SCHEMA, SCORE_COLUMNS, SUMMARY_SCHEMA
+from rowgauge.model import ISSUES_SCHEMA, RAW_SCHEMA, SCORE_COLUMNS, SUMMARY_SCHEMA
 from rowgauge.operators import checks, history, normalize, scoring, views
 from rowgauge.operators.uniqueness import flag_duplicates
 from rowgauge.plans import run as runs
@@ -28,10 +28,10 @@ from .feeds import (
     raw_feed,
     raw_orders,
     ruled,
-    wide_orders,
-    wide_rules,
     stored_history,
     table,
+    wide_orders,
+    wide_rules,
     yearly,
 )
 
@@ -169,6 +169,33 @@ def history_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.union_history(*parts)
 
 
+def csv_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of CSV files with other column orders, a column less, and lines that don't fit: rows, and the odd lines."""
+    raw = raw_feed(spark, sf_dir)
+    path = scratch_path(spark, "csv-folder")
+    part = F.pmod("row_id", F.lit(3))
+    tables.write_table(raw.where(part == 0), path, "csv", mode="append")
+    tables.write_table(raw.where(part == 1).select(*reversed(raw.columns)), path, "csv", mode="append")
+    tables.write_table(raw.where(part == 2).drop("country"), path, "csv", mode="append")
+    odd = raw.where(F.pmod("row_id", F.lit(50)) == 0).select("row_id", F.concat_ws(",", "row_id", F.lit("x@y.z"), F.lit("more")).alias("value"))
+    head = spark.createDataFrame([(-1, "row_id,email")], "row_id long, value string")
+    head.unionByName(odd).repartition(1).sortWithinPartitions("row_id").select("value").write.mode("append").text(path)
+    rows, rejects = tables.scan_csv_checked(spark, path, ROW_SCHEMA)
+    return _plain(rows).unionByName(rejects, allowMissingColumns=True)
+
+
+def half_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An output that its writer never finished is missing, and as an input the staged one is read instead."""
+    clean, begun = scratch_path(spark, "clean"), scratch_path(spark, "begun")
+    rows = raw_feed(spark, sf_dir)
+    tables.write_table(rows, clean)
+    tables.write_table(rows.limit(0), f"{begun}/_temporary/0")
+    found = manifests.manifest(spark, {"clean": (clean, "parquet"), "begun": (begun, "parquet")})
+    source = tables.staged_path(spark, begun, clean)
+    code = manifests.exit_code(found)
+    return found.select("name", "exists", "row_count", F.lit(source == clean).alias("from_staged"), F.lit(code).alias("code"))
+
+
 # Projections and filters
 
 
@@ -604,6 +631,57 @@ def run_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two equal-looking datasets of one second, the first delivered twice: two runs."""
+    layout = runs.Layout(scratch_path(spark, "keys"))
+    runs.stage(raw_feed(spark, sf_dir), layout)
+    for key in ("north/2024-03-01", "south/2024-03-01", "north/2024-03-01"):
+        runs.run_assessment(spark, layout, run_ts=RUN_TS, row_id="row_id", run_key=key)
+    return history_tables.scan_runs(spark, layout.keyed_summary, SUMMARY_SCHEMA)
+
+
+def issues_of_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The issues of one run of many, from its partition alone."""
+    path = scratch_path(spark, "issues-by-run")
+    rows = yearly(spark, sf_dir).issues.withColumn("run_key", F.concat(F.lit("orders/"), "run_id"))
+    history_tables.put_runs(rows, path, ISSUES_SCHEMA)
+    history_tables.put_runs(rows.where(F.col("run_id") < "1998"), path, ISSUES_SCHEMA)  # delivered again
+    found = history_tables.scan_runs(spark, path, ISSUES_SCHEMA, "orders/19970101_063000")
+    return views.issues_for_run(found, None).drop("severity")
+
+
+def run_unpublished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that raises at its histories leaves clean table, histories and pointer as they were."""
+    layout = runs.Layout(scratch_path(spark, "unpublished"))
+    raw = raw_feed(spark, sf_dir)
+    runs.stage(raw, layout)
+    runs.run_assessment(spark, layout, run_ts=RUN_TS, row_id="row_id", run_key="first")
+    runs.stage(raw.where(F.pmod("row_id", F.lit(2)) == 0), layout)
+    try:
+        runs.run_assessment(spark, layout, run_ts=RUN_TS, row_id="row_id", run_key="")
+    except ValueError as error:
+        raised = str(error)
+    clean = tables.scan(spark, layout.clean).agg(F.count(F.lit(1)).alias("clean_rows"))
+    stored = history_tables.scan_runs(spark, layout.keyed_summary, SUMMARY_SCHEMA).select("run_label", "run_key", "rows_after_hard_clean")
+    pointer = spark.read.json(layout.last_run).first()["run_key"]
+    return stored.join(F.broadcast(clean)).withColumns({"pointer": F.lit(pointer), "raised": F.lit(raised)})
+
+
+def rows_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a uniqueness rule under completeness: the summary's kept rows are those of the clean table."""
+    rules = compile_rules(
+        {
+            "rules": [
+                {"id": "key", "dimension": "completeness", "type": "unique", "column": "order_id"},
+                {"id": "has_email", "dimension": "completeness", "type": "not_null", "column": "email"},
+            ]
+        }
+    )
+    found = assess(raw_feed(spark, sf_dir), run_ts=RUN_TS, row_id="row_id", rules=rules)
+    clean = found.clean.agg(F.count(F.lit(1)).alias("clean_rows"))
+    return found.summary.select("rows_after_hard_clean", "completeness_pct").join(F.broadcast(clean))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -651,6 +729,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rule_set_eval,
         rule_set_scores,
         rule_set_many,
+        csv_folder,
+        half_written,
+        run_keys,
+        issues_of_key,
+        run_unpublished,
+        rows_kept,
         rule_set_many_scores,
         dimension_scores,
         overall_score,

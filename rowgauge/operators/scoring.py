@@ -33,8 +33,11 @@ REACH_SLOTS = 16
 
 # So many checks share one pattern of flags: at most 2 to this power patterns a chunk, whatever the rows.
 CHUNK = 12
-# The chunk number of the pattern that tells which dimensions fail.
-BY_DIMENSION = -1
+# The chunk number of the pattern that tells in which groups of checks a row fails.
+BY_GROUP = -1
+
+# The rows that completeness drops, in facts. A repeated key may lower that score, but drops no row.
+INCOMPLETE = "incomplete"
 
 
 def attach_flags(
@@ -195,25 +198,32 @@ def packed(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, list[Chec
     return df.withColumns(packs), [read(i, c) for i, c in enumerate(checks)]
 
 
-def _dimension_bits(checks: Sequence[Check], packs: Sequence[Column]) -> Column:
-    """Bit ``d``: a row predicate of dimension ``d`` fails."""
+def _groups(checks: Sequence[Check], plain: Sequence[int]) -> dict[str, list[int]]:
+    """The checks behind each figure of a run: those of a dimension, and those whose failing rows aren't kept."""
+    groups = {any_name(d): [i for i, c in enumerate(checks) if c.dimension == d and c.failed is not None] for d in DIMENSIONS}
+    return {**groups, INCOMPLETE: list(plain)}
+
+
+def _group_bits(groups: Mapping[str, Sequence[int]], packs: Sequence[Column]) -> Column:
+    """Bit ``g``: a check of group ``g`` fails."""
     bits = []
-    for d, dimension in enumerate(DIMENSIONS):
+    for d, members in enumerate(groups.values()):
         masks = [0] * len(packs)
-        for i, check in enumerate(checks):
-            if check.dimension == dimension and check.failed is not None:
-                masks[i // CHUNK] |= 1 << i % CHUNK
+        for i in members:
+            masks[i // CHUNK] |= 1 << i % CHUNK
         hits = [pack.bitwiseAND(mask) != 0 for pack, mask in zip(packs, masks) if mask]
         if hits:
             bits.append(F.when(any_of(hits), F.lit(1 << d)).otherwise(F.lit(0)))
     return balanced(bits, Column.bitwiseOR) if bits else F.lit(0)
 
 
-def _patterns(df: DataFrame, checks: Sequence[Check], by: Sequence[str], row_id: str, firsts: bool) -> DataFrame:
+def _patterns(
+    df: DataFrame, checks: Sequence[Check], groups: Mapping[str, Sequence[int]], by: Sequence[str], row_id: str, firsts: bool
+) -> DataFrame:
     """How many rows have each pattern of flags, chunk by chunk: ``_chunk, _pattern, _tally``.
 
     One aggregate with partial aggregation, whose groups are bounded by ``CHUNK``
-    and not by the number of checks. The chunk ``BY_DIMENSION`` covers all rows, the others those that fail
+    and not by the number of checks. The chunk ``BY_GROUP`` covers all rows, the others those that fail
     in them. With ``firsts`` groups are told apart by ``REACH_SLOTS`` row slots, and ``_tally`` also holds the first
     row; it is one array, so that whoever reads part of it shares the aggregation with whoever reads the rest.
     """
@@ -221,32 +231,32 @@ def _patterns(df: DataFrame, checks: Sequence[Check], by: Sequence[str], row_id:
     row = named(row_id).cast("bigint")
     slot = [F.pmod(F.xxhash64(row), F.lit(REACH_SLOTS)).alias("_slot")] if firsts else []
     carried = [*[named(b) for b in by], *slot, *([row.alias("_row")] if firsts else [])]
-    chunks = [F.struct(F.lit(BY_DIMENSION).alias("_chunk"), _dimension_bits(checks, packs).alias("_pattern"))]
+    chunks = [F.struct(F.lit(BY_GROUP).alias("_chunk"), _group_bits(groups, packs).alias("_pattern"))]
     chunks += [F.struct(F.lit(k).alias("_chunk"), pack.alias("_pattern")) for k, pack in enumerate(packs)]
     if len(packs) == 1:  # the one pattern tells the dimensions too
         counted = df.select(*carried, F.lit(0).alias("_chunk"), packs[0].alias("_pattern"))
     else:
-        worth = F.filter(F.array(*chunks), lambda c: (c["_chunk"] == BY_DIMENSION) | (c["_pattern"] != 0))
+        worth = F.filter(F.array(*chunks), lambda c: (c["_chunk"] == BY_GROUP) | (c["_pattern"] != 0))
         counted = df.select(*carried, F.inline(worth))
     tally = [F.count(F.lit(1)), *([F.min("_row")] if firsts else [])]
     names = [*by, "_chunk", "_pattern", *(["_slot"] if firsts else [])]
     return counted.groupBy(*names).agg(F.array(*tally).alias("_tally"))
 
 
-def _run_tally(patterns: DataFrame, checks: Sequence[Check], by: Sequence[str]) -> DataFrame:
-    """The rows of each run, and those that fail in each dimension."""
+def _run_tally(patterns: DataFrame, checks: Sequence[Check], groups: Mapping[str, Sequence[int]], by: Sequence[str]) -> DataFrame:
+    """The rows of each run, and those that fail in each group of checks."""
     single = len(checks) <= CHUNK
-    bits = _dimension_bits(checks, [F.col("_pattern")]) if single else F.col("_pattern")
+    bits = _group_bits(groups, [F.col("_pattern")]) if single else F.col("_pattern")
     n = F.get("_tally", F.lit(0))
-    failing = [F.sum(F.when(bits.bitwiseAND(1 << d) != 0, n)).alias(any_name(x)) for d, x in enumerate(DIMENSIONS)]
-    runs = patterns.where(F.col("_chunk") == (0 if single else BY_DIMENSION))
+    failing = [F.sum(F.when(bits.bitwiseAND(1 << d) != 0, n)).alias(name) for d, name in enumerate(groups)]
+    runs = patterns.where(F.col("_chunk") == (0 if single else BY_GROUP))
     return runs.groupBy(*by).agg(F.sum(n).alias("rows"), *failing)
 
 
 def _by_check(patterns: DataFrame) -> DataFrame:
     """The patterns once for each check that fails in them, named ``_check``."""
     at = F.filter(F.sequence(F.lit(0), F.lit(CHUNK - 1)), lambda j: F.getbit("_pattern", j) == 1)
-    found = patterns.where((F.col("_chunk") != BY_DIMENSION) & (F.col("_pattern") != 0))
+    found = patterns.where((F.col("_chunk") != BY_GROUP) & (F.col("_pattern") != 0))
     return found.withColumn("_bit", F.explode(at)).withColumn("_check", F.col("_chunk") * CHUNK + F.col("_bit"))
 
 
@@ -276,13 +286,15 @@ def measure(
     aggregation by key that reads the key column only. Samples are bounded during the count if the row id is the table's
     own: a generated one can differ between two readings of the input.
     """
+    plain = [i for i, c in enumerate(checks) if c.dimension == "Completeness" and c.failed is not None]
     df, checks = attach_flags(df, checks, row_id, by, shared_only=True)
     df, checks = packed(df, checks)
+    groups = _groups(checks, plain)
     own_id = row_id != GENERATED_ROW_ID and isinstance(type_of(df, row_id), T.IntegralType)
     bounded = bool(samples and not by and _sampled(checks) and own_id)
-    patterns = _patterns(df, checks, by, row_id, bounded)
+    patterns = _patterns(df, checks, groups, by, row_id, bounded)
     counts = _by_check(patterns).groupBy(*by, "_check").agg(F.sum(F.get("_tally", F.lit(0))).alias("_n"))
-    parts = [_run_tally(patterns, checks, by), counts.select(*by, F.struct("_check", "_n").alias("count"))]
+    parts = [_run_tally(patterns, checks, groups, by), counts.select(*by, F.struct("_check", "_n").alias("count"))]
     reach = _reach(patterns, checks) if bounded else None
 
     for i, check in enumerate(checks):
@@ -303,7 +315,7 @@ def measure(
     facts = parts[0]
     for part in parts[1:]:
         facts = facts.unionByName(part, allowMissingColumns=True)
-    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ["rows", *map(any_name, DIMENSIONS)]]
+    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ["rows", *groups]]
     # a count for each check and at most five samples
     totals.append(F.map_from_entries(F.collect_list("count")).alias("failed"))
     if "sample" in facts.columns:

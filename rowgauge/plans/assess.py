@@ -15,7 +15,7 @@ from ..model import ISSUES_SCHEMA, SCORE_COLUMNS, SUMMARY_SCHEMA, Profile, RuleS
 from ..operators.checks import Check, any_of, rule_check, standard_checks
 from ..operators.history import sequence_runs
 from ..operators.normalize import canonical_names, normalize, with_row_id
-from ..operators.scoring import check_rows, issue_rows, measure, with_scores
+from ..operators.scoring import INCOMPLETE, check_rows, issue_rows, measure, with_scores
 from ..operators.slices import score_by_slice
 from ..session import require_utc, scratch_path
 
@@ -116,7 +116,7 @@ def summary_rows(
     counts = {
         "rows_raw": rows,
         "rows_after_global_fixes": rows,
-        "rows_after_hard_clean": rows - F.col("any_completeness"),
+        "rows_after_hard_clean": rows - F.col(INCOMPLETE),
         "rules_version": F.lit(version),
     }
     return with_scores(facts, checks, weights).withColumns(counts).select(*SUMMARY_SCHEMA.names)

@@ -44,3 +44,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
         raise
     return True
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a writer has finished this folder, or a partition of it."""
+    path = path.rstrip("/")
+    return path_exists(spark, f"{path}/_SUCCESS") or path_exists(spark, f"{path}/*=*/_SUCCESS")
+
+
+def readable(spark: SparkSession, path: str) -> bool:
+    """Whether an input is there: a file or folder that no writer has left half-written."""
+    if not path_exists(spark, path):
+        return False
+    return committed(spark, path) or not path_exists(spark, f"{path.rstrip('/')}/_temporary")
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished folder in the place of ``path``; what was there stays until then, and on failure."""
+    if not committed(spark, staged):
+        raise ValueError(f"{staged} isn't finished")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    source, target, old = hadoop(staged), hadoop(path), hadoop(f"{path.rstrip('/')}-{uuid.uuid4().hex}")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    replaces = files.exists(target)
+    if replaces and not files.rename(target, old):
+        raise OSError(f"{path} can't be moved")
+    if not files.rename(source, target):
+        if replaces:
+            files.rename(old, target)
+        raise OSError(f"{staged} can't be moved to {path}")
+    if replaces:
+        files.delete(old, True)

@@ -2,11 +2,15 @@
 
 Files of a history may differ in their columns, as those written by earlier
 versions do; they are read by name, and what a file lacks is null.
+
+A history of keyed runs is a table partitioned by the key that a run's caller
+gave it. To store a run is to write its partition, whatever else the history
+holds; to store it again replaces that partition, and to read it opens no other.
 """
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,36 +19,63 @@ from pyspark.sql import types as T
 from ..functions.values import named
 from ..model import ISSUES_SCHEMA, RUN_KEY, SUMMARY_SCHEMA
 from ..operators.history import default_labels, union_history
-from ..session import path_exists
+from ..session import path_exists, readable
 from .tables import scan_csv, write_table
 
 
-def _csv_by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV files with headers of their own, united by column name."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("at"),
-        "value",
-        F.monotonically_increasing_id().alias("nth"),
-    )
-    heads = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "nth").alias("head"))
-    groups = heads.groupBy("head").agg(F.collect_list("file").alias("files")).orderBy("head").collect()  # paths alone
-    found = spark.createDataFrame([], schema)
-    for group in groups:
-        found = union_history(found, scan_csv(spark, [unquote(f) for f in group["files"]], schema))
-    return found
-
-
 def scan_history(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
     """A history table in its layout, then the columns that only some files have."""
     if fmt == "csv":
-        return _csv_by_header(spark, path, schema)
+        return union_history(spark.createDataFrame([], schema), scan_csv(spark, path, schema))
     reader = spark.read.format(fmt)
     known = set(schema.names)
     more = [f for f in reader.option("mergeSchema", "true").load(path).schema if f.name not in known]
     return spark.read.format(fmt).schema(T.StructType([*schema.fields, *more])).load(path)
 
 
+KEY = "run_key"
+
+
+def _keyed_layout(schema: T.StructType) -> T.StructType:
+    """What ``put_run`` writes: the history's columns, and the severity that declared rules give issues."""
+    more = [T.StructField("severity", T.StringType())] if schema == ISSUES_SCHEMA else []
+    return T.StructType([*schema.fields, *more])
+
+
+def _partition(path: str, run_key: str) -> str:
+    return f"{path.rstrip('/')}/{KEY}={quote(run_key, safe='')}"
+
+
+def put_run(rows: DataFrame, path: str, run_key: str, schema: T.StructType) -> None:
+    """Store the rows of one run, none at all included, under its key; what the key held before is replaced."""
+    if not run_key:
+        raise ValueError("a run key can't be empty")
+    layout = _keyed_layout(schema)
+    columns = [named(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in layout]
+    write_table(rows.select(*columns).coalesce(1), _partition(path, run_key))  # a run's rows are few
+
+
+def put_runs(rows: DataFrame, path: str, schema: T.StructType) -> None:
+    """Store many runs at once, each under the key in its column ``run_key``; only partitions of these keys are replaced.
+
+    A run without rows is none here: ``put_run`` stores such.
+    """
+    layout = _keyed_layout(schema)
+    columns = [named(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in layout]
+    keyed = rows.select(*columns, KEY).repartition(KEY)
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY).parquet(path)
+
+
+def scan_runs(spark: SparkSession, path: str, schema: T.StructType, run_key: str | None = None) -> DataFrame:
+    """A history of keyed runs, or one run of it: then only its partition is listed and opened. Empty if absent."""
+    layout = T.StructType([*_keyed_layout(schema).fields, T.StructField(KEY, T.StringType())])
+    at = path if run_key is None else _partition(path, run_key)
+    if not readable(spark, at):
+        return spark.createDataFrame([], layout)
+    found = spark.read.schema(layout).option("basePath", path).parquet(at)
+    return found if run_key is None else found.where(F.col(KEY) == run_key)
+
+
 def _same_run(a: str, b: str) -> Column:
     return F.expr(" AND ".join(f"{a}.{c} <=> {b}.{c}" for c in RUN_KEY))
 

@@ -7,16 +7,19 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists
+from ..session import committed
 from .tables import scan
 
 
 def manifest(spark: SparkSession, required: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """One row per required output, given as name -> (path, format), with its row count."""
+    """One row per required output, given as name -> (path, format), with its row count.
+
+    An output is there once its writer has finished it; a half-written one is missing.
+    """
     parts = []
     for name, (path, fmt) in required.items():
         entry = [F.lit(name).alias("name"), F.lit(path).alias("path")]
-        if path_exists(spark, path):
+        if committed(spark, path):
             counted = scan(spark, path, fmt).agg(F.count(F.lit(1)).alias("row_count"))
             parts.append(counted.select(*entry, F.lit(True).alias("exists"), "row_count"))
         else:

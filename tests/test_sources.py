@@ -236,3 +236,69 @@ def test_a_session_is_left_alone(spark):
 def test_rule_files_of_any_file_system(spark, tmp_path):
     (tmp_path / "r.yaml").write_text("rules: []\nversion: '3'\n")
     assert load_config(spark, f"file://{tmp_path}/r.yaml")["version"] == "3"
+
+
+def test_csv_files_are_read_by_name(spark, tmp_path):
+    """Other column orders, missing columns, short and long lines; every line is a row or a reject."""
+    folder = tmp_path / "drop"
+    folder.mkdir()
+    (folder / "a.csv").write_text("order_id,email\n1,a@b.co\n2\n3,x,y\n")
+    (folder / "b.csv").write_text("email,order_id\nc@d.co,4\n")
+    (folder / "c.csv").write_text("order_id\n5\n")
+    (folder / "d.csv").write_text("order_id,email\n")
+    assert sorted(tuple(r) for r in tables.scan_csv(spark, str(folder)).select("order_id", "email").collect() if r[0] != "3") == [
+        ("1", "a@b.co"), ("2", None), ("4", "c@d.co"), ("5", None)
+    ]
+    rows, rejects = tables.scan_csv_checked(spark, str(folder))
+    assert sorted((r.order_id, r.email) for r in rows.collect()) == [("1", "a@b.co"), ("4", "c@d.co"), ("5", None)]
+    assert sorted(r.line for r in rejects.collect()) == ["2", "3,x,y"]
+    assert rows.select("order_id").count() == 3 and rejects.count() == 2  # whatever columns are read
+
+
+def test_publish_keeps_what_was_there(spark, tmp_path):
+    from rowgauge.session import committed, publish
+
+    old, new, half = (str(tmp_path / n) for n in ("old", "new", "half"))
+    tables.write_table(spark.range(3), old)
+    tables.write_table(spark.range(5), f"{half}/_temporary/0")
+    assert not committed(spark, half)
+    with pytest.raises(ValueError, match="isn't finished"):
+        publish(spark, half, old)
+    assert spark.read.parquet(old).count() == 3
+    tables.write_table(spark.range(5), new)
+    publish(spark, new, old)
+    assert spark.read.parquet(old).count() == 5 and sorted(p.name for p in tmp_path.iterdir()) == ["half", "old"]
+
+
+def test_runs_by_key(spark, tmp_path):
+    from rowgauge.model import ISSUES_SCHEMA, SUMMARY_SCHEMA
+    from rowgauge.sources import history
+
+    path = str(tmp_path / "history")
+    row = lambda label, n: spark.createDataFrame([(label, "id", "ts", n, n, n, 1.0, 1.0, 1.0, 1.0, 1.0, "v")], SUMMARY_SCHEMA)
+    assert history.scan_runs(spark, path, SUMMARY_SCHEMA).count() == 0
+    for key, n in (("a/1", 1), ("b=2", 2), ("a/1", 3)):
+        history.put_run(row("Run", n), path, key, SUMMARY_SCHEMA)
+    found = history.scan_runs(spark, path, SUMMARY_SCHEMA)
+    assert sorted((r.run_key, r.rows_raw) for r in found.collect()) == [("a/1", 3), ("b=2", 2)]
+    one = history.scan_runs(spark, path, SUMMARY_SCHEMA, "a/1")
+    assert [r.rows_raw for r in one.collect()] == [3] and len(one.inputFiles()) == 1
+    assert "PartitionFilters: [isnotnull(run_key" in one._jdf.queryExecution().executedPlan().toString()
+    assert history.scan_runs(spark, path, SUMMARY_SCHEMA, "none").count() == 0
+    # a run that has no issues any more has none stored
+    issues, at = spark.createDataFrame([("Run", "id", "Validity", "r", "c", 1, 1.0, "[]")], ISSUES_SCHEMA), str(tmp_path / "issues")
+    history.put_run(issues, at, "k", ISSUES_SCHEMA)
+    history.put_run(issues.limit(0), at, "k", ISSUES_SCHEMA)
+    assert history.scan_runs(spark, at, ISSUES_SCHEMA, "k").count() == 0
+
+
+def test_keyed_runs_after_others(spark, tmp_path):
+    """A hub whose runs had no keys goes on with keys: labels go on, and the report has all runs."""
+    layout = staged(spark, tmp_path)
+    assert runs.run_assessment(spark, layout, run_ts=NOW, row_id="row_id") == "Run 1"
+    later = "2024-03-02T06:30:00+00:00"
+    for _ in range(2):
+        assert runs.run_assessment(spark, layout, run_ts=later, row_id="row_id", run_key="hub/2") == "Run 2"
+    cards = {r.run_label: r.issue_groups for r in runs.run_report(spark, layout).collect()}
+    assert cards == {"Run 1": 5, "Run 2": 5}
+    assert not list((tmp_path / "hub/output/_staging").iterdir())
