@@ -6,6 +6,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from rowgauge.llm.sharding import first_map, read_map, rebalance, shard_documents, write_edits
 from rowgauge.llm.storage import settle
 
@@ -59,3 +60,39 @@ def test_odd_rows(spark, tmp_path):
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
     assert all(len(s) == 1 for s in slots.values())
     assert shard_documents(docs.limit(0), 7, str(tmp_path / "none"), lambda df: settle(df, "s")).count() == 0
+
+
+def test_one_map_edited_by_three_calls(spark, tmp_path):
+    path = str(tmp_path / "map")
+    docs = spark.createDataFrame([(i, "t" * (i % 97)) for i in range(4_000)], "doc_id long, text string").repartition(3)
+    call = lambda n: shard_documents(docs, n, path, lambda df: settle(df, "s"), slots=512).collect()
+    at = lambda v: {r.virtual_slot: r.shard for r in read_map(spark, path, v).collect()}
+    before, version = {}, 0
+    for n in (24, 20, 24):
+        found = call(n)
+        log = spark.read.parquet(path)
+        assert log.groupBy("version", "virtual_slot").count().where("count > 1").isEmpty()
+        now, latest = at(None), log.agg(F.max("version")).first()[0]
+        assert len(now) == 512 and set(now.values()) == set(range(n)) and latest > version
+        assert all(now[r.virtual_slot] == r.shard for r in found)
+        edited = {r.virtual_slot for r in log.where(F.col("version") > version).collect()}
+        if before:  # only slots that were edited have moved, and those of shards that are gone among them
+            assert {s for s in now if now[s] != before[s]} <= edited and len(edited) < 512
+            assert edited >= {s for s, shard in before.items() if shard >= n}
+        load = defaultdict(int)
+        for r in found:
+            load[r.shard] += r.size
+        assert max(load.values()) <= 1.05 * min(load.values())
+        before, version = now, latest
+
+
+def test_one_row_many_times(spark, tmp_path):
+    rows = [(i, "t" * (i % 97)) for i in range(1_000)] + [(7, "again " * 500)] * 2_000 + [(None, None)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = shard_documents(docs, 24, str(tmp_path / "map"), lambda df: settle(df, "s")).collect()
+    load, places = defaultdict(int), defaultdict(list)
+    for r in found:
+        load[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert len(found) == len(rows) and all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(load.values()) - min(load.values()) <= 3_008
