@@ -225,21 +225,23 @@ def _passages(chars: np.ndarray) -> list[np.ndarray]:
     return [chars[int(i * step) : int(i * step) + PASSAGE] for i in range(TRAIN_PASSAGES)]
 
 
-def sample_labelled(docs: DataFrame, id_col: str, lang: str, text: str, per_lang: int = TRAIN_DOCS) -> DataFrame:
-    """``lang, text, fold`` of about ``per_lang`` rows of each language, by a hash of the id; all rows of a rare one."""
+def sample_labelled(docs: DataFrame, lang: str, text: str, per_lang: int = TRAIN_DOCS) -> DataFrame:
+    """``lang, text, fold`` of about ``per_lang`` different texts of each language, by a hash of the text; all texts of a rare one.
+
+    Ids are not read: they may be missing or repeated. A text that many rows have is met once.
+    """
     spark = docs.sparkSession
     named = docs.where(docs[lang].isNotNull() & docs[text].isNotNull())
-    counts = named.groupBy(named[lang].alias("lang")).count().collect()  # a row per language
-    spread = F.pmod(F.xxhash64(named[id_col], F.lit("language sample")), F.lit(1 << 40))
-    limits = spark.createDataFrame(
-        [(r["lang"], min(1 << 40, (1 << 40) * per_lang // r["count"])) for r in counts], "lang string, below long"
-    )
-    fold = F.pmod(F.xxhash64(named[id_col], F.lit("language fold")), F.lit(4))
+    different = F.approx_count_distinct(F.xxhash64(named[text])).alias("n")
+    counts = named.groupBy(named[lang].cast("string").alias("lang")).agg(different).collect()  # a row per language
+    spread = F.pmod(F.xxhash64(named[text], F.lit("language sample")), F.lit(1 << 40))
+    limits = spark.createDataFrame([(r["lang"], min(1 << 40, (1 << 40) * per_lang // max(1, r["n"]))) for r in counts], "lang string, below long")
+    fold = F.pmod(F.xxhash64(named[text], F.lit("language fold")), F.lit(4))
     rows = named.select(named[lang].cast("string").alias("lang"), named[text].alias("text"), spread.alias("at"), fold.alias("fold"))
-    return rows.join(F.broadcast(limits), "lang").where("at < below").select("lang", "text", "fold")
+    return rows.join(F.broadcast(limits), "lang").where("at < below").select("lang", "text", "fold").distinct()
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", lang: str = "lang", text: str = "text", order: int = ORDER) -> Model:
+def train(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = ORDER) -> Model:
     """Fit and calibrate the models on labelled rows: three parts of the sample to count, one to calibrate.
 
     What reaches the driver is bounded by the sample. A language is learned if
@@ -247,7 +249,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", lang: str = "lang", text: str
     n-gram that one sampled text alone has teaches nothing, unless a language has
     no others: a text under the wrong label can't vouch for itself.
     """
-    sample = sample_labelled(docs, id_col, lang, text)
+    sample = sample_labelled(docs, lang, text)
     schema = "lang string, fold int, gram string, n long, docs long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from rowgauge.llm import langid
+from pyspark.sql import functions as F
 from rowgauge.llm.langid import held_out, identify, normal, train
 
 SF = "/root/testdata/sf0.01"
@@ -117,3 +118,17 @@ def test_nothing_to_learn(spark):
     assert identify(none, model).count() == 0
     one = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in identify(one, train(one)).collect()] == ["und"]
+
+
+def test_ids_do_not_matter(spark):
+    """Null ids, or one id for all, learn what others learn; a text that many rows have is sampled once."""
+    from rowgauge.llm.langid import sample_labelled
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    want = sample_labelled(docs, "lang", "text", 50)
+    texts = lambda df: sorted(tuple(r) for r in df.collect())
+    assert 100 < want.count() < 400
+    for other in (docs.withColumn("doc_id", F.lit(None).cast("long")), docs.withColumn("doc_id", F.lit(1).cast("long")), docs.union(docs)):
+        assert texts(sample_labelled(other, "lang", "text", 50)) == texts(want)
+    nobody = train(docs.withColumn("doc_id", F.lit(None).cast("long")))
+    assert nobody.langs == train(docs).langs != []
