@@ -309,9 +309,10 @@ def _window(t: Tokens, seed: int) -> Tokens:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Field | None:
     """Fit the field on the sample; none if it has no tokens, and then only patterns are found."""
-    total = docs.count()
-    spread = F.pmod(F.xxhash64(docs[id_col], F.lit("field sample")), F.lit(1 << 40))
-    sample = docs.where(spread < min(1 << 40, (1 << 40) * TRAIN_DOCS // max(1, total)))
+    total = docs.agg(F.approx_count_distinct(F.xxhash64(docs[text]))).first()[0]
+    spread = F.pmod(F.xxhash64(docs[text], F.lit("field sample")), F.lit(1 << 40))
+    # by text: ids may be missing or repeated, and a text that many rows have is met once
+    sample = docs.where(spread < min(1 << 40, (1 << 40) * TRAIN_DOCS // max(1, total))).select(docs[text].alias("_text")).distinct()
     schema = "labels array<int>, features array<array<int>>, chain array<array<int>>, skip array<array<int>>"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,7 +333,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Field
                 names=["labels", "features", "chain", "skip"],
             )
 
-    rows = map_batches(sample.select(docs[text].alias("_text")), read, schema).collect()
+    rows = map_batches(sample, read, schema).collect()
     rows = sorted(rows, key=lambda r: (r["labels"], r["features"], r["chain"], r["skip"]))  # sums in one order
     return fit([Tokens([], r["features"], r["labels"], r["chain"], r["skip"]) for r in rows])
 

@@ -125,3 +125,15 @@ def test_given_documents(spark):
         assert [tuple(s) for s in r["base"]] == base
         n, added = n + len(base), added + len(r["added"])
     assert n > 50 and added <= 0.03 * n + 2
+
+
+def test_sample_of_any_ids(spark, monkeypatch):
+    """Null or repeated ids, and many copies of a row, change nothing in what is learned."""
+    from rowgauge.llm import pii
+
+    monkeypatch.setattr(pii, "TRAIN_DOCS", 100)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    want = train(docs)
+    for other in (docs.selectExpr("CAST(NULL AS bigint) AS doc_id", "text"), docs.selectExpr("1L AS doc_id", "text"), docs.union(docs)):
+        got = train(other)
+        assert all((a == b).all() if hasattr(a, "all") else a == b for a, b in zip(vars(got).values(), vars(want).values()))
