@@ -200,10 +200,10 @@ class _Best:
         score = self.vectors[asked] @ members.T
         score[self.query[asked][:, None] == ids[None, :]] = -np.inf
         both = np.concatenate([self.score[asked], score], axis=1)
-        # rounded, so that equal vectors tie whatever the order of summation
-        order = np.argsort(-np.round(both, 13), axis=1, kind="stable")[:, : self.k]
-        best = np.take_along_axis(both, order, axis=1)
         every = np.concatenate([self.found[asked], np.broadcast_to(ids, score.shape)], axis=1)
+        # rounded, so that equal vectors tie whatever the order of summation; of equals the smaller ids stay
+        order = np.lexsort((every, -np.round(both, 13)), axis=1)[:, : self.k]
+        best = np.take_along_axis(both, order, axis=1)
         row, place = np.nonzero((order >= self.k) & (best > -np.inf))
         # the sum of products in one fixed order, the same wherever the pair is met
         best[row, place] = (self.vectors[asked[row]] * members[order[row, place] - self.k]).sum(axis=1)
@@ -244,8 +244,8 @@ def nearest(
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     total, longest = rows.agg(F.count("*"), F.max(length)).first()
     size = max(k + 2, min(SAMPLE, SAMPLE_BYTES // (4 * lengths["n"])))
-    spread = F.pmod(F.xxhash64("id", F.lit("forest")), F.lit(1 << 40))
-    sampled = rows.where(spread < min(1 << 40, (1 << 40) * size // max(1, total))).orderBy("id").select("v").toArrow()
+    spread = F.pmod(F.xxhash64("id", "v", F.lit("forest")), F.lit(1 << 40))
+    sampled = rows.where(spread < min(1 << 40, (1 << 40) * size // max(1, total))).orderBy("id", "v").select("v").toArrow()
     sample = _matrix(sampled.column(0).combine_chunks()) if sampled.num_rows else np.zeros((0, lengths["n"]))
     forest = build(lifted(sample, longest), trees)
     share = share_to_search(forest, sample, longest, k)

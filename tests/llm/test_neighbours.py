@@ -94,3 +94,24 @@ def test_share_falls_with_structure():
         longest = float(np.sqrt((x**2).sum(axis=1).max()))
         shares.append(share_to_search(build(lifted(x, longest)), x, longest, 10))
     assert shares[0] < shares[1]
+
+
+def test_ties_go_to_smaller_ids_wherever_they_are_met():
+    """Equal scores met with large ids first: the smaller ids stay."""
+    import numpy as np
+    from rowgauge.llm.neighbours import _Best
+
+    best = _Best(5)
+    best.add(999, np.array([1.0, 0.0]), [1, 2])
+    near = lambda ids: (np.array(ids), np.array([[1.0, float(i)] for i in ids]))
+    best.search(1, *near(range(100, 140)))
+    best.search(2, *near(range(40)))
+    assert sorted(best.found[0].tolist()) == [0, 1, 2, 3, 4]
+
+
+def test_one_id_for_all_rows(spark):
+    """A row is no neighbour of its own id, so there are none; the sample is drawn by vector too."""
+    rows = [(1, [float(i), 1.0]) for i in range(200)] + [(2, [5.0, 5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest(df, F.col("vec_id") == 2, k=3).collect()
+    assert {(r.query_id, r.vec_id) for r in found} == {(2, 1)} and len(found) == 1
