@@ -8,6 +8,7 @@ import corpus_pipeline as pipeline
 import duckdb
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from rowgauge.llm.mixing import mix
 from rowgauge.llm.oracle import OP8
 from rowgauge.llm.queries import MIX, domain_labels, piece_model
@@ -93,3 +94,12 @@ def test_odd_documents(spark):
     assert docs.count() > 30
     for _, stage in pipeline.STAGES:
         assert stage(spark, before.limit(0), SF).count() == 0
+
+
+def test_no_language_to_learn(spark):
+    """Without labels nothing can be rejected: all documents stay, with a warning."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    with pytest.warns(UserWarning, match="no labelled text"):
+        kept = pipeline.known_language(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    assert pipeline.known_language(spark, docs.limit(0), SF).count() == 0
