@@ -6,6 +6,8 @@ as Parquet in the shared folder and reread as the next one's documents.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,10 +27,18 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the models know; those that they reject go."""
+    """Documents whose language the models know; those that they reject go.
+
+    Where no document has a language and a text to learn from, nothing can be told and all stay, with a warning.
+    """
+    model = langid.train(docs)
+    if not model.langs:
+        if not docs.isEmpty():
+            warnings.warn("no labelled text to learn languages from: no document is rejected", stacklevel=2)
+        return docs
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*[docs[c] for c in others]).alias("row"), "text")
-    kept = langid.identify(rows, langid.train(docs), keep=("row", "text")).where("NOT rejected")
+    kept = langid.identify(rows, model, keep=("row", "text")).where("NOT rejected")
     return kept.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
