@@ -13,26 +13,38 @@ def run_order() -> Column:
     return F.struct(F.col("run_ts_utc"), F.col("run_id"))
 
 
+def _order_key() -> Column:
+    """A text that begins like the order of runs: runs without a time come first, by their id."""
+    untimed = F.concat(F.lit("0"), F.coalesce(F.col("run_id").cast("string"), F.lit("")))
+    return F.when(F.col("run_ts_utc").isNull(), untimed).otherwise(F.concat(F.lit("1"), F.col("run_ts_utc").cast("string")))
+
+
 def sequence_runs(history: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Add ``run_no``, counting from 1, and ``prev``, the ``carry`` columns of the run before.
 
-    Runs are ranked within their day, at most one per second, and the days
-    are ranked among each other, so no task sees the whole history.
+    Runs are ranked within their day, at most one per second, days within their month, and what
+    comes before a month is summed over the list of months. So no task sees the whole history, nor all
+    its days. Runs without a time are dealt by their ids as others are by their times.
     """
     carried = F.struct(F.lit(True).alias("found"), *[F.col(c) for c in carry])
-    dated = history.withColumn("_day", F.substring("run_ts_utc", 1, 10))
-    days = dated.groupBy("_day").agg(
-        F.count(F.lit(1)).alias("_runs"), F.max_by(carried, run_order()).alias("_last")
-    )
-    earlier = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    dated = history.withColumn("_day", F.substring(_order_key(), 1, 11))
+    days = dated.groupBy("_day").agg(F.count(F.lit(1)).alias("_runs"), F.max_by(carried, run_order()).alias("_last"))
+    days = days.withColumn("_month", F.substring("_day", 1, 8))
+    months = days.groupBy("_month").agg(F.sum("_runs").alias("_runs"), F.max_by("_last", "_day").alias("_last"))
+    listed = months.agg(F.sort_array(F.collect_list(F.struct("_month", "_runs", "_last")))).scalar()
+    in_month = Window.partitionBy("_month").orderBy("_day")
+    days = days.withColumn("_months", listed)
+    days = days.withColumn("_earlier", F.filter("_months", lambda m: m["_month"] < F.col("_month")))
+    months_before = F.aggregate("_earlier", F.lit(0).cast("bigint"), lambda n, m: n + m["_runs"])
+    days_before = F.coalesce(F.sum("_runs").over(in_month.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     days = days.select(
         F.col("_day").alias("_d"),
-        F.coalesce(F.sum("_runs").over(earlier), F.lit(0)).alias("_before"),
-        F.lag("_last").over(Window.orderBy("_day")).alias("_prev_day"),
+        (months_before + days_before).alias("_before"),
+        F.coalesce(F.lag("_last").over(in_month), F.try_element_at("_earlier", F.lit(-1))["_last"]).alias("_prev_day"),
     )
     within = Window.partitionBy("_day").orderBy("run_ts_utc", "run_id")
     ranked = dated.withColumns({"_no": F.row_number().over(within), "_prev_run": F.lag(carried).over(within)})
-    joined = ranked.join(days, F.col("_day").eqNullSafe(F.col("_d")), "left")
+    joined = ranked.join(days, F.col("_day") == F.col("_d"), "left")
     return joined.withColumns(
         {
             "run_no": F.col("_before") + F.col("_no"),

@@ -45,6 +45,18 @@ def test_sequence(summary):
     assert [r.prev and r.prev.overall_pct for r in rows] == [None, 85.0, 100.0, 95.0]
 
 
+def test_sequence_of_odd_times(spark):
+    """Runs without a time, with odd ones and over many months follow their order, and no window sees all days."""
+    times = [None] * 30 + ["", "later", "5 March"] + [f"20{y:02}-{m:02}-{d:02}T0{d}:00:00+00:00" for y in (9, 24) for m in (1, 2, 11) for d in (1, 2, 9)]
+    rows = [("L", f"r{i % 7}-{i:03}", t, *SCORES[:4], float(i)) for i, t in enumerate(times)] + [("L", None, None, *SCORES[:4], 99.0)]
+    found = history.sequence_runs(summary_of(spark, rows).repartition(4), ["overall_pct"])
+    got = [(r.run_no, r.overall_pct, r.prev and r.prev.overall_pct) for r in found.orderBy("run_no").collect()]
+    order = [r[-1] for r in sorted(rows, key=lambda r: (r[2] is not None, r[2] or "", r[1] is not None, r[1] or ""))]
+    assert got == [(n + 1, x, order[n - 1] if n else None) for n, x in enumerate(order)]
+    windows = [x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [" in x]
+    assert windows and all("windowspecdefinition(_day" in x or "windowspecdefinition(_month" in x for x in windows)
+
+
 def test_delta(summary):
     rows = views.run_delta(summary, ("overall_pct", "completeness_pct")).orderBy("run_id").collect()
     assert [r.overall_pct_delta_text for r in rows] == ["N/A", "+15.00 pp", "-5.00 pp", "-45.00 pp"]
