@@ -12,6 +12,10 @@ from pyspark.sql import SparkSession
 UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "Etc/GMT", "+00:00", "UTC+00:00", "Universal", "Etc/Universal", "Zulu")
 
 
+# The intermediate tables of each application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def require_utc(spark: SparkSession) -> SparkSession:
     """Raise unless the session's zone is UTC: timestamps without a zone are UTC throughout.
 
@@ -26,13 +30,30 @@ def require_utc(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table, visible to every executor.
 
-    The folder is the one that ``spark.checkpoint.dir`` names; where that is
-    unset, a folder in the warehouse, which a cluster shares as well.
+    The folder is the one that ``spark.checkpoint.dir`` names; where that is unset, a folder in the
+    warehouse of a local session. A cluster must name one that all its machines share, or it raises.
+    Tables stay until ``forget_scratch``: what reads them is lazy.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def forget_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this application so far; returns how many there were.
+
+    For when nothing that was made from them will be read again.
+    """
+    conf, gone = spark._jsc.hadoopConfiguration(), 0
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += at.getFileSystem(conf).delete(at, True)
+    return gone
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -302,3 +302,14 @@ def test_keyed_runs_after_others(spark, tmp_path):
     cards = {r.run_label: r.issue_groups for r in runs.run_report(spark, layout).collect()}
     assert cards == {"Run 1": 5, "Run 2": 5}
     assert not list((tmp_path / "hub/output/_staging").iterdir())
+
+
+def test_scratch_is_deleted_when_asked(spark, monkeypatch):
+    from rowgauge import session
+
+    monkeypatch.setattr(session, "_SCRATCH", {})
+    path = session.scratch_path(spark, "some")
+    session.scratch_path(spark, "never-written")
+    tables.write_table(spark.range(3), path)
+    assert session.forget_scratch(spark) == 1 and not session.path_exists(spark, path)
+    assert session.forget_scratch(spark) == 0
