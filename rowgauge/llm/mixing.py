@@ -41,7 +41,7 @@ ROUNDS = 8
 #: Steps of the plain form, which weighs no change of rates.
 STEPS = 60
 CLOSE = 1e-5
-WRITE_EVERY = 10
+WRITE_EVERY = 5
 #: What a change of rates weighs beside the distance to the targets. Targets out of reach, as of a domain that every
 #: posterior grants a little, would else be neared by dropping all but the purest documents and repeating these.
 KEEP = 0.02
@@ -263,15 +263,27 @@ class Step:
 
 
 def _moved(rows: DataFrame, step: Step) -> DataFrame:
-    """``rows`` with ``_new``, the rate after a step from ``_ahead``, for posteriors ``p0, p1, ...``."""
-    along = sum((F.col(f"p{d}") * x for d, x in enumerate(step.move)), F.lit(0.0))
-    return rows.withColumn("_new", F.greatest(F.col("_ahead") * (1 - step.pull) + step.pull - along, F.lit(0.0)))
+    """``rows`` with ``_new``, the rate after a step from ``_ahead``, and ``_drive``, for posteriors ``p0, p1, ...``.
+
+    The step's numbers are read from an array at places that hang on a column, so that Spark
+    compiles the same code for every step instead of a class for each.
+    """
+    n = len(step.move)
+    numbers = F.lit([*step.move, 1 - step.pull, step.pull, step.drive]).cast("array<double>")
+    none = F.least(F.col("n_rows"), F.lit(1)) - 1  # 0: every document has a row
+
+    def number(i: int) -> Column:
+        return F.get(numbers, (none + i).cast("int"))
+
+    along = sum((F.col(f"p{d}") * number(d) for d in range(n)), F.lit(0.0))
+    new = F.greatest(F.col("_ahead") * number(n) + number(n + 1) - along, F.lit(0.0))
+    return rows.withColumns({"_new": new, "_drive": number(n + 2)})
 
 
-def _arrived(moved: DataFrame, step: Step) -> DataFrame:
+def _arrived(moved: DataFrame) -> DataFrame:
     """``rate`` and ``_ahead``, where the next step sets out from, after a step."""
-    on = F.col("_new") + (F.col("_new") - F.col("rate")) * step.drive
-    return moved.withColumns({"rate": F.col("_new"), "_ahead": on}).drop("_new")
+    on = F.col("_new") + (F.col("_new") - F.col("rate")) * F.col("_drive")
+    return moved.withColumns({"rate": F.col("_new"), "_ahead": on}).drop("_new", "_drive")
 
 
 def fit_rates(
@@ -312,7 +324,7 @@ def fit_rates(
         way = F.col("_new") - F.col("_ahead")
         found = moved.agg(*[F.sum(load * F.col("_new") * F.col(f"p{d}")) for d in range(n)], F.sum(load * way * way)).first()
         after = [x or 0.0 for x in found[:n]]
-        at = _arrived(moved, step)
+        at = _arrived(moved)
         if nth % WRITE_EVERY == 0:
             at = settle(at, "rates")
         if keep:
