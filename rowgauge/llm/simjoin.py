@@ -2,14 +2,16 @@
 
 1. Every text becomes its set of word n-grams, hashed. Equal sets are one node
    from here on, with the number of its copies.
-2. A node has a label in each of ``TREES`` prefix tries: ``MAX_DEPTH`` min-hashes.
-   Nodes that share a prefix of a label are candidates. The prefix is
-   shortened, from the whole label, until a pair right at the threshold shares one
-   with at least the target recall; labels are sorted, so a prefix is a run.
-3. Within a run, nodes whose sizes and one-bit sketches allow the threshold are
-   connected, by a search that emits a spanning tree and no pairs. What
-   is connected over all tries is a cell.
-4. In each cell all pairs are verified exactly, block against block, so that a
+2. A node has a label in each of ``TREES`` prefix tries: ``MAX_DEPTH`` min-hashes. The labels of all
+   tries are sorted over the cluster, in ranges of equal size, so a prefix is a run.
+3. Runs are met with their whole labels first. A matched prefix is shortened, hash by hash, as long as that
+   can bring something: it ends where all nodes of the next longer run are connected already, or where a pair right at
+   the threshold shares a prefix with the target recall, whichever comes first. Nodes whose sizes and one-bit sketches allow the
+   threshold are connected, by a search that emits a spanning tree and no pairs.
+   What is connected over all tries is a cell.
+4. Runs that a range or a slice cut in two are met again, if they hold nodes of several cells: in
+   blocks, those of the run's first cell against the others.
+5. In each cell all pairs are verified exactly, block against block, so that a
    large cell is shared out over tasks. A block gives each node's number of
    links and a spanning tree of them; their components are the classes.
 """
@@ -40,6 +42,8 @@ RECALL = 0.9995
 #: A pair at the threshold falls short of its sketch's bound about once in 10^8.
 SKETCH_DEVIATIONS = 5.6
 BLOCK = 1_024
+#: Nodes of a run that a task holds at a time.
+SLICE = 4_096
 FEW = 24  # a block of fewer nodes is verified pair by pair
 STRETCH = 1 << 20  # code points hashed at a time
 
@@ -118,12 +122,12 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return _mixed(least)
 
 
-def labels(values: np.ndarray, depth: int) -> np.ndarray:
-    """By tree, the prefix of that depth of its label; up to four values as they are, sixteen bits each."""
-    rows = values.reshape(TREES, MAX_DEPTH)[:, :depth] & np.uint64(0xFFFF)
-    out = np.zeros(TREES, np.uint64)
-    for i in range(depth):
-        out = (out << np.uint64(16)) | rows[:, i] if depth <= 4 else _mixed(out * _PLACES[0] + rows[:, i] + np.uint64(1))
+def labels(values: np.ndarray) -> np.ndarray:
+    """By tree, its whole label: two longs of four hashes, sixteen bits each."""
+    rows = values.reshape(2 * TREES, MAX_DEPTH // 2) & np.uint64(0xFFFF)
+    out = np.zeros(2 * TREES, np.uint64)
+    for i in range(MAX_DEPTH // 2):
+        out = (out << np.uint64(16)) | rows[:, i]
     return out.view(np.int64)
 
 
@@ -141,7 +145,7 @@ def fewest_bits(threshold: float = THRESHOLD) -> int:
 SIGNED = "doc_id, text_key, node, size, labels, sketch"
 
 
-def signed(docs: DataFrame, id_col: str, text: str, n: int, depth: int) -> DataFrame:
+def signed(docs: DataFrame, id_col: str, text: str, n: int) -> DataFrame:
     """``doc_id, text_key, node, size, labels, sketch`` of every row; the node, a hash of the whole set, is null without words."""
     rows = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text]).alias("text_key"), docs[text].alias("text"))
     schema = T.StructType([*rows.schema[:2], *T.StructType.fromDDL("node binary, size int, labels array<long>, sketch array<long>")])
@@ -155,7 +159,7 @@ def signed(docs: DataFrame, id_col: str, text: str, n: int, depth: int) -> DataF
                     values = signature(grams) if len(grams) else None
                     nodes.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
                     sizes.append(len(grams))
-                    tries.append(None if values is None else labels(values, depth))
+                    tries.append(None if values is None else labels(values))
                     bits.append(None if values is None else sketch(values))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -168,25 +172,63 @@ def signed(docs: DataFrame, id_col: str, text: str, n: int, depth: int) -> DataF
     return map_batches(rows, run, schema)
 
 
-def spanning(ids: list, sizes: np.ndarray, bits: np.ndarray, threshold: float, least: int) -> Iterator[tuple]:
-    """Edges of a spanning forest of the nodes that may reach the threshold with each other.
+def shared_depths(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """How many hashes each label of a sorted run shares with the one before."""
+    out = np.zeros(len(high) - 1, np.int64)
+    same = np.ones(len(high) - 1, bool)
+    for half in (high, low):
+        differ = half[1:] ^ half[:-1]
+        for shift in (48, 32, 16, 0):
+            same &= (differ >> shift) & 0xFFFF == 0
+            out += same
+    return out
+
 
-    A node is compared with those not reached yet only, so near copies, which
+def spanning(rows: np.ndarray, tree: np.ndarray, sizes: np.ndarray, bits: np.ndarray, threshold: float, least: int) -> Iterator[tuple]:
+    """Edges that connect those trees of ``rows`` whose nodes may reach the threshold with each other.
+
+    ``tree`` tells which nodes are connected already, and is brought up to date. A node is
+    compared with those not reached yet only, so near copies, which
     are nearly all reached at once, cost little however many they are.
     """
-    rest = np.argsort(sizes, kind="stable")
+    rest = rows[np.argsort(sizes[rows], kind="stable")]
     most = HASHES - least
     while len(rest):
-        queue, rest = [rest[0]], rest[1:]
+        own = tree[rest] == tree[rest[0]]
+        name = tree[rest[0]]
+        queue, rest = rest[own].tolist(), rest[~own]
         while queue and len(rest):
             node = queue.pop()
             small, large = np.minimum(sizes[rest], sizes[node]), np.maximum(sizes[rest], sizes[node])
             near = small >= threshold * large - 1e-9
             near[near] = np.bitwise_count(bits[rest[near]] ^ bits[node]).sum(axis=1) <= most
-            for other in rest[near]:
-                yield ids[node], ids[other]
-            queue.extend(rest[near])
-            rest = rest[~near]
+            if near.any():
+                reached, first = np.unique(tree[rest[near]], return_index=True)
+                for other in rest[near][first]:
+                    yield node, int(other)
+                near = np.isin(tree[rest], reached)
+                tree[np.isin(tree, reached)] = name
+                queue.extend(rest[near].tolist())
+                rest = rest[~near]
+
+
+def descend(high: np.ndarray, low: np.ndarray, sizes: np.ndarray, bits: np.ndarray, floor: int, threshold: float, least: int):
+    """``(a, b, depth)``: what connects the nodes of a sorted run, longest shared prefixes first.
+
+    Prefixes are shortened until all nodes are connected or ``floor`` hashes are left.
+    """
+    shared = shared_depths(high, low)
+    tree = np.arange(len(high))
+    for depth in range(MAX_DEPTH, floor - 1, -1):
+        if (tree == tree[0]).all():
+            return
+        if not (shared == depth).any():  # the same runs as one hash before
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], shared < depth]))
+        for at, to in zip(starts, [*starts[1:], len(high)]):
+            if to - at > 1 and (shared[at : to - 1] == depth).any() and (tree[at:to] != tree[at]).any():
+                for a, b in spanning(np.arange(at, to), tree, sizes, bits, threshold, least):
+                    yield a, b, depth
 
 
 def _runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[pa.Table]:
@@ -209,41 +251,189 @@ def _runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[p
         yield pa.Table.from_batches(held)
 
 
-def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
-    """``a, b``: the spanning edges of every run of every trie."""
+def prefix_masks(depth: int) -> tuple[int, int]:
+    """Masks that leave that many hashes of a label's two longs."""
+
+    def mask(hashes: int) -> int:
+        return -(1 << 16 * (4 - hashes)) if hashes > 0 else 0
+
+    return mask(min(depth, 4)), mask(depth - 4)
+
+
+def forest(nodes: DataFrame, *more: str) -> DataFrame:
+    """``tree, high, low`` (a label), ``node, size, sketch`` and ``more`` of every node in every trie."""
+    trees = nodes.select("node", "size", "sketch", *more, "labels", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    at = 2 * F.col("tree") + 1
+    return trees.select("tree", F.get("labels", at - 1).alias("high"), F.get("labels", at).alias("low"), "node", "size", "sketch", *more)
+
+
+EDGES = "a binary, b binary, depth int, tree int, high long, low long"
+
+
+def _bits(group: pa.Table) -> np.ndarray:
+    return group["sketch"].combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(group.num_rows, -1)
+
+
+def candidate_edges(nodes: DataFrame, threshold: float, floor: int) -> DataFrame:
+    """``a, b, depth``: the spanning edges of every run of every trie, and the hashes that were shared.
+
+    Rows with a null ``b`` name runs (``tree, high, low`` of ``floor`` hashes) that were cut, at the ends of a task's
+    range or after ``SLICE`` nodes: what lies on both sides of the cut has not been compared.
+    """
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = nodes.select("node", "size", "sketch", F.posexplode("labels").alias("tree", "prefix"))
     least = fewest_bits(threshold)
+    masks = prefix_masks(floor)
+    most = SLICE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
+        cuts: set[tuple] = set()
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([e[i] for e in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
+            rows = [(*e, None, None, None) for e in found] + [(None, None, None, *c) for c in sorted(cuts)]
+            found.clear(), cuts.clear()
+            kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["a", "b", "depth", "tree", "high", "low"]
+            )
 
-        for group in _runs(_without_lone(batches), ("tree", "prefix")):
+        last = None
+        for key, group, cut in _runs(_without_lone(batches, masks), masks, most):
+            if last is None or cut:
+                cuts.add(key)  # the first run of a range may have begun in the one before
+            last = key
             if group.num_rows > 1:
                 group = group.combine_chunks()
-                bits = group["sketch"].combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(group.num_rows, -1)
-                found += spanning(group["node"].to_pylist(), group["size"].to_numpy(), bits, threshold, least)
-                if len(found) > 10_000:
-                    yield out()
-                    found = []
+                node = group["node"].to_pylist()
+                high, low, size = (group[c].to_numpy() for c in ("high", "low", "size"))
+                found += [(node[a], node[b], d) for a, b, d in descend(high, low, size, _bits(group), floor, threshold, least)]
+            if len(found) > 10_000:
+                yield out()
+        if last is not None:
+            cuts.add(last)
         yield out()
 
-    ordered = entries.repartition(parts, "tree", "prefix").sortWithinPartitions("tree", "prefix")
-    return map_batches(ordered, run, "a binary, b binary")
+    ordered = forest(nodes).repartitionByRange(parts, "tree", "high", "low", "node").sortWithinPartitions("tree", "high", "low", "node")
+    return map_batches(ordered, run, EDGES)
+
 
+def _prefixes(batch: pa.RecordBatch, masks: tuple[int, int]) -> np.ndarray:
+    tree, high, low = (batch.column(c).to_numpy() for c in ("tree", "high", "low"))
+    return np.stack([tree.astype(np.int64), high & masks[0], low & masks[1]])
 
-def _without_lone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted batches without the rows that differ in tree and prefix from both neighbours; those at an edge stay."""
+
+def _without_lone(batches: Iterator[pa.RecordBatch], masks: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Sorted batches without the rows whose prefix differs from both neighbours'; those at an edge stay."""
     for batch in batches:
         if batch.num_rows:
-            tree, prefix = (batch.column(c).to_numpy() for c in ("tree", "prefix"))
-            same = (tree[1:] == tree[:-1]) & (prefix[1:] == prefix[:-1])
+            keys = _prefixes(batch, masks)
+            same = (keys[:, 1:] == keys[:, :-1]).all(axis=0)
             yield batch.filter(pa.array(np.concatenate([[True], same]) | np.concatenate([same, [True]])))
 
 
+def _runs(batches: Iterator[pa.RecordBatch], masks: tuple[int, int], most: int) -> Iterator[tuple[tuple, pa.Table, bool]]:
+    """Prefix, rows and whether it was cut, run after run of sorted batches; a longer run comes in slices."""
+    held: list[pa.RecordBatch] = []
+    last, n, cut = None, 0, False
+    for batch in batches:
+        keys = _prefixes(batch, masks)
+        starts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+        for at, to in zip(starts, [*starts[1:], batch.num_rows]):
+            key = tuple(keys[:, at].tolist())
+            if key != last:
+                if held:
+                    yield last, pa.Table.from_batches(held), cut
+                held, last, n, cut = [], key, 0, False
+            while at < to:
+                if n == most:
+                    yield last, pa.Table.from_batches(held), True
+                    held, n, cut = [], 0, True
+                step = min(to - at, most - n)
+                held.append(batch.slice(at, step))
+                at, n = at + step, n + step
+    if held:
+        yield last, pa.Table.from_batches(held), cut
+
+
+def across_cuts(nodes: DataFrame, cells: DataFrame, cuts: DataFrame, threshold: float, floor: int) -> DataFrame:
+    """``a, b``, cells: what connects the cells of those cut runs that hold nodes of several.
+
+    The run's first cell needs no comparison with itself: the nodes of all other cells are cut into blocks of ``BLOCK``, and
+    each block meets itself, the blocks after it and, block by block, the first cell.
+    """
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = fewest_bits(threshold)
+    masks = prefix_masks(floor)
+    entries = forest(nodes.join(cells, "node", "left").withColumn("cell", F.coalesce("cell", "node")), "cell")
+    entries = entries.withColumns({"high": F.col("high").bitwiseAND(masks[0]), "low": F.col("low").bitwiseAND(masks[1])})
+    run_key = ["tree", "high", "low"]
+    met = settle(entries.join(cuts, run_key), "cut-runs")
+    by_cell = met.groupBy(*run_key, "cell").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", "cell"))
+    runs = by_cell.groupBy(*run_key).agg(largest.alias("main"), F.sum("n").alias("n"), F.count("*").alias("n_cells")).where("n_cells > 1")
+    runs = runs.select(
+        *run_key,
+        F.col("main.cell").alias("main"),
+        F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("int").alias("others"),
+        F.ceil(F.col("main.n") / BLOCK).cast("int").alias("mains"),
+    )
+    in_main = F.col("cell") == F.col("main")
+    deal = F.xxhash64("node")
+    block = F.when(in_main, F.col("others") + F.pmod(deal, F.col("mains"))).otherwise(F.pmod(deal, F.col("others"))).cast("int")
+    till = F.when(in_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    dealt = met.join(runs, run_key).select(
+        *run_key, "cell", "node", "size", "sketch", block.alias("block"), F.explode(F.sequence(F.lit(0), till)).alias("other")
+    )
+    pair = [*run_key, "first", "second"]
+    dealt = dealt.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
+    dealt = dealt.select(*pair, "cell", "node", "size", "sketch").repartition(parts, *pair).sortWithinPartitions(*pair, "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, tuple(pair)):
+            group = group.combine_chunks()
+            cell = group["cell"].to_pylist()
+            names = {c: i for i, c in enumerate(dict.fromkeys(cell))}
+            tree = np.array([names[c] for c in cell])
+            found = list(spanning(np.arange(len(cell)), tree, group["size"].to_numpy(), _bits(group), threshold, least))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([cell[e[i]] for e in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    return map_batches(dealt, run, "a binary, b binary")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Rows of one key after the other, of sorted batches; a single row of a key comes as well."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = list(zip(*[batch.column(k).to_pylist() for k in key]))
+        starts = [0] + [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]]
+        for at, to in zip(starts, [*starts[1:], len(keys)]):
+            if keys[at] != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = keys[at]
+            held.append(batch.slice(at, to - at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def candidate_cells(nodes: DataFrame, threshold: float, floor: int) -> DataFrame:
+    """``node, cell`` of every node that the forest connects with another; a cell is named by one of its nodes."""
+    found = settle(candidate_edges(nodes, threshold, floor), "candidates")
+    cells = components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("root", "cell")
+    cuts = found.where("b IS NULL").select("tree", "high", "low").distinct()
+    joined = settle(across_cuts(nodes, cells, cuts, threshold, floor), "joined")
+    if joined.isEmpty():
+        return cells
+    roots = components(joined).withColumnsRenamed({"node": "cell", "root": "top"})
+    # a cell of one node gets a row when it is joined
+    alone = roots.select(F.col("cell").alias("node"), "cell").join(cells, "node", "left_anti")
+    return cells.unionByName(alone).join(roots, "cell", "left").select("node", F.coalesce("top", "cell").alias("cell"))
+
+
 def overlaps(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
     """How many hashes each set of one list shares with each of the other."""
     if len(rows) * len(columns) <= FEW * FEW:
@@ -326,7 +516,7 @@ def verify(members: DataFrame, n: int, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spread = zstandard.ZstdDecompressor().decompress
-        for group in _runs(batches, ("cell", "low", "high")):
+        for group in _groups(batches, ("cell", "low", "high")):
             nodes, packed = group["node"].to_pylist(), group["packed"].to_pylist()
             keep, sets = [], []
             with np.errstate(over="ignore"):
@@ -362,8 +552,7 @@ def similar_documents(
     one without words, or null, has no links and is a class of its own. Null ids come first
     in a class. Other columns are left behind; repeated rows are copies.
     """
-    depth = depth_for(recall, threshold)
-    rows = settle(signed(docs, id_col, text, n, depth), "signed")
+    rows = settle(signed(docs, id_col, text, n), "signed")
     nodes = settle(
         rows.where("node IS NOT NULL")
         .groupBy("node")
@@ -376,7 +565,7 @@ def similar_documents(
         ),
         "nodes",
     )
-    cells = components(candidate_edges(nodes, threshold)).withColumnRenamed("root", "cell")
+    cells = candidate_cells(nodes, threshold, depth_for(recall, threshold))
     sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     heads = nodes.select("node", "copies", F.col("head.doc_id").alias("head_id"), F.col("head.text_key").alias("head_key"))
     wanted = cells.join(sizes, "cell").join(heads, "node")

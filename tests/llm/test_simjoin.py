@@ -92,6 +92,82 @@ def test_depth_shortens_to_the_recall():
     assert 1 - (1 - 0.8**d) ** simjoin.TREES >= 0.9995 > 1 - (1 - 0.8 ** (d + 1)) ** simjoin.TREES
 
 
+def labelled(spark, texts):
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return simjoin.signed(docs, "doc_id", "text", 5).where("node IS NOT NULL").dropDuplicates(["node"])
+
+
+def test_prefixes_are_shortened_as_far_as_the_data_ask(spark):
+    """Near copies with one edit in long texts are found by whole labels; looser ones need shorter prefixes."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    floor = depth_for(0.9995)
+
+    def depths(edits, length):
+        base = [rng.choice(words) for _ in range(length)]
+        texts = []
+        for _ in range(40):
+            copy = list(base)
+            for _ in range(edits):
+                copy[rng.randrange(length)] = rng.choice(words)
+            texts.append(" ".join(copy))
+        found = simjoin.candidate_edges(labelled(spark, texts), 0.8, floor).where("b IS NOT NULL").collect()
+        return [r["depth"] for r in found]
+
+    close, loose = depths(1, 2000), depths(4, 250)
+    assert sum(d == simjoin.MAX_DEPTH for d in close) > 0.9 * len(close)
+    assert min(loose) == floor and sum(loose) / len(loose) < sum(close) / len(close) - 1
+
+
+@pytest.mark.parametrize("floor", [2, 4, 6])
+def test_descent_against_all_pairs_of_a_run(floor):
+    rng = np.random.default_rng(floor)
+    least = simjoin.fewest_bits()
+    for n in (2, 3, 40, 200):
+        hashes = np.cumsum(rng.random((n, simjoin.MAX_DEPTH)) < 0.2, axis=1) * (rng.integers(0, 3, (n, 1)) + 1)
+        hashes[:, :floor] = 7
+        packed = [sum(hashes[:, 4 * h + i].astype(np.int64) << (48 - 16 * i) for i in range(4)) for h in (0, 1)]
+        order = np.lexsort(packed[::-1])
+        high, low = packed[0][order], packed[1][order]
+        sizes = rng.integers(80, 130, n)
+        bits = rng.integers(0, 1 << 63, (6, 2), dtype=np.uint64)[rng.integers(0, 6, n)]
+        small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
+        near = (small >= 0.8 * large - 1e-9) & (np.bitwise_count(bits[:, None] ^ bits[None]).sum(axis=2) <= simjoin.HASHES - least)
+        want = partition(n, zip(*np.nonzero(near)))
+        found = list(simjoin.descend(high, low, sizes, bits, floor, 0.8, least))
+        assert partition(n, [(a, b) for a, b, _ in found]) == want
+        assert len(found) == n - len(set(want))  # a forest
+        for a, b, depth in found:
+            assert (hashes[order][a, :depth] == hashes[order][b, :depth]).all()
+
+
+def partition(n, edges):
+    root = list(range(n))
+    for a, b in edges:
+        low, high = sorted((root[a], root[b]))
+        root = [low if r == high else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("size", [2, 7])
+def test_cut_runs_are_joined(spark, monkeypatch, size):
+    """Runs cut everywhere give the cells of runs that are whole."""
+    nodes = simjoin.settle(labelled(spark, [t for _, t in corpus(5)]), "test-nodes")
+    floor = depth_for(0.9995)
+
+    def cells():
+        by_cell = {}
+        for r in simjoin.candidate_cells(nodes, 0.8, floor).collect():
+            by_cell.setdefault(r["cell"], set()).add(r["node"])
+        return sorted(sorted(c) for c in by_cell.values())
+
+    whole_runs = cells()
+    monkeypatch.setattr(simjoin, "SLICE", size)
+    monkeypatch.setattr(simjoin, "BLOCK", size)
+    assert cells() == whole_runs and max(map(len, whole_runs)) >= 8
+
+
 def test_overlaps_by_matrix():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 5000, rng.integers(1, 900))).astype(np.uint64) for _ in range(70)]
