@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from .batches import map_batches, text_slices
 from .components import components
+from .spread import join_counted
 from .storage import settle
 
 N = 5
@@ -566,9 +567,12 @@ def similar_documents(
         "nodes",
     )
     cells = candidate_cells(nodes, threshold, depth_for(recall, threshold))
-    sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    cells = settle(cells, "cells")
+    sizes = settle(cells.groupBy(F.col("cell").alias("named")).agg(F.count("*").alias("members")), "cell-sizes")
+    sized = join_counted(cells, sizes, F.col("cell") == F.col("named"), "members", cells.count())
+    sized = sized.select("node", "cell", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     heads = nodes.select("node", "copies", F.col("head.doc_id").alias("head_id"), F.col("head.text_key").alias("head_key"))
-    wanted = cells.join(sizes, "cell").join(heads, "node")
+    wanted = sized.join(heads, "node")
     bodies = docs.select(docs[id_col].alias("body_id"), docs[text].alias("text")).withColumn("body_key", F.xxhash64("text"))
     members = bodies.join(
         wanted, F.col("body_id").eqNullSafe(F.col("head_id")) & (F.col("body_key") == F.col("head_key"))
