@@ -76,6 +76,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-        # the driver lets go of the stage's plans, broadcasts and compiled classes before the next one's pile up
-        spark.sparkContext._jvm.System.gc()
     return docs
