@@ -106,19 +106,19 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in all documents."""
+    """Personal data in all documents; the kinds' counts are those of the base spans, as the digest is."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find_pii(docs, pii.train(docs)).withColumn("every", F.concat("base", "added"))
 
-    def of(kind):
-        return F.sort_array(F.filter("every", lambda s: s["kind"] == kind))
+    def of(kind, spans="every"):
+        return F.sort_array(F.filter(spans, lambda s: s["kind"] == kind))
 
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
     return found.select(
         "doc_id",
-        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        *[F.size(of(kind, "base")).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(joined("base"), 256).alias("base_sha256"),
         joined(F.flatten(F.array(*[of(kind) for kind in pii.KINDS]))).alias("spans"),
         F.size("added").cast("long").alias("n_added"),

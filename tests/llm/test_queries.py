@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -14,6 +15,7 @@ from rowgauge.llm.winnow import edited
 from tests.compare import connect, differences
 
 from .test_neighbours import brute as nearest_brute
+from .test_pii import corpus
 from .test_pii import plain as plain_spans
 from .test_simjoin import brute as similar_brute
 
@@ -104,6 +106,21 @@ def test_op7(spark, texts):
         assert [r[f"n_{k}"] for k in kinds] == [sum(s.startswith(k) for s in spans) for k in kinds]
 
 
+def test_op7_counts_base_spans(spark, tmp_path):
+    """What the field adds stands in ``spans``, and in no kind's count."""
+    number = "4111111111111111"
+    again = f"the {number} of it\nand {'.'.join(number[i : i + 4] for i in range(0, 16, 4))} again"
+    rows = [*corpus(random.Random(5), 400), (-1, again)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["op7_pii"](spark, str(tmp_path)).where("doc_id = -1 OR n_added > 0").collect()
+    (r,) = [r for r in found if r["doc_id"] == -1]
+    assert r["spans"] == "card:4:20,card:31:50" and r["base_sha256"] == sha("card:4:20") and r["n_added"] == 1
+    assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == (0, 0, 1, 0)
+    for r in found:
+        counted = sum(r[f"n_{k}"] for k in ("email", "ip", "card", "phone"))
+        assert counted == len(r["spans"].split(",")) - r["n_added"]
+
+
 def test_op10(spark):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()
     true = nearest_brute([tuple(r) for r in rows])
