@@ -97,13 +97,13 @@ def _append_twice(spark: SparkSession, rows: DataFrame, append: Callable, name:
 
 
 def summary_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = yearly(spark, sf_dir).summary
+    rows = yearly(spark, sf_dir).settle(samples=False).summary
     path = _append_twice(spark, rows, history_tables.append_summary, "summary")
     return history_tables.read_summary(spark, path)
 
 
 def issues_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = yearly(spark, sf_dir).issues
+    rows = yearly(spark, sf_dir).settle().issues
     path = _append_twice(spark, rows, history_tables.append_issues, "issues")
     return history_tables.read_issues(spark, path)
 
@@ -147,7 +147,9 @@ def append_same_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = F.coalesce(F.col("order_status") == "F", F.lit(False))
     path = scratch_path(spark, "same-second")
     found = [
-        assess(raw.where(part).select("row_id", *FEED_COLUMNS), run_ts=RUN_TS, run_label=label, row_id="row_id").summary
+        assess(raw.where(part).select("row_id", *FEED_COLUMNS), run_ts=RUN_TS, run_label=label, row_id="row_id")
+        .settle(samples=False)
+        .summary
         for part, label in ((done, "Run 1"), (~done, "Run 2"))
     ]
     for rows in (found[0], found[1], found[0]):
@@ -157,7 +159,7 @@ def append_same_second(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files without labels and version, later ones with labels of their own, in either format."""
-    rows = yearly(spark, sf_dir).summary
+    rows = yearly(spark, sf_dir).settle(samples=False).summary
     late = F.col("run_id") >= "1999"
     parts = []
     for fmt in ("parquet", "csv"):
@@ -643,7 +645,7 @@ def run_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def issues_of_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The issues of one run of many, from its partition alone."""
     path = scratch_path(spark, "issues-by-run")
-    rows = yearly(spark, sf_dir).issues.withColumn("run_key", F.concat(F.lit("orders/"), "run_id"))
+    rows = yearly(spark, sf_dir).settle().issues.withColumn("run_key", F.concat(F.lit("orders/"), "run_id"))
     history_tables.put_runs(rows, path, ISSUES_SCHEMA)
     history_tables.put_runs(rows.where(F.col("run_id") < "1998"), path, ISSUES_SCHEMA)  # delivered again
     found = history_tables.scan_runs(spark, path, ISSUES_SCHEMA, "orders/19970101_063000")

@@ -146,7 +146,8 @@ def first_failures(
         # The first five failing rows belong to the five repeated keys that
         # start first, so only those keys go back to the rows.
         counts = key_counts(df, check.keys, by, row_id, check.excuse_nulls)
-        repeated = counts.where(F.col("_n") > 1)
+        # the second half is always true: reading the first row, all uses share one aggregation
+        repeated = counts.where((F.col("_n") > 1) & (F.col("_first").isNotNull() | (F.col("_n") > 0)))
         names = [*by, *[f"_k{j}" for j in range(len(check.keys))]]
         rows = df.select(
             *carried, *key_columns(df, check.keys), named(row_id).alias("_row"), check.sample.alias("value")
@@ -247,17 +248,21 @@ def _run_tally(patterns: DataFrame, checks: Sequence[Check], groups: Mapping[str
     """The rows of each run, and those that fail in each group of checks."""
     single = len(checks) <= CHUNK
     bits = _group_bits(groups, [F.col("_pattern")]) if single else F.col("_pattern")
-    n = F.get("_tally", F.lit(0))
+    # no filter on the chunk, which would move below the aggregation: it would be done once more for it
+    n = F.when(F.col("_chunk") == (0 if single else BY_GROUP), F.get("_tally", F.lit(0)))
     failing = [F.sum(F.when(bits.bitwiseAND(1 << d) != 0, n)).alias(name) for d, name in enumerate(groups)]
-    runs = patterns.where(F.col("_chunk") == (0 if single else BY_GROUP))
-    return runs.groupBy(*by).agg(F.sum(n).alias("rows"), *failing)
+    return patterns.groupBy(*by).agg(F.sum(n).alias("rows"), *failing)
 
 
 def _by_check(patterns: DataFrame) -> DataFrame:
-    """The patterns once for each check that fails in them, named ``_check``."""
-    at = F.filter(F.sequence(F.lit(0), F.lit(CHUNK - 1)), lambda j: F.getbit("_pattern", j) == 1)
-    found = patterns.where((F.col("_chunk") != BY_GROUP) & (F.col("_pattern") != 0))
-    return found.withColumn("_bit", F.explode(at)).withColumn("_check", F.col("_chunk") * CHUNK + F.col("_bit"))
+    """The patterns once for each check that fails in them, named ``_check``.
+
+    The count is read with the bits, as a filter on the pattern alone would move below the aggregation: it would be
+    done once more for it, on rows whose predicates a join's condition repeats.
+    """
+    counted = (F.col("_chunk") != BY_GROUP) & (F.get("_tally", F.lit(0)) > 0)
+    at = F.filter(F.sequence(F.lit(0), F.lit(CHUNK - 1)), lambda j: counted & (F.getbit("_pattern", j) == 1))
+    return patterns.withColumn("_bit", F.explode(at)).withColumn("_check", F.col("_chunk") * CHUNK + F.col("_bit"))
 
 
 def _reach(patterns: DataFrame, checks: Sequence[Check]) -> Column:

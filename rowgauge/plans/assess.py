@@ -57,23 +57,24 @@ class Assessment:
     def issues(self) -> DataFrame:
         return history_issues(self._facts(True), self._checks)
 
-    def settle(self) -> Assessment:
+    def settle(self, samples: bool = True) -> Assessment:
         """Measure now, once: summary and issues then share the facts, one row per run.
 
         The facts are a table in the scratch folder, so that losing an executor
-        later costs nothing.
+        later costs nothing. Without ``samples`` only the summary is settled; issues are measured when asked for.
         """
         spark = self._table.sparkSession
         path = scratch_path(spark, "facts")
-        self._facts(True).write.parquet(path)
-        return self._with(spark.read.parquet(path))
+        self._facts(samples).write.parquet(path)
+        facts, measure_again = spark.read.parquet(path), self._facts
+        return self._with(lambda wanted: facts if samples or not wanted else measure_again(True))
 
     def labelled(self, label: str) -> Assessment:
         """The same results under another run label; of a settled assessment nothing is measured again."""
-        return self._with(self._facts(True).withColumn("run_label", F.lit(label)))
+        return self._with(lambda wanted: self._facts(wanted).withColumn("run_label", F.lit(label)))
 
-    def _with(self, facts: DataFrame) -> Assessment:
-        return Assessment(self._table, self._checks, self._profile, lambda samples: facts, self._weights)
+    def _with(self, facts: Callable[[bool], DataFrame]) -> Assessment:
+        return Assessment(self._table, self._checks, self._profile, facts, self._weights)
 
 
 class RuleReport:
