@@ -143,7 +143,7 @@ def _logits(rows: DataFrame, weights: DataFrame, n: int, *others: str) -> DataFr
     return sums.select("key", *others, "n_rows", *[(F.col(f"s{d}") / F.col("n_rows")).alias(f"l{d}") for d in range(n)])
 
 
-def _posterior(prior: list[float], softer: float) -> list[Column]:
+def _posterior(prior: list[float] | list[Column], softer: float | Column) -> list[Column]:
     logits = [F.col(f"l{d}") / softer + p for d, p in enumerate(prior)]
     top = F.greatest(*logits) if len(logits) > 1 else logits[0]
     parts = [F.exp(x - top) for x in logits]
@@ -223,17 +223,31 @@ def _calibrated(scores: DataFrame, domains: list[str], prior: list[float], count
     shares = [counts.get(d, 0) / every if x else 0.0 for d, x in zip(domains, here)]
     stands = sum((x * (s / n if n else 0.0) for x, s, n in zip(is_in, shares, here)), F.lit(0.0))
     tried = [(list(prior), softer) for softer in SOFTER]
+    means = [F.sum(p * stands) for p in _tried_posterior(len(domains))]
     for _ in range(ROUNDS):
-        mean = iter(scores.agg(*[F.sum(p * stands) for at in tried for p in _posterior(*at)]).first())
-        for start, _ in tried:
+        for (start, _), mean in zip(tried, _by_trial(scores, tried, means)):
             for d, share in enumerate(shares):
-                start[d] += math.log(max(share, 1e-4) / max(next(mean), 1e-4))
-    losses = []
-    for at in tried:
-        own = sum((p * x for p, x in zip(_posterior(*at), is_in)), F.lit(0.0))
-        losses.append(F.sum(-F.log(F.greatest(own, F.lit(1e-300))) * stands))
-    loss = scores.agg(*losses).first()
-    return tried[min(range(len(tried)), key=lambda i: loss[i])]
+                start[d] += math.log(max(share, 1e-4) / max(mean[d], 1e-4))
+    own = sum((p * x for p, x in zip(_tried_posterior(len(domains)), is_in)), F.lit(0.0))
+    loss = _by_trial(scores, tried, [F.sum(-F.log(F.greatest(own, F.lit(1e-300))) * stands)])
+    return tried[min(range(len(tried)), key=lambda i: loss[i][0])]
+
+
+def _tried_posterior(n: int) -> list[Column]:
+    """The posteriors under the priors and the softness that the row's trial has."""
+    return _posterior([F.get("_at", F.lit(d + 1)) for d in range(n)], F.get("_at", F.lit(0)))
+
+
+def _by_trial(scores: DataFrame, tried: list[tuple[list[float], float]], sums: list[Column]) -> list[list[float]]:
+    """The ``sums`` over all scores for each of the priors and softnesses tried, in their order.
+
+    Every row meets every trial, so a plan holds the posteriors once and not for each trial; and as the numbers tried
+    are the content of an array, Spark compiles the same code for every round. The driver's memory depends on both.
+    """
+    trials = F.lit([[softer, *prior] for prior, softer in tried]).cast("array<array<double>>")
+    met = scores.select("*", F.posexplode(trials).alias("_trial", "_at"))
+    found = met.groupBy("_trial").agg(*sums).collect()  # a row for each trial
+    return [list(row[1:]) for row in sorted(found, key=lambda row: row["_trial"])]
 
 
 def posteriors(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -216,3 +216,44 @@ def test_training_keeps_unlike_rows(spark):
     assert set(range(300)) <= set(kept)
     left = [k for i, k in kept.items() if i >= 300]
     assert len(left) <= 3 and min(bytes(r["key"]) for r in made.where("doc_id >= 300").collect()) in left
+
+
+def plain_calibration(rows, domains, prior, counts):
+    """Of rows (domain, logits): priors and softness, in plain Python."""
+    have = {d: sum(k == d for k, _ in rows) for d in domains}
+    every = sum(counts[d] for d in domains if have[d])
+    shares = [counts[d] / every if have[d] else 0.0 for d in domains]
+    stands = {d: s / have[d] for d, s in zip(domains, shares) if have[d]}
+
+    def posterior(at, logits):
+        x = np.array(logits) / at[1] + np.array(at[0])
+        e = np.exp(x - x.max())
+        return e / e.sum()
+
+    tried = [(list(prior), softer) for softer in mixing.SOFTER]
+    for at in tried:
+        for _ in range(mixing.ROUNDS):
+            mean = sum(posterior(at, x) * stands[k] for k, x in rows)
+            for d, share in enumerate(shares):
+                at[0][d] += float(np.log(max(share, 1e-4) / max(mean[d], 1e-4)))
+    return min(tried, key=lambda at: sum(-np.log(posterior(at, x)[domains.index(k)]) * stands[k] for k, x in rows))
+
+
+@pytest.mark.parametrize("seen", [["a", "b", "c"], ["a", "c"]])
+def test_calibration_is_the_plain_one(spark, monkeypatch, seen):
+    """And its plans do not grow with what is tried: what sums it asks for are of one trial."""
+    rng, domains = np.random.default_rng(9), ["a", "b", "c"]
+    rows = [(k, [float(x) for x in rng.normal(0, 4, 3) + 3 * np.eye(3)[domains.index(k)]]) for k in rng.choice(seen, 150)]
+    df = spark.createDataFrame([(str(k), *x) for k, x in rows], "domain string, l0 double, l1 double, l2 double").repartition(3)
+    prior, counts, asked = [-0.5, -1.5, -1.7], {"a": 900, "b": 60, "c": 40}, []
+    plain = plain_calibration(rows, domains, prior, counts)
+    true_sum = F.sum
+    monkeypatch.setattr(mixing.F, "sum", lambda c: asked.append(c) or true_sum(c))
+    found = mixing._calibrated(df, domains, prior, counts)
+    assert found[1] == plain[1] and found[0] == pytest.approx(plain[0], rel=1e-9)
+    assert len(asked) <= 3 * len(domains) < len(mixing.SOFTER) * len(domains)
+
+
+def test_nothing_held_back_is_not_calibrated(spark):
+    none = spark.createDataFrame([], "domain string, l0 double, l1 double")
+    assert mixing._calibrated(none, ["a", "b"], [-0.1, -2.0], {}) == ([-0.1, -2.0], 1.0)
